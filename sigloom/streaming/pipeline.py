@@ -1,0 +1,126 @@
+"""Raw messages -> checked -> once each -> complete signals -> decisions, as streams.
+
+State is kept per message id and per signal as counts, never as samples: the samples of a complete signal are read
+back from the table of valid chunks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from sigloom import fixed_values as fixed
+from sigloom.operators.chunks import reassemble
+from sigloom.operators.messages import SIGNAL_KEY, check_messages, dead_letters, drop_repeats, valid_messages
+from sigloom.operators.segments import segment_stats, signal_summary
+
+DEFAULT_DELAY = "10 minutes"
+
+
+def _start(stream: DataFrame, checkpoint: str, available_now: bool):
+    writer = stream.writeStream.option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True) if available_now else writer
+
+
+def route_messages(
+    raw: DataFrame, valid_path: str, dead_path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Split a raw stream into a table of valid messages, by event date, and one of dead letters.
+
+    Each micro-batch owns a folder and replaces it when it is retried, so a retry adds nothing twice.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        checked = check_messages(batch).persist()
+        try:
+            valid = valid_messages(checked).withColumn("event_date", F.to_date("event_time"))
+            folder = f"batch_id={batch_id}"
+            valid.write.mode("overwrite").partitionBy("event_date").parquet(f"{valid_path}/{folder}")
+            dead_letters(checked).write.mode("overwrite").parquet(f"{dead_path}/{folder}")
+        finally:
+            checked.unpersist()
+
+    return _start(raw, checkpoint, available_now).foreachBatch(write).start()
+
+
+def by_topic(raw: DataFrame, valid_topic: str, dead_topic: str) -> DataFrame:
+    """The same split for a keyed broker sink: one stream whose rows name their topic."""
+    checked = check_messages(raw.select("key", "value"))
+    topic = F.when(F.size("errors") == 0, valid_topic).otherwise(dead_topic)
+    reasons = F.to_json(F.struct("value", "errors"))
+    return checked.select(
+        topic.alias("topic"), "key", F.when(F.size("errors") == 0, F.col("value")).otherwise(reasons).alias("value")
+    )
+
+
+def once_each(messages: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
+    """Drop repeats of a message id that arrive within the delay. Later rows than that are dropped as late."""
+    return messages.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["message_id"])
+
+
+def signal_completeness(messages: DataFrame) -> DataFrame:
+    """One row per signal once the watermark has passed its time: chunks expected and received.
+
+    All chunks of an instance share their event time, so it groups them and closes the group. The group of the latest
+    time stays open until a later one arrives.
+    """
+    return (
+        messages.groupBy("event_time", *SIGNAL_KEY)
+        .agg(F.max("total_chunks").alias("total_chunks"), F.count("*").alias("received_chunks"))
+        .withColumn("is_complete", F.col("received_chunks") == F.col("total_chunks"))
+    )
+
+
+def score_signals(
+    completeness: DataFrame,
+    valid_path: str,
+    out_path: str,
+    checkpoint: str,
+    segments: int = fixed.SEGMENT_COUNT,
+    threshold: float = fixed.DRIFT_THRESHOLD,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Segment statistics and decisions of the signals that became complete, by the operators of the batch job."""
+    keys = ["event_time", *SIGNAL_KEY]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        complete = batch.filter("is_complete").select(*keys).persist()
+        try:
+            days = complete.agg(*[f(F.to_date("event_time")).alias(n) for f, n in ((F.min, "lo"), (F.max, "hi"))]).first()
+            if days["lo"] is None:
+                return
+            chunks = (
+                batch.sparkSession.read.parquet(valid_path)
+                .filter(F.col("event_date").between(days["lo"], days["hi"]))
+                .join(complete, keys, "left_semi")
+            )
+            samples = reassemble(drop_repeats(chunks), keys)
+            summary = signal_summary(segment_stats(samples, keys, segments), keys, threshold)
+            summary.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        finally:
+            complete.unpersist()
+
+    return _start(completeness, checkpoint, available_now).foreachBatch(write).start()
+
+
+def hourly_decisions(decisions: DataFrame, time: str = "event_time", delay: str = DEFAULT_DELAY) -> DataFrame:
+    """Decisions per hour."""
+    return (
+        decisions.withWatermark(time, delay)
+        .groupBy(F.window(time, "1 hour").alias("hour"), "quality_decision")
+        .agg(F.count("*").alias("signals"))
+        .select(
+            F.col("hour.start").alias("window_start"), F.col("hour.end").alias("window_end"), "quality_decision", "signals"
+        )
+    )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows the watermark has dropped so far: they vanish without an error."""
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
+
+
+def append_to_files(stream: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    return _start(stream, checkpoint, available_now).format("parquet").option("path", path).outputMode("append").start()
