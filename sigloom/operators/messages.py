@@ -57,10 +57,14 @@ def in_key_order(rows: DataFrame) -> DataFrame:
 
 
 def parse_messages(raw: DataFrame, column: str = "value") -> DataFrame:
-    """Message columns next to the raw text, which is needed for dead letters."""
+    """Message columns next to the raw text, which is needed for dead letters.
+
+    ``inline`` keeps later filters above the parsing; pushed below it, they would parse the text again for every
+    field they look at.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(column, f"{MESSAGE_SCHEMA}, {CORRUPT} STRING", options)
-    return raw.withColumn("__m", parsed).select(*raw.columns, "__m.*")
+    return raw.select(*raw.columns, F.inline(F.array(parsed)))
 
 
 def contract_errors() -> Column:
