@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sigloom.functions import paths, values
-from sigloom.operators.joins import attach, broadcast_if_small
+from sigloom.operators.joins import broadcast_if_small
 from sigloom.shared_storage import written
 
 # A path and a few numbers.
@@ -81,21 +81,25 @@ class SignalFiles:
         self._scan = _tree(spark, "text", root)
 
     def _lines(self) -> DataFrame:
-        """Samples and undecodable lines, with ids that are consecutive within a block."""
-        value = values.parse_sample(F.col("value"))
-        if self.single_precision:
-            value = values.single_precision(value)
+        """Samples and undecodable lines, with ids that are consecutive within a block.
+
+        The line counter in the filter is always true. It keeps the filter above the parsing; pushed below, every line
+        would be parsed once more for the filter.
+        """
         path, modified = paths.plain_path(F.col("_metadata.file_path")), F.col("_metadata.file_modification_time")
+        parsed = self._scan.filter(self.choice.of(path, modified)).select(
+            F.col("_metadata.file_path").alias("uri"),
+            F.col("_metadata.file_block_start").alias("block_start"),
+            modified.alias("modified"),
+            F.is_valid_utf8("value").alias("decodable"),
+            values.parse_number(F.col("value")).alias("number"),
+            F.monotonically_increasing_id().alias("line"),
+        )
+        narrow = values.single_precision if self.single_precision else values.finite
+        value = narrow(F.col("number"))
         return (
-            self._scan.filter(self.choice.of(path, modified))
-            .select(
-                F.col("_metadata.file_path").alias("uri"),
-                F.col("_metadata.file_block_start").alias("block_start"),
-                modified.alias("modified"),
-                F.is_valid_utf8("value").alias("decodable"),
-                value.alias("value"),
-            )
-            .filter("value IS NOT NULL OR NOT decodable")
+            parsed.filter((value.isNotNull() | ~F.col("decodable")) & (F.col("line") >= 0))
+            .select("uri", "block_start", "modified", "decodable", value.alias("value"))
             .withColumn("id", F.monotonically_increasing_id())
         )
 
@@ -122,6 +126,7 @@ class SignalFiles:
             self._blocks.select(
                 "uri",
                 "block_start",
+                paths.plain_path(F.col("uri")).alias("source_file"),
                 "first_id",
                 "size",
                 F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"),
@@ -136,8 +141,8 @@ class SignalFiles:
         # A block whose ids moved between the two scans would have samples outside of it.
         changed = F.raise_error(F.concat(F.lit("block changed between scans: "), F.col("uri"))).cast("bigint")
         pos = F.when((in_block >= 0) & (in_block < F.col("size")), in_block + F.col("start")).otherwise(changed)
-        return attach(self._lines(), bounded, ["uri", "block_start"]).select(
-            paths.plain_path(F.col("uri")).alias("source_file"), "modified", pos.alias("pos"), "n", "value"
+        return self._lines().join(bounded, ["uri", "block_start"]).select(
+            "source_file", "modified", pos.alias("pos"), "n", "value"
         )
 
     @property
