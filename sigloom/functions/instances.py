@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from sigloom import fixed_values as fixed
 from sigloom.functions import paths
 
-INSTANCE_FIELDS = "instance_id, product_id, line_id, batch_id, sequence_id, lead_num, channel, event_time".split(", ")
-
-
 def event_time(date: Column, time: Column | str = "000000") -> Column:
     return F.try_to_timestamp(F.concat(date, F.lit(time)), F.lit("yyyyMMddHHmmss"))
 
@@ -54,70 +51,10 @@ def folder_date(relative_path: Column) -> Column:
     return F.get(F.filter(parts, lambda p: p.rlike(fixed.FOLDER_DATE_PATTERN)), F.lit(0))
 
 
-def _group(text: Column, pattern: str, number: int) -> Column:
-    """A regex group, NULL where it took no part in the match."""
-    return F.nullif(F.regexp_extract(text, pattern, number), F.lit(""))
-
-
-def _fields(**columns: Column) -> Column:
-    return F.struct(*[columns[name].alias(name) for name in INSTANCE_FIELDS])
-
-
-def parse_instance(relative_path: Column) -> Column:
-    """Struct of INSTANCE_FIELDS from the formal name, else the simple name, else the folders; NULL if none fits.
+def name_groups(name: Column, pattern: str, groups: int) -> Column:
+    """The groups of a file-name pattern as an array, from one match; NULL if the name does not fit.
 
-    A channel named by a folder beats the one in the file name.
+    File names hold no slash, so it can part the groups. A group that took no part is an empty text.
     """
-    name = paths.file_name(relative_path)
-    by_folder = folder_channel(relative_path)
-
-    def named(n: int) -> Column:
-        return _group(name, fixed.FORMAL_NAME_PATTERN, n)
-
-    formal = F.when(
-        name.rlike(fixed.FORMAL_NAME_PATTERN),
-        _fields(
-            instance_id=F.concat_ws("_", *[named(n) for n in range(1, 7)]),
-            product_id=named(6),
-            line_id=named(4),
-            batch_id=named(5),
-            sequence_id=named(3),
-            lead_num=named(7).cast("int"),
-            channel=F.coalesce(by_folder, lookup(fixed.LASER_CHANNELS, named(9)), named(8).cast("int")),
-            event_time=event_time(named(1), named(2)),
-        ),
-    )
-
-    def short(n: int) -> Column:
-        return _group(name, fixed.SIMPLE_NAME_PATTERN, n)
-
-    battery = paths.battery_id(short(2))
-    simple = F.when(
-        name.rlike(fixed.SIMPLE_NAME_PATTERN),
-        _fields(
-            instance_id=F.concat_ws("_", short(1), battery),
-            product_id=battery,
-            line_id=F.lit(fixed.DEFAULT_LINE_ID),
-            batch_id=short(1),
-            sequence_id=short(2),
-            lead_num=F.lit(1),
-            channel=F.coalesce(by_folder, lookup(fixed.LASER_CHANNELS, short(4)), short(3).cast("int")),
-            event_time=event_time(short(1)),
-        ),
-    )
-    date = folder_date(relative_path)
-    product = paths.without_channel_suffix(paths.file_stem(name))
-    folders = F.when(
-        date.isNotNull() & by_folder.isNotNull(),
-        _fields(
-            instance_id=F.concat_ws("_", date, product),
-            product_id=product,
-            line_id=F.lit(fixed.DEFAULT_LINE_ID),
-            batch_id=date,
-            sequence_id=product,
-            lead_num=F.lit(1),
-            channel=by_folder,
-            event_time=event_time(date),
-        ),
-    )
-    return F.coalesce(formal, simple, folders)
+    parted = F.regexp_replace(name, pattern, "/".join(f"${n}" for n in range(1, groups + 1)))
+    return F.when(F.contains(parted, F.lit("/")), F.split(parted, "/"))

@@ -2,15 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigloom import fixed_values as fixed
+from sigloom.functions import instances as inst
 from sigloom.functions import paths
+from sigloom.operators.columns import settled
 
+INSTANCE_FIELDS = [
+    "instance_id", "product_id", "line_id", "batch_id", "sequence_id", "lead_num", "channel", "event_time"
+]
 INSTANCE_ATTRIBUTES = ["product_id", "line_id", "batch_id", "sequence_id", "event_time"]
 
 
+def _fields(**columns: Column) -> Column:
+    return F.struct(*[columns[name].alias(name) for name in INSTANCE_FIELDS])
+
+
+def parse_instances(files: DataFrame, relative_path: Column) -> DataFrame:
+    """Add INSTANCE_FIELDS: from the formal file name, else the simple one, else the folders; all NULL if none fits.
+
+    A channel named by a folder beats the one in the file name.
+    """
+    located = settled(files, __relative=relative_path)
+    name = paths.file_name(F.col("__relative"))
+    matched = settled(
+        located,
+        __formal=inst.name_groups(name, fixed.FORMAL_NAME_PATTERN, 9),
+        __simple=inst.name_groups(name, fixed.SIMPLE_NAME_PATTERN, 4),
+        __channel=inst.folder_channel(F.col("__relative")),
+        __date=inst.folder_date(F.col("__relative")),
+        __stem=paths.without_channel_suffix(paths.file_stem(name)),
+    )
+    by_folder = F.col("__channel")
+
+    def channel(groups: Column, digit: int, laser: int) -> Column:
+        by_laser = inst.lookup(fixed.LASER_CHANNELS, groups[laser])
+        return F.coalesce(by_folder, by_laser, groups[digit].try_cast("int"))
+
+    formal = F.col("__formal")
+    by_formal_name = F.when(
+        formal.isNotNull(),
+        _fields(
+            instance_id=F.concat_ws("_", F.slice(formal, 1, 6)),
+            product_id=formal[5],
+            line_id=formal[3],
+            batch_id=formal[4],
+            sequence_id=formal[2],
+            lead_num=formal[6].cast("int"),
+            channel=channel(formal, 7, 8),
+            event_time=inst.event_time(formal[0], formal[1]),
+        ),
+    )
+    simple = F.col("__simple")
+    battery = paths.battery_id(simple[1])
+    by_simple_name = F.when(
+        simple.isNotNull(),
+        _fields(
+            instance_id=F.concat_ws("_", simple[0], battery),
+            product_id=battery,
+            line_id=F.lit(fixed.DEFAULT_LINE_ID),
+            batch_id=simple[0],
+            sequence_id=simple[1],
+            lead_num=F.lit(1),
+            channel=channel(simple, 2, 3),
+            event_time=inst.event_time(simple[0]),
+        ),
+    )
+    date, stem = F.col("__date"), F.col("__stem")
+    by_folders = F.when(
+        date.isNotNull() & by_folder.isNotNull(),
+        _fields(
+            instance_id=F.concat_ws("_", date, stem),
+            product_id=stem,
+            line_id=F.lit(fixed.DEFAULT_LINE_ID),
+            batch_id=date,
+            sequence_id=stem,
+            lead_num=F.lit(1),
+            channel=by_folder,
+            event_time=inst.event_time(date),
+        ),
+    )
+    best = settled(matched, __i=F.coalesce(by_formal_name, by_simple_name, by_folders))
+    return best.select(*files.columns, "__i.*")
+
+
 def product_instances(files: DataFrame) -> DataFrame:
     """One row per instance; on conflict the first file in path order says what the instance is."""
     first = F.min_by(F.struct(*INSTANCE_ATTRIBUTES), paths.path_parts(F.col("path")))

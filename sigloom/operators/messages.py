@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sigloom import fixed_values as fixed
 from sigloom.functions import instances as inst
 from sigloom.functions import messages as msg
+from sigloom.operators.columns import settled
 
 MESSAGE_COLUMNS = list(fixed.MESSAGE_FIELDS)
 MESSAGE_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in fixed.MESSAGE_FIELDS.items())
@@ -57,14 +58,10 @@ def in_key_order(rows: DataFrame) -> DataFrame:
 
 
 def parse_messages(raw: DataFrame, column: str = "value") -> DataFrame:
-    """Message columns next to the raw text, which is needed for dead letters.
-
-    ``inline`` keeps later filters above the parsing; pushed below it, they would parse the text again for every
-    field they look at.
-    """
+    """Message columns next to the raw text, which is needed for dead letters."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(column, f"{MESSAGE_SCHEMA}, {CORRUPT} STRING", options)
-    return raw.select(*raw.columns, F.inline(F.array(parsed)))
+    return settled(raw, __m=parsed).select(*raw.columns, "__m.*")
 
 
 def contract_errors() -> Column:

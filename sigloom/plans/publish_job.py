@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom import fixed_values as fixed
-from sigloom.functions import instances as inst
 from sigloom.functions import paths
 from sigloom.operators import instances as ops
 from sigloom.operators.chunks import chunk_samples
+from sigloom.operators.joins import broadcast_if_small
 from sigloom.operators.dates import on_oldest_date
 from sigloom.operators.messages import build_messages
 from sigloom.operators.replay import replay_items
@@ -25,11 +25,9 @@ class InstanceScan:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         top = paths.absolute_root(root)
-        relative = F.regexp_replace(F.col("source_file"), F.lit(f"^\\Q{top}\\E/"), F.lit(""))
-        parsed = list_files(spark, root).select(
-            F.col("source_file").alias("path"), inst.parse_instance(relative).alias("__i")
-        )
-        self.parsed = written(parsed.select("path", "__i.*"), "listing")
+        relative = F.regexp_replace(F.col("path"), F.lit(f"^\\Q{top}\\E/"), F.lit(""))
+        listed = list_files(spark, root).select(F.col("source_file").alias("path"))
+        self.parsed = written(ops.parse_instances(listed, relative), "listing")
 
     @property
     def ignored(self) -> DataFrame:
@@ -74,8 +72,11 @@ def plan_items(
 def plan_messages(scan: InstanceScan, items: DataFrame, chunk_size: int = fixed.CHUNK_SIZE) -> DataFrame:
     """All messages of the items. A file is read and cut once, however often its instance is replayed."""
     source = SignalFiles(scan.spark, scan.root, single_precision=True)
-    chunks = chunk_samples(source.samples.drop("modified"), ["source_file"], chunk_size)
     files = ops.signal_files(scan.pairs).withColumnRenamed("instance_id", "original_product_instance_id")
-    published = items.join(files, "original_product_instance_id")
+    published = written(items.join(files, "original_product_instance_id"), "published")
+    # Samples of files that nobody publishes go before they are shuffled into chunks.
+    used = published.select(F.col("path").alias("source_file")).distinct()
+    samples = source.samples.join(broadcast_if_small(used, used.count()), "source_file", "left_semi")
+    chunks = chunk_samples(samples.drop("modified"), ["source_file"], chunk_size)
     joined = published.join(chunks, F.col("path") == F.col("source_file"))
     return build_messages(joined.withColumn("file_name", paths.file_name(F.col("path"))))

@@ -17,6 +17,7 @@ from sigloom.operators import chunks as ch
 from sigloom.operators import instances as ops
 from sigloom.operators import messages as mops
 from sigloom.operators import replay
+from sigloom.operators.columns import settled
 from sigloom.operators.batch import segment_rows, summary_rows
 from sigloom.operators.dates import on_oldest_date
 from sigloom.operators.segments import segment_stats, signal_summary
@@ -69,19 +70,23 @@ def lineitem_samples(spark, folder) -> DataFrame:
 # --- segments and summaries
 
 # Means of values with two decimals can end on a 5 in the seventh digit; at eight digits no rounding is a coin toss.
-MEASURES = [rounded("mean_value", 8), *[rounded(m) for m in ("std_value", "min_value", "max_value")]]
-SCORES = [*[rounded(m, 8) for m in ("odd_pattern_mean", "even_pattern_mean", "odd_even_gap")], rounded("cpd_score")]
+def measures() -> list[Column]:
+    return [rounded("mean_value", 8), *[rounded(m) for m in ("std_value", "min_value", "max_value")]]
+
+
+def scores() -> list[Column]:
+    return [*[rounded(m, 8) for m in ("odd_pattern_mean", "even_pattern_mean", "odd_even_gap")], rounded("cpd_score")]
 
 
 def _segments(samples: DataFrame, keys: list[str]) -> DataFrame:
     return segment_stats(samples, keys).select(
-        *keys, *whole("segment_index"), "parity_group", *whole("parity_order", "sample_count"), *MEASURES
+        *keys, *whole("segment_index"), "parity_group", *whole("parity_order", "sample_count"), *measures()
     )
 
 
 def _summary(samples: DataFrame, keys: list[str]) -> DataFrame:
     return signal_summary(segment_stats(samples, keys), keys).select(
-        *keys, *whole("record_count", "total_samples"), *SCORES, "quality_decision"
+        *keys, *whole("record_count", "total_samples"), *scores(), "quality_decision"
     )
 
 
@@ -167,8 +172,7 @@ def _batch_paths(spark, folder) -> DataFrame:
         F.format_string("/data/x20998877/concat_reflected_1/%d_Seam%d_LA.csv", key % 7, key),
         F.format_string("/data/plain/Battery_%05d.csv", key),
     ]
-    chosen = pick(key, shapes)
-    return table(spark, folder, "orders").select("o_orderkey", chosen.alias("path"))
+    return settled(table(spark, folder, "orders"), path=pick(key, shapes)).select("o_orderkey", "path")
 
 
 def batch_file_metadata(spark, folder):
@@ -196,18 +200,14 @@ def _instance_paths(spark, folder) -> DataFrame:
         F.format_string("%s/Reflect/battery_%d.csv", date, key),
         F.format_string("3_%s_battery_%d_laser_a.csv", date, key),
     ]
-    chosen = pick(key, shapes)
-    return table(spark, folder, "orders").select("o_orderkey", chosen.alias("path"))
+    return settled(table(spark, folder, "orders"), path=pick(key, shapes)).select("o_orderkey", "path")
 
 
 def instance_file_metadata(spark, folder):
-    parsed = _instance_paths(spark, folder).select("o_orderkey", inst.parse_instance(F.col("path")).alias("i"))
-    return parsed.select(
-        "o_orderkey",
-        "i.instance_id", "i.product_id", "i.line_id", "i.batch_id", "i.sequence_id",
-        F.col("i.lead_num").cast("bigint").alias("lead_num"),
-        F.col("i.channel").cast("bigint").alias("channel"),
-        F.date_format("i.event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time"),
+    return ops.parse_instances(_instance_paths(spark, folder), F.col("path")).select(
+        "o_orderkey", "instance_id", "product_id", "line_id", "batch_id", "sequence_id",
+        *whole("lead_num", "channel"),
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time"),
     )
 
 
@@ -229,9 +229,9 @@ def parse_event_lines(spark, folder):
         F.concat(F.lit("_"), value),
         F.concat(value, F.lit(" # note")),
     ]
-    line = pick(key, shapes)
-    parsed = values.parse_sample(line)
-    return table(spark, folder, "events").select(
+    lines = settled(table(spark, folder, "events"), line=pick(key, shapes))
+    parsed = values.parse_sample(F.col("line"))
+    return lines.select(
         "event_id", F.round(parsed, 6).alias("sample"), F.round(values.single_precision(parsed), 6).alias("single")
     )
 
@@ -480,8 +480,7 @@ def _faulty_json(spark, folder) -> DataFrame:
         F.replace(text, F.lit('"is_duplicate"'), F.lit('"was_duplicate"')),
         F.replace(text, F.lit('"chunk_index":0'), F.lit('"chunk_index":1.5')),
     ]
-    chosen = pick(event, faults)
-    return rows.select(event.alias("event_id"), chosen.alias("value"))
+    return rows.select(event.alias("event_id"), pick(event, faults).alias("value"))
 
 
 def validate_messages(spark, folder):
@@ -614,7 +613,7 @@ def csv_batch_segments(spark, folder):
     kind = F.regexp_extract("source_file", "event_type=([^/]+)/", 1).alias("event_type")
     block = F.regexp_extract("source_file", "block=([0-9]+)/", 1).cast("bigint").alias("block")
     return rows.select(
-        kind, block, *whole("segment_index"), "parity_group", *whole("parity_order", "sample_count"), *MEASURES
+        kind, block, *whole("segment_index"), "parity_group", *whole("parity_order", "sample_count"), *measures()
     )
 
 
@@ -625,7 +624,7 @@ def csv_batch_summary(spark, folder):
     block = F.regexp_extract("source_file", "block=([0-9]+)/", 1).cast("bigint").alias("block")
     window = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("window_start", "window_end")]
     return summary_rows(rows).select(
-        "run_id", kind, block, *whole("record_count", "total_samples"), *SCORES, "quality_decision", *window
+        "run_id", kind, block, *whole("record_count", "total_samples"), *scores(), "quality_decision", *window
     )
 
 
@@ -673,7 +672,7 @@ def stream_scores(spark, folder):
     complete = pipeline.signal_completeness(pipeline.once_each(stored, "1 minute"))
     _run(pipeline.score_signals(complete, valid, out, fresh_path(spark, "stream"), available_now=True))
     return spark.read.parquet(out).select(
-        "product_instance_id", *whole("lead_num", "channel", "record_count", "total_samples"), *SCORES, "quality_decision"
+        "product_instance_id", *whole("lead_num", "channel", "record_count", "total_samples"), *scores(), "quality_decision"
     )
 
 
