@@ -35,8 +35,13 @@ def parse_sample(line: Column) -> Column:
     return finite(parse_number(line))
 
 
+def is_finite(value: Column) -> Column:
+    """Neither NULL nor NaN nor infinite, in the form a Parquet scan can check. NaN counts as larger than infinity."""
+    return (value > F.lit(float("-inf"))) & (value < F.lit(float("inf")))
+
+
 def finite(value: Column) -> Column:
-    return F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
+    return F.when(is_finite(value), value)
 
 
 def single_precision(value: Column) -> Column:

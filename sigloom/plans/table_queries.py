@@ -22,7 +22,7 @@ from sigloom.operators.batch import segment_rows, summary_rows
 from sigloom.operators.dates import on_oldest_date
 from sigloom.operators.segments import segment_stats, signal_summary
 from sigloom.operators.upsert import upsert_by_key
-from sigloom.shared_storage import fresh_path
+from sigloom.shared_storage import fresh_path, written
 from sigloom.sinks.tables import append_partitioned, upsert_table
 from sigloom.sources.files import SignalFiles
 from sigloom.sources.messages import stream_message_files
@@ -507,9 +507,9 @@ def dedup_messages(spark, folder):
 
 
 def _chunks_with_gaps(spark, folder) -> DataFrame:
-    """The event chunks, some of them lost on the way."""
+    """The event chunks as a store holds them, some of them lost on the way."""
     lost = (F.col("user_id") + F.col("chunk_index")) % 7 == 0
-    return _event_chunks(spark, folder).filter(~lost)
+    return written(_event_chunks(spark, folder).filter(~lost), "chunks")
 
 
 def chunk_completeness(spark, folder):
@@ -529,7 +529,7 @@ def missing_chunks(spark, folder):
 
 def channel_presence(spark, folder):
     lost = (F.col("lead_num") + F.col("channel") + F.col("chunk_index")) % 7 == 0
-    arrived = _user_messages(spark, folder).filter(~lost)
+    arrived = _user_messages(spark, folder).filter(~lost)  # only their keys are read
     complete = ch.chunk_completeness(arrived, mops.SIGNAL_KEY).filter("is_complete")
     present = mops.channel_presence(complete)
     return present.select("product_instance_id", *whole("lead_num"), "has_channel_0", "has_channel_1", "has_both")

@@ -95,10 +95,9 @@ class SignalFiles:
             values.parse_number(F.col("value")).alias("number"),
             F.monotonically_increasing_id().alias("line"),
         )
-        narrow = values.single_precision if self.single_precision else values.finite
-        value = narrow(F.col("number"))
+        value = F.col("number").cast("float").cast("double") if self.single_precision else F.col("number")
         return (
-            parsed.filter((value.isNotNull() | ~F.col("decodable")) & (F.col("line") >= 0))
+            parsed.filter((values.is_finite(value) | ~F.col("decodable")) & (F.col("line") >= 0))
             .select("uri", "block_start", "modified", "decodable", value.alias("value"))
             .withColumn("id", F.monotonically_increasing_id())
         )

@@ -26,14 +26,14 @@ def samples_from_rows(
     slim = df.select(
         *[column.alias(name) for name, column in keys.items()],
         *[column.alias(name) for name, column in zip(ordering, order)],
-        values.finite(value.cast("double")).alias("value"),
-    ).filter("value IS NOT NULL")
+        value.cast("double").alias("value"),
+    ).filter(values.is_finite(F.col("value")))
     return number_rows(slim, list(keys), ordering, max_rows).drop(*ordering)
 
 
 def samples_from_arrays(df: DataFrame, keys: dict[str, Column], array: Column) -> DataFrame:
     """The same from array columns. The array gives the order; a row is one signal, so nothing is shuffled."""
-    clean = F.filter(array.cast("array<double>"), lambda v: values.finite(v).isNotNull())
+    clean = F.filter(array.cast("array<double>"), values.is_finite)
     return df.select(
         *[column.alias(name) for name, column in keys.items()], clean.alias("__values")
     ).select(
