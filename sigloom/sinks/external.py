@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sigloom import fixed_values as fixed
 from sigloom.operators.messages import in_key_order, keyed_json
 
+KAFKA_OPTIONS = fixed.KAFKA_WRITE_OPTIONS
 SEGMENT_BATCH_ROWS = 2000
 SUMMARY_BATCH_ROWS = 1000
 
@@ -29,14 +30,14 @@ def merge_sql(target: str, staging: str, columns: list[str], keys: list[str], ke
 
 def write_kafka(messages: DataFrame, servers: str, topic: str, **options) -> None:
     """Publish a batch of messages, keyed per signal."""
-    settings = fixed.KAFKA_WRITE_OPTIONS | {"kafka.bootstrap.servers": servers} | options
+    settings = KAFKA_OPTIONS | {"kafka.bootstrap.servers": servers} | options
     rows = in_key_order(keyed_json(messages, topic)).drop("chunk_index")
     rows.write.format("kafka").options(**settings).save()
 
 
 def stream_to_kafka(rows: DataFrame, servers: str, checkpoint: str, **options) -> StreamingQuery:
     """Publish a stream of ``topic``, ``key``, ``value`` rows; the topic may differ from row to row."""
-    settings = fixed.KAFKA_WRITE_OPTIONS | {"kafka.bootstrap.servers": servers} | options
+    settings = KAFKA_OPTIONS | {"kafka.bootstrap.servers": servers} | options
     return rows.writeStream.format("kafka").options(**settings).option("checkpointLocation", checkpoint).start()
 
 
