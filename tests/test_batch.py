@@ -1,0 +1,176 @@
+"""The batch job and its tables."""
+
+import datetime as dt
+import math
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from sigloom import fixed_values as fixed
+from sigloom.operators.segments import in_contract
+from sigloom.operators.upsert import upsert_by_key
+from sigloom.plans.batch_job import NO_FILES, NO_SIGNALS, OK, run_batch
+from sigloom.sinks.external import merge_sql, write_jdbc
+from sigloom.sinks.tables import create_tables, upsert_table
+
+RUN = "00000000-0000-0000-0000-000000000001"
+
+
+@pytest.fixture
+def tree(tmp_path, write_signal):
+    root = tmp_path / "in"
+    write_signal(root / "20220417" / "reflect" / "2_20220417_battery_22_laser_b.csv", map(float, range(32)))
+    write_signal(root / "20220418" / "out" / "3_20220418_battery_23_laser_a.csv", [3.0, 1.0, 4.0])
+    write_signal(root / "20220418" / "out" / "20220418_battery_24_laser_a.csv", [])
+    return root
+
+
+def test_rows_of_a_run(spark, tmp_path, tree):
+    result = run_batch(spark, str(tree), str(tmp_path / "out"), run_id=RUN)
+    assert (result.code, result.total_files, result.skipped_files) == (OK, 3, 1)
+    assert (result.segment_rows, result.summary_rows) == (32, 2)
+    assert result.per_second(3) == 3 / result.seconds
+
+    segments = spark.read.parquet(f"{tmp_path}/out/segments")
+    assert set(segments.columns) == set(fixed.SEGMENT_COLUMNS)
+    rows = segments.filter("line_number = 2").orderBy("segment_index").collect()
+    assert [(r.parity_group, r.parity_order) for r in rows[14:]] == [("odd", 8), ("even", 8)]
+    assert {(r.line_id, r.channel, r.product_id, r.event_date) for r in rows} == {
+        ("LINE_02", 0, "battery_22", dt.date(2022, 4, 17))
+    }
+
+    [first, second] = spark.read.parquet(f"{tmp_path}/out/summary").orderBy("line_number").collect()
+    assert set(first.asDict()) == set(fixed.SUMMARY_COLUMNS)
+    assert (first.odd_pattern_mean, first.even_pattern_mean, first.quality_decision) == (14.5, 16.5, "PASS")
+    assert first.cpd_score == pytest.approx(2 / 31)
+    assert (second.record_count, second.total_samples) == (16, 3)
+    assert (second.odd_pattern_mean, second.even_pattern_mean, second.quality_decision) == (3.5, 1.0, "REVIEW")
+    assert first.window_start == first.processed_at.replace(minute=0, second=0, microsecond=0)
+    assert first.window_end - first.window_start == dt.timedelta(hours=1)
+
+    [run] = spark.read.parquet(f"{tmp_path}/out/runs").collect()
+    assert (run.run_id, run.status, run.total_files) == (RUN, "SUCCESS", 3)
+    assert (run.total_segment_rows, run.total_summary_rows, run.details) == (32, 2, "{}")
+
+
+def test_statistics_against_plain_python(spark, tmp_path, write_signal):
+    values = [math.sin(i) * 100 for i in range(101)]
+    write_signal(tmp_path / "in" / "20220417_x.csv", values)
+    run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"), segments=7)
+    rows = spark.read.parquet(f"{tmp_path}/out/segments").orderBy("segment_index").collect()
+    start = 0
+    for index, row in enumerate(rows):
+        part = values[start : start + 101 // 7 + (index < 101 % 7)]
+        start += len(part)
+        assert row.sample_count == len(part)
+        assert row.mean_value == pytest.approx(statistics.fmean(part))
+        assert row.std_value == pytest.approx(statistics.pstdev(part))
+        assert (row.min_value, row.max_value) == (min(part), max(part))
+    assert start == 101
+
+
+def test_rerun_appends_or_replaces(spark, tmp_path, tree):
+    for mode, rows in (("append", 64), ("upsert", 32)):
+        for _ in range(2):
+            run_batch(spark, str(tree), f"{tmp_path}/{mode}", run_id=RUN, mode=mode)
+        assert spark.read.parquet(f"{tmp_path}/{mode}/segments").count() == rows
+        assert spark.read.parquet(f"{tmp_path}/{mode}/summary").count() == rows // 16
+        assert spark.read.parquet(f"{tmp_path}/{mode}/runs").count() == 1
+
+
+def test_appended_partitions_prune(spark, tmp_path, tree):
+    run_batch(spark, str(tree), str(tmp_path / "out"))
+    day = spark.read.parquet(f"{tmp_path}/out/segments").filter("event_date = DATE'2022-04-18' AND line_number = 3")
+    assert day.count() == 16
+    assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cap_and_oldest_date(spark, tmp_path, tree):
+    result = run_batch(spark, str(tree), str(tmp_path / "a"), oldest_date_only=True)
+    assert (result.total_files, result.summary_rows) == (1, 1)
+    result = run_batch(spark, str(tree), str(tmp_path / "b"), max_files=2)
+    assert (result.total_files, result.skipped_files, result.summary_rows) == (2, 1, 1)
+
+
+def test_nothing_to_do(spark, tmp_path, write_signal):
+    (tmp_path / "empty").mkdir()
+    assert run_batch(spark, str(tmp_path / "empty"), str(tmp_path / "out")).code == NO_FILES
+    write_signal(tmp_path / "text" / "a.csv", ["x", "nan"])
+    assert run_batch(spark, str(tmp_path / "text"), str(tmp_path / "out")).code == NO_SIGNALS
+    assert [r.status for r in spark.read.parquet(f"{tmp_path}/out/runs").collect()] == ["FAILED"]
+
+
+def test_bad_arguments(spark, tmp_path, tree):
+    with pytest.raises(ValueError):
+        run_batch(spark, str(tree), str(tmp_path / "out"), run_id="not a uuid")
+    with pytest.raises(ValueError):
+        run_batch(spark, str(tree), str(tmp_path / "out"), mode="merge")
+    with pytest.raises(ValueError):
+        run_batch(spark, str(tree), str(tmp_path / "out"), segments=0)
+
+
+def test_undated_file_takes_its_modification_day(spark, tmp_path, write_signal):
+    import os
+
+    path = write_signal(tmp_path / "in" / "seam.csv", [1, 2])
+    moment = dt.datetime(2021, 3, 4, 5, tzinfo=dt.timezone.utc).timestamp()
+    os.utime(path, (moment, moment))
+    if "/20" in str(path):
+        pytest.skip("the temporary folder names a date itself")
+    run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert spark.read.parquet(f"{tmp_path}/out/summary").first().event_date == dt.date(2021, 3, 4)
+
+
+def test_impossible_date_is_null(spark, tmp_path, write_signal):
+    write_signal(tmp_path / "in" / "20229999_battery_1_laser_a.csv", [1, 2])
+    assert run_batch(spark, str(tmp_path / "in"), str(tmp_path / "out")).code == OK
+    assert spark.read.parquet(f"{tmp_path}/out/summary").first().event_date is None
+
+
+def test_upsert_by_key_with_null_keys(spark):
+    old = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (2, 2, "c")], "k INT, l INT, v STRING")
+    new = spark.createDataFrame([(1, None, "A"), (3, 3, "D")], "k INT, l INT, v STRING")
+    got = sorted(map(tuple, upsert_by_key(old, new, ["k", "l"]).collect()), key=str)
+    assert got == [(1, 2, "b"), (1, None, "A"), (2, 2, "c"), (3, 3, "D")]
+
+
+def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "run_id STRING, id INT, v STRING"
+    upsert_table(spark.createDataFrame([("r1", 1, "a"), ("r1", 2, "b"), ("r2", 1, "c")], schema), path, ["run_id", "id"])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "run_id=r2").glob("*.parquet")}
+    upsert_table(spark.createDataFrame([("r1", 2, "B"), ("r1", 3, "D")], schema), path, ["run_id", "id"])
+    assert sorted((r.run_id, r.id, r.v) for r in spark.read.parquet(path).collect()) == [
+        ("r1", 1, "a"), ("r1", 2, "B"), ("r1", 3, "D"), ("r2", 1, "c")
+    ]
+    assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "run_id=r2").glob("*.parquet")}
+    with pytest.raises(ValueError):
+        upsert_table(spark.createDataFrame([("r1", 2, "B")], schema), path, ["run_id"], ["id"])
+
+
+def test_tables_in_the_catalog_take_the_contract(spark):
+    create_tables(spark, "sigloom_test")
+    create_tables(spark, "sigloom_test")
+    assert dict(spark.table("sigloom_test.segments").dtypes) == fixed.SEGMENT_COLUMNS
+    rows = in_contract(spark.range(1).select(*[F.lit(None).alias(c) for c in fixed.RUN_COLUMNS]), fixed.RUN_COLUMNS)
+    rows.write.insertInto("sigloom_test.runs")
+    assert spark.table("sigloom_test.runs").count() == 1
+    spark.sql("DROP DATABASE sigloom_test CASCADE")
+
+
+def test_jdbc_staging(spark):
+    # The embedded database lives in this process and opens no port.
+    url = "jdbc:derby:memory:sigloom;create=true"
+    rows = spark.range(2500).select(F.col("id"), (F.col("id") * 0.5).alias("v"))
+    write_jdbc(rows, url, "staging", batch_rows=1000, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    back = spark.read.format("jdbc").options(url=url, dbtable="staging").load()
+    assert back.count() == 2500
+
+
+def test_merge_statement():
+    text = merge_sql("runs", "staged", ["run_id", "status", "started_at"], ["run_id"], keep=("started_at",))
+    assert text == (
+        "INSERT INTO runs (run_id, status, started_at) SELECT run_id, status, started_at FROM staged "
+        "ON CONFLICT (run_id) DO UPDATE SET status = EXCLUDED.status"
+    )
