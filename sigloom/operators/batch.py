@@ -11,15 +11,16 @@ from sigloom import fixed_values as fixed
 from sigloom.functions import paths
 from sigloom.functions import segments as seg
 from sigloom.operators.segments import in_contract, segment_stats, signal_summary
+from sigloom.sources.files import SignalFiles
 
 FILE_KEYS = ["run_id", "line_id", "line_number", "event_date", "product_id", "source_file", "channel"]
 
 
 def segment_rows(
-    samples: DataFrame, run_id: str, processed_at: datetime, segments: int = fixed.SEGMENT_COUNT
+    source: SignalFiles, run_id: str, processed_at: datetime, segments: int = fixed.SEGMENT_COUNT
 ) -> DataFrame:
     """17 columns per segment. Metadata is worked out per segment row, after the samples are aggregated."""
-    stats = segment_stats(samples, ["source_file", "modified"], segments)
+    stats = source.named(segment_stats(source.samples, ["file_id"], segments))
     meta = paths.source_columns(F.col("source_file"), F.col("modified"))
     rows = stats.withColumns(meta | {"run_id": F.lit(run_id), "processed_at": F.lit(processed_at).cast("timestamp")})
     return in_contract(rows, fixed.SEGMENT_COLUMNS)

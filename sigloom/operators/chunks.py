@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from sigloom import fixed_values as fixed
 from sigloom.functions import messages as msg
 
+# Chunk indexes handled together: with 5,000 samples per chunk, some 20 MB.
+BUCKET = 512
+
 
 def _with_bounds(df: DataFrame, size: int) -> DataFrame:
     index = F.col("chunk_index")
@@ -72,32 +75,39 @@ def samples_of_chunks(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def reassemble(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
+def reassemble(chunks: DataFrame, keys: Sequence[str], bucket: int = BUCKET) -> DataFrame:
     """Numbered samples (keys, ``pos``, ``n``, ``value``) of the complete signals.
 
-    Signals are never built as one array: that row would have no bound.
+    Signals are never built as one array: that row would have no bound. Chunks meet their signal per bucket of
+    chunk indexes, which spreads a signal with very many chunks over tasks.
     """
-    complete = chunk_completeness(chunks, keys).filter("is_complete").select(*keys, "n")
-    kept = chunks.select(*keys, "start_sample", "samples").join(complete, list(keys))
-    return kept.select(*keys, "n", "start_sample", F.posexplode("samples").alias("__i", "value")).select(
-        *keys, (F.col("start_sample") + F.col("__i")).alias("pos"), "n", "value"
+    keys = list(keys)
+    complete = _buckets(chunk_completeness(chunks, keys).filter("is_complete"), bucket).select(*keys, "n", "__bucket")
+    kept = chunks.select(*keys, "chunk_index", "start_sample", "samples").withColumn(
+        "__bucket", msg.whole_division(F.col("chunk_index"), bucket)
+    )
+    return (
+        kept.join(complete, [*keys, "__bucket"])
+        .select(*keys, "n", "start_sample", F.posexplode("samples").alias("__i", "value"))
+        .select(*keys, (F.col("start_sample") + F.col("__i")).alias("pos"), "n", "value")
     )
 
 
-def missing_chunks(chunks: DataFrame, keys: Sequence[str], bucket: int = 4096) -> DataFrame:
+def _buckets(signals: DataFrame, bucket: int) -> DataFrame:
+    """One row per signal and bucket of chunk indexes."""
+    last = msg.whole_division(F.col("total_chunks") - 1, bucket)
+    return signals.withColumn("__bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+
+
+def missing_chunks(chunks: DataFrame, keys: Sequence[str], bucket: int = BUCKET) -> DataFrame:
     """The chunk indexes that never arrived, one row each, for incomplete signals.
 
     Indexes are compared in buckets of bounded size instead of as one list per signal.
     """
     keys = list(keys)
     start, end = F.col("__bucket") * bucket, F.least((F.col("__bucket") + 1) * bucket, F.col("total_chunks"))
-    last_bucket = msg.whole_division(F.col("total_chunks") - 1, bucket)
-    expected = (
-        chunk_completeness(chunks, keys)
-        .filter("NOT is_complete")
-        .select(*keys, "total_chunks", F.explode(F.sequence(F.lit(0).cast("bigint"), last_bucket)).alias("__bucket"))
-        .select(*keys, "total_chunks", "__bucket", F.sequence(start, end - 1).alias("__expected"))
-    )
+    incomplete = _buckets(chunk_completeness(chunks, keys).filter("NOT is_complete"), bucket)
+    expected = incomplete.select(*keys, "total_chunks", "__bucket", F.sequence(start, end - 1).alias("__expected"))
     received = (
         chunks.select(*keys, F.col("chunk_index").cast("bigint").alias("__index"))
         .withColumn("__bucket", msg.whole_division(F.col("__index"), bucket))

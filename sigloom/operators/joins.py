@@ -28,6 +28,8 @@ def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "i
     return left.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
 
 
-def broadcast_if_small(df: DataFrame, row_bound: int, row_bytes: int = 256) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, row_bound: int, row_bytes: int = 256, limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """Mark for broadcast when at most ``row_bound`` rows can exist and they fit; otherwise leave the choice to Spark."""
-    return F.broadcast(df) if row_bound * row_bytes <= BROADCAST_BYTES else df
+    return F.broadcast(df) if row_bound * row_bytes <= limit else df

@@ -7,11 +7,11 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 from sigloom import fixed_values as fixed
 from sigloom.operators.batch import segment_rows, summary_rows
+from sigloom.shared_storage import written
 from sigloom.sinks.tables import append_partitioned, run_row, upsert_table
 from sigloom.sources.files import SignalFiles, choose_files
 
@@ -68,9 +68,9 @@ def run_batch(
         upsert_table(row, f"{output_dir}/runs", fixed.RUN_KEY)
         return finished_at
 
-    segments_df = None
     try:
-        segments_df = segment_rows(source.samples, run_id, started_at, segments).persist(StorageLevel.MEMORY_AND_DISK)
+        # Both outputs come from these rows; kept as a table, they outlive a lost executor.
+        segments_df = written(segment_rows(source, run_id, started_at, segments), "segments")
         summary_df = summary_rows(segments_df, threshold)
         segment_count = segments_df.count()
         if segment_count == 0:
@@ -90,9 +90,6 @@ def run_batch(
     except Exception:
         log_run("FAILED")
         raise
-    finally:
-        if segments_df is not None:
-            segments_df.unpersist()
     seconds = (finished_at - started_at).total_seconds()
     result = BatchResult(OK, run_id, total_files, skipped, segment_count, summary_count, seconds)
     logger.info(

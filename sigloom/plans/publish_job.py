@@ -73,10 +73,11 @@ def plan_messages(scan: InstanceScan, items: DataFrame, chunk_size: int = fixed.
     """All messages of the items. A file is read and cut once, however often its instance is replayed."""
     source = SignalFiles(scan.spark, scan.root, single_precision=True)
     files = ops.signal_files(scan.pairs).withColumnRenamed("instance_id", "original_product_instance_id")
-    published = written(items.join(files, "original_product_instance_id"), "published")
+    signals = source.signals.select("file_id", F.col("source_file").alias("path"))
+    published = written(items.join(files, "original_product_instance_id").join(signals, "path"), "published")
     # Samples of files that nobody publishes go before they are shuffled into chunks.
-    used = published.select(F.col("path").alias("source_file")).distinct()
-    samples = source.samples.join(broadcast_if_small(used, used.count()), "source_file", "left_semi")
-    chunks = chunk_samples(samples.drop("modified"), ["source_file"], chunk_size)
-    joined = published.join(chunks, F.col("path") == F.col("source_file"))
+    used = published.select("file_id").distinct()
+    samples = source.samples.join(broadcast_if_small(used, used.count(), 64), "file_id", "left_semi")
+    chunks = chunk_samples(samples, ["file_id"], chunk_size)
+    joined = chunks.join(broadcast_if_small(published, published.count(), 1024), "file_id")
     return build_messages(joined.withColumn("file_name", paths.file_name(F.col("path"))))

@@ -609,7 +609,7 @@ def _event_tree(spark, folder) -> str:
 
 def csv_batch_segments(spark, folder):
     source = SignalFiles(spark, _event_tree(spark, folder))
-    rows = segment_rows(source.samples, "00000000-0000-0000-0000-000000000001", "2024-01-01T10:20:30Z")
+    rows = segment_rows(source, "00000000-0000-0000-0000-000000000001", "2024-01-01T10:20:30Z")
     kind = F.regexp_extract("source_file", "event_type=([^/]+)/", 1).alias("event_type")
     block = F.regexp_extract("source_file", "block=([0-9]+)/", 1).cast("bigint").alias("block")
     return rows.select(
@@ -619,7 +619,7 @@ def csv_batch_segments(spark, folder):
 
 def csv_batch_summary(spark, folder):
     source = SignalFiles(spark, _event_tree(spark, folder))
-    rows = segment_rows(source.samples, "00000000-0000-0000-0000-000000000001", "2024-01-01T10:20:30Z")
+    rows = segment_rows(source, "00000000-0000-0000-0000-000000000001", "2024-01-01T10:20:30Z")
     kind = F.regexp_extract("source_file", "event_type=([^/]+)/", 1).alias("event_type")
     block = F.regexp_extract("source_file", "block=([0-9]+)/", 1).cast("bigint").alias("block")
     window = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("window_start", "window_end")]

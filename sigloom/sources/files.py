@@ -17,8 +17,10 @@ from sigloom.functions import paths, values
 from sigloom.operators.joins import broadcast_if_small
 from sigloom.shared_storage import written
 
-# A path and a few numbers.
-BLOCK_ROW_BYTES = 512
+# Bytes of a block in a broadcast table, found by hash or by its path, and what such a table may take in an executor.
+HASHED_BLOCK_BYTES = 80
+NAMED_BLOCK_BYTES = 512
+BLOCK_TABLE_BYTES = 512 * 1024 * 1024
 
 
 def _tree(spark: SparkSession, kind: str, root: str) -> DataFrame:
@@ -69,7 +71,11 @@ def choose_files(spark: SparkSession, root: str, max_files: int = 0, oldest_date
 
 
 class SignalFiles:
-    """A tree of signal files as DataFrames: ``files``, ``samples`` and ``skipped``."""
+    """A tree of signal files as DataFrames: ``files``, ``signals``, ``samples`` and ``skipped``.
+
+    Samples name their file by ``file_id``; ``signals`` holds what belongs to an id. Paths join results once those are
+    aggregated, so they are not carried along with every sample.
+    """
 
     def __init__(
         self, spark: SparkSession, root: str, choice: FileChoice = FileChoice(), single_precision: bool = False
@@ -104,45 +110,68 @@ class SignalFiles:
 
     @cached_property
     def _blocks(self) -> DataFrame:
-        """One row per block of a file: its first id, its sample count, and whether it can be decoded. Kept as a table."""
+        """One row per block of a file: its first id, its sample count, and whether it can be decoded. Kept as a table.
+
+        Counts combine before the shuffle, so this pass moves one row per block and nothing per sample.
+        """
         blocks = self._lines().groupBy("uri", "block_start").agg(
             F.min("id").alias("first_id"),
             F.count("*").alias("size"),
             F.bool_and("decodable").alias("decodable"),
+            F.max("modified").alias("modified"),
         )
-        return written(blocks, "blocks")
+        return written(blocks.withColumn("block_key", _block_key()), "blocks")
 
     @property
-    def samples(self) -> DataFrame:
-        """``source_file``, ``modified``, ``pos``, ``n``, ``value`` of every readable file.
-
-        The text is scanned twice: once for the block sizes, which are combined before any shuffle, and once for the
-        samples. That is cheaper than moving every sample through a shuffle and a sort.
-        """
+    def _placed(self) -> DataFrame:
+        """The blocks of readable files with the samples before them; the first id of a file stands for the file."""
         per_file = Window.partitionBy("uri")
         before = per_file.orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = (
-            self._blocks.select(
-                "uri",
-                "block_start",
-                paths.plain_path(F.col("uri")).alias("source_file"),
-                "first_id",
-                "size",
-                F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"),
-                F.sum("size").over(per_file).alias("n"),
-                F.bool_and("decodable").over(per_file).alias("readable"),
+        return (
+            self._blocks.withColumns(
+                {
+                    "start": F.coalesce(F.sum("size").over(before), F.lit(0)),
+                    "n": F.sum("size").over(per_file),
+                    "file_id": F.min("first_id").over(per_file),
+                    "readable": F.bool_and("decodable").over(per_file),
+                }
             )
             .filter("readable")
-            .drop("readable")
+            .drop("readable", "decodable")
         )
-        bounded = broadcast_if_small(offsets, self._blocks.count(), BLOCK_ROW_BYTES)
+
+    @property
+    def signals(self) -> DataFrame:
+        """``file_id``, ``source_file``, ``modified`` and ``n`` of every readable file."""
+        first = self._placed.filter("first_id = file_id")
+        return first.select("file_id", paths.plain_path(F.col("uri")).alias("source_file"), "modified", "n")
+
+    @property
+    def samples(self) -> DataFrame:
+        """``file_id``, ``pos``, ``n``, ``value`` of every readable file.
+
+        The text is scanned twice, once for the block sizes and once for the samples. That is cheaper than moving
+        every sample through a shuffle and a sort. Blocks are found by a hash of path and offset where that hash tells
+        all of them apart, which keeps the broadcast table small: at 15 MB per file
+        it holds the files of 100 TB. A larger table is joined by shuffle.
+        """
+        found = self._blocks.agg(F.count("*").alias("rows"), F.count_distinct("block_key").alias("keys")).first()
+        key = ["block_key"] if found["rows"] == found["keys"] else ["uri", "block_start"]
+        row_bytes = HASHED_BLOCK_BYTES if found["rows"] == found["keys"] else NAMED_BLOCK_BYTES
+        placed = self._placed.select(*key, "first_id", "size", "start", "n", "file_id")
+        bounded = broadcast_if_small(placed, found["rows"], row_bytes, BLOCK_TABLE_BYTES)
         in_block = F.col("id") - F.col("first_id")
         # A block whose ids moved between the two scans would have samples outside of it.
-        changed = F.raise_error(F.concat(F.lit("block changed between scans: "), F.col("uri"))).cast("bigint")
+        changed = F.raise_error(F.lit("a signal file changed between two scans")).cast("bigint")
         pos = F.when((in_block >= 0) & (in_block < F.col("size")), in_block + F.col("start")).otherwise(changed)
-        return self._lines().join(bounded, ["uri", "block_start"]).select(
-            "source_file", "modified", pos.alias("pos"), "n", "value"
-        )
+        lines = self._lines().withColumn("block_key", _block_key())
+        return lines.join(bounded, key).select("file_id", pos.alias("pos"), "n", "value")
+
+    def named(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``source_file`` and ``modified`` in place of ``file_id``."""
+        signals = self.signals.drop("n")
+        bounded = broadcast_if_small(signals, self._blocks.count(), NAMED_BLOCK_BYTES)
+        return df.join(bounded, "file_id").drop("file_id")
 
     @property
     def skipped(self) -> DataFrame:
@@ -154,3 +183,7 @@ class SignalFiles:
         )
         joined = self.files.select("source_file").join(seen, "source_file", "left")
         return joined.select("source_file", reason.alias("reason")).filter("reason IS NOT NULL")
+
+
+def _block_key() -> Column:
+    return F.xxhash64("uri", "block_start")

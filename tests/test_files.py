@@ -82,15 +82,10 @@ def test_choice_prunes_files_at_planning(spark, tmp_path, write_signal):
     for day in ("20220101", "20220102", "20220103"):
         write_signal(tmp_path / day / "x.csv", [1])
     source = SignalFiles(spark, str(tmp_path), FileChoice(event_date=dt.date(2022, 1, 2)))
-    scanned = source._lines()
-    assert scanned.count() == 1
-    plan = scanned.select("value")._jdf.queryExecution().executedPlan()
-    scanned.select("value").collect()
-    frame = scanned.select("value")
-    frame.collect()
-    leaf = frame._jdf.queryExecution().executedPlan().collectLeaves().head()
+    scanned = source._lines().select("value")
+    assert len(scanned.collect()) == 1
+    leaf = scanned._jdf.queryExecution().executedPlan().collectLeaves().head()
     assert leaf.metrics().get("numFiles").get().value() == 1
-    assert plan is not None
 
 
 def test_order_survives_many_blocks(spark, tmp_path, write_signal):
@@ -101,7 +96,7 @@ def test_order_survives_many_blocks(spark, tmp_path, write_signal):
     try:
         source = SignalFiles(spark, str(tmp_path))
         assert source._blocks.count() > 20
-        rows = source.samples.collect()
+        rows = source.named(source.samples).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(rows) == 20005
@@ -111,6 +106,34 @@ def test_order_survives_many_blocks(spark, tmp_path, write_signal):
     }
 
 
+def test_blocks_found_by_path_where_hashes_collide(spark, tmp_path, write_signal, monkeypatch):
+    write_signal(tmp_path / "a.csv", range(5))
+    write_signal(tmp_path / "b.csv", range(3))
+    monkeypatch.setattr("sigloom.sources.files._block_key", lambda: F.lit(1).cast("bigint"))
+    source = SignalFiles(spark, str(tmp_path))
+    assert sorted((r.n, r.pos, r.value) for r in source.samples.collect()) == [(3, i, float(i)) for i in range(3)] + [
+        (5, i, float(i)) for i in range(5)
+    ]
+
+
+def test_many_blocks_join_by_shuffle(spark, tmp_path, write_signal, monkeypatch):
+    for name in "abc":
+        write_signal(tmp_path / f"{name}.csv", range(50))
+    monkeypatch.setattr("sigloom.sources.files.BLOCK_TABLE_BYTES", 0)
+    monkeypatch.setattr("sigloom.operators.joins.BROADCAST_BYTES", 0)
+    source = SignalFiles(spark, str(tmp_path))
+    assert all(r.pos == r.value and r.n == 50 for r in source.named(source.samples).collect())
+
+
+def test_a_file_that_changes_between_scans_is_an_error(spark, tmp_path, write_signal):
+    write_signal(tmp_path / "a.csv", range(50))
+    source = SignalFiles(spark, str(tmp_path))
+    assert source._blocks.count() == 1
+    (tmp_path / "a.csv").write_text("\n".join(["7"] * 60))
+    with pytest.raises(Exception, match="changed between two scans"):
+        source.samples.collect()
+
+
 def test_numbering_needs_no_shuffle_of_samples(spark, tmp_path, write_signal):
     write_signal(tmp_path / "a.csv", range(100))
     plan = SignalFiles(spark, str(tmp_path)).samples._jdf.queryExecution().executedPlan().toString()
@@ -128,4 +151,4 @@ def test_bad_files_are_skipped_with_a_reason(spark, tmp_path, write_signal):
         ("header_only.csv", "no finite numeric samples"),
         ("broken.csv", "not valid UTF-8"),
     }
-    assert {r.source_file.rsplit("/", 1)[1] for r in source.samples.collect()} == {"a+b c.csv", "replacement.csv"}
+    assert {r.source_file.rsplit("/", 1)[1] for r in source.named(source.samples).collect()} == {"a+b c.csv", "replacement.csv"}
