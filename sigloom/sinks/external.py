@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sigloom import fixed_values as fixed
@@ -11,23 +13,70 @@ from sigloom.operators.messages import in_key_order, keyed_json
 KAFKA_OPTIONS = fixed.KAFKA_WRITE_OPTIONS
 SEGMENT_BATCH_ROWS = 2000
 SUMMARY_BATCH_ROWS = 1000
+POSTGRES_TYPES = {
+    "string": "TEXT",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE PRECISION",
+    "date": "DATE",
+    "timestamp": "TIMESTAMPTZ",
+}
+# The segment table of a database leaves out the file name, which the path ends with.
+DATABASE_TABLES = {
+    "segments": ([c for c in fixed.SEGMENT_COLUMNS if c != "file_name"], fixed.SEGMENT_KEY, (), SEGMENT_BATCH_ROWS),
+    "summary": (list(fixed.SUMMARY_COLUMNS), fixed.SUMMARY_KEY, (), SUMMARY_BATCH_ROWS),
+    "runs": (list(fixed.RUN_COLUMNS), fixed.RUN_KEY, ("started_at", "details"), SUMMARY_BATCH_ROWS),
+}
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = SUMMARY_BATCH_ROWS, mode: str = "append", **options):
-    """Fill a staging table; the database then merges it into the keyed table with one statement (``merge_sql``)."""
-    df.write.format("jdbc").options(url=url, dbtable=table, batchsize=batch_rows, **options).mode(mode).save()
+def create_table_sql(table: str, columns: dict[str, str], keys: list[str], types: dict[str, str]) -> str:
+    fields = [f"{name} {types[kind]}{' NOT NULL' if name in keys else ''}" for name, kind in columns.items()]
+    return f"CREATE TABLE {table} ({', '.join(fields)}, PRIMARY KEY ({', '.join(keys)}))"
 
 
 def merge_sql(target: str, staging: str, columns: list[str], keys: list[str], keep: tuple[str, ...] = ()) -> str:
-    """Insert-or-replace from staging, in PostgreSQL's words. ``keep`` names columns a conflict leaves alone."""
-    updates = [f"{c} = EXCLUDED.{c}" for c in columns if c not in keys and c not in keep]
-    listed = ", ".join(columns)
+    """Insert or replace from a staging table, in standard SQL. ``keep`` names columns a match leaves alone."""
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    updates = ", ".join(f"{c} = s.{c}" for c in columns if c not in keys and c not in keep)
+    values = ", ".join(f"s.{c}" for c in columns)
     return (
-        f"INSERT INTO {target} ({listed}) SELECT {listed} FROM {staging} "
-        f"ON CONFLICT ({', '.join(keys)}) DO UPDATE SET {', '.join(updates)}"
+        f"MERGE INTO {target} t USING {staging} s ON {on} WHEN MATCHED THEN UPDATE SET {updates} "
+        f"WHEN NOT MATCHED THEN INSERT ({', '.join(columns)}) VALUES ({values})"
     )
 
 
+def run_sql(spark: SparkSession, url: str, statements: list[str], user: str = "", password: str = "") -> None:
+    """Run statements in the database, in one transaction."""
+    connection = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url, user, password)
+    try:
+        connection.setAutoCommit(False)
+        for statement in statements:
+            connection.createStatement().execute(statement)
+        connection.commit()
+    finally:
+        connection.rollback()
+        connection.close()
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = SUMMARY_BATCH_ROWS, mode: str = "append", **options):
+    df.write.format("jdbc").options(url=url, dbtable=table, batchsize=batch_rows, **options).mode(mode).save()
+
+
+def upsert_database(df: DataFrame, url: str, name: str, table: str, user: str = "", password: str = "", **options) -> None:
+    """Upsert ``segments``, ``summary`` or ``runs`` rows into a database table.
+
+    Executors fill a staging table; the database then merges it by key in one statement.
+    """
+    columns, keys, keep, batch_rows = DATABASE_TABLES[name]
+    staging = f"{table}_staging_{uuid.uuid4().hex}"
+    login = {"user": user, "password": password} if user else {}
+    empty = f"CREATE TABLE {staging} AS SELECT {', '.join(columns)} FROM {table} WITH NO DATA"
+    run_sql(df.sparkSession, url, [empty], user, password)
+    write_jdbc(df.select(*columns), url, staging, batch_rows, **login, **options)
+    merge = merge_sql(table, staging, columns, keys, keep)
+    run_sql(df.sparkSession, url, [merge, f"DROP TABLE {staging}"], user, password)
+
+
 def write_kafka(messages: DataFrame, servers: str, topic: str, **options) -> None:
     """Publish a batch of messages, keyed per signal."""
     settings = KAFKA_OPTIONS | {"kafka.bootstrap.servers": servers} | options

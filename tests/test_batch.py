@@ -11,7 +11,7 @@ from sigloom import fixed_values as fixed
 from sigloom.operators.segments import in_contract
 from sigloom.operators.upsert import upsert_by_key
 from sigloom.plans.batch_job import NO_FILES, NO_SIGNALS, OK, run_batch
-from sigloom.sinks.external import merge_sql, write_jdbc
+from sigloom.sinks.external import DATABASE_TABLES, create_table_sql, merge_sql, run_sql, upsert_database, write_jdbc
 from sigloom.sinks.tables import create_tables, upsert_table
 
 RUN = "00000000-0000-0000-0000-000000000001"
@@ -159,18 +159,44 @@ def test_tables_in_the_catalog_take_the_contract(spark):
     spark.sql("DROP DATABASE sigloom_test CASCADE")
 
 
-def test_jdbc_staging(spark):
+DERBY = {
+    "string": "VARCHAR(1000)", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP"
+}
+
+
+def test_database_upsert(spark, tmp_path, tree):
     # The embedded database lives in this process and opens no port.
     url = "jdbc:derby:memory:sigloom;create=true"
-    rows = spark.range(2500).select(F.col("id"), (F.col("id") * 0.5).alias("v"))
-    write_jdbc(rows, url, "staging", batch_rows=1000, driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
-    back = spark.read.format("jdbc").options(url=url, dbtable="staging").load()
-    assert back.count() == 2500
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    tables = {}
+    for name, columns in (("segments", fixed.SEGMENT_COLUMNS), ("summary", fixed.SUMMARY_COLUMNS), ("runs", fixed.RUN_COLUMNS)):
+        kept = {c: columns[c] for c in DATABASE_TABLES[name][0]}
+        tables[name] = create_table_sql(f"sig_{name}", kept, DATABASE_TABLES[name][1], DERBY)
+
+    def rows(name):
+        return spark.read.format("jdbc").options(url=url, dbtable=f"sig_{name}", **driver).load()
+
+    write_jdbc(spark.range(2500), url, "warm_up", batch_rows=1000, **driver)
+    assert spark.read.format("jdbc").options(url=url, dbtable="warm_up", **driver).load().count() == 2500
+    run_sql(spark, url, list(tables.values()))
+    for threshold, decisions in ((0.35, ["PASS", "REVIEW"]), (0.01, ["REVIEW", "REVIEW"])):
+        out = f"{tmp_path}/{threshold}"
+        run_batch(spark, str(tree), out, run_id=RUN, threshold=threshold)
+        started = [spark.read.parquet(f"{out}/runs").first().started_at]
+        first_start = started[0] if threshold == 0.35 else first_start
+        for name in tables:
+            upsert_database(spark.read.parquet(f"{out}/{name}"), url, name, f"sig_{name}", **driver)
+        counts = {name: rows(name).count() for name in tables}
+        assert counts == {"segments": 32, "summary": 2, "runs": 1}
+        summary = rows("summary").toDF(*[c.lower() for c in rows("summary").columns])
+        assert [r.quality_decision for r in summary.orderBy("line_number").collect()] == decisions
+        run = rows("runs").toDF(*[c.lower() for c in rows("runs").columns]).first()
+        # A match replaces all but the start.
+        assert (run.started_at, run.output_dir) == (first_start, out)
 
 
 def test_merge_statement():
-    text = merge_sql("runs", "staged", ["run_id", "status", "started_at"], ["run_id"], keep=("started_at",))
-    assert text == (
-        "INSERT INTO runs (run_id, status, started_at) SELECT run_id, status, started_at FROM staged "
-        "ON CONFLICT (run_id) DO UPDATE SET status = EXCLUDED.status"
+    assert merge_sql("runs", "staged", ["run_id", "status", "started_at"], ["run_id"], keep=("started_at",)) == (
+        "MERGE INTO runs t USING staged s ON t.run_id = s.run_id WHEN MATCHED THEN UPDATE SET status = s.status "
+        "WHEN NOT MATCHED THEN INSERT (run_id, status, started_at) VALUES (s.run_id, s.status, s.started_at)"
     )
