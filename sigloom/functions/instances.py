@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from sigloom import fixed_values as fixed
 from sigloom.functions import paths
 
-def event_time(date: Column, time: Column | str = "000000") -> Column:
-    return F.try_to_timestamp(F.concat(date, F.lit(time)), F.lit("yyyyMMddHHmmss"))
+def event_time(date: Column, time: Column | None = None) -> Column:
+    """Time of eight and six digits, midnight if the latter are not given; NULL for an impossible one."""
+    day = paths.dashed(date)
+    if time is None:
+        return day.try_cast("timestamp")
+    clock = F.concat_ws(":", F.substring(time, 1, 2), F.substring(time, 3, 2), F.substring(time, 5, 2))
+    return F.concat_ws(" ", day, clock).try_cast("timestamp")
 
 
 def iso_utc(moment: Column) -> Column:

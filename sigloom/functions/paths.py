@@ -42,11 +42,16 @@ def file_stem(name: Column) -> Column:
     return F.regexp_replace(name, r"\.csv$", "")
 
 
+def dashed(digits: Column) -> Column:
+    """``20220417`` -> ``2022-04-17``, which a cast reads faster than a pattern does."""
+    return F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
+
+
 def event_date(path: Column, modified: Column | None = None) -> Column:
     """The leftmost date in the path, else the day the file was modified; NULL for an impossible date."""
     digits = F.regexp_extract(path, fixed.PATH_DATE_PATTERN, 0)
     fallback = F.lit(None).cast("date") if modified is None else modified.cast("date")
-    return F.when(digits == "", fallback).otherwise(F.try_to_date(digits, "yyyyMMdd"))
+    return F.when(digits == "", fallback).otherwise(dashed(digits).try_cast("date"))
 
 
 def line_number(name: Column) -> Column:

@@ -8,10 +8,12 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from sigloom import fixed_values as fixed
 from sigloom.operators.batch import segment_rows, summary_rows
-from sigloom.shared_storage import written
+from sigloom.shared_storage import path_exists, written
+from sigloom.sinks.external import DATABASE_TABLES, upsert_database
 from sigloom.sinks.tables import append_partitioned, run_row, upsert_table
 from sigloom.sources.files import SignalFiles, choose_files
 
@@ -54,8 +56,10 @@ def run_batch(
         raise ValueError("mode must be 'append' or 'upsert'")
     run_id = str(uuid.UUID(run_id)) if run_id else str(uuid.uuid4())
     started_at = datetime.now(timezone.utc)
-    source = SignalFiles(spark, input_dir, choose_files(spark, input_dir, max_files, oldest_date_only))
-    total_files = source.files.count()
+    total_files = 0
+    if path_exists(spark, input_dir):
+        source = SignalFiles(spark, input_dir, choose_files(spark, input_dir, max_files, oldest_date_only))
+        total_files = source.files.count()
     if total_files == 0:
         logger.warning("no CSV files in %s", input_dir)
         return BatchResult(NO_FILES, run_id)
@@ -97,3 +101,13 @@ def run_batch(
         run_id, total_files, skipped, segment_count, summary_count, seconds, result.per_second(total_files),
     )
     return result
+
+
+def export_run(spark: SparkSession, output_dir: str, run_id: str, url: str, table_prefix: str = "", **login) -> None:
+    """Upsert one run's segments, summary and run row into a database. Of repeated runs, the last one counts."""
+    for name in DATABASE_TABLES:
+        rows = spark.read.parquet(f"{output_dir}/{name}").filter(F.col("run_id") == run_id)
+        if "processed_at" in rows.columns:
+            last = rows.agg(F.max("processed_at").alias("t")).select(F.col("t").cast("string")).first()["t"]
+            rows = rows.filter(F.col("processed_at") == F.lit(last).cast("timestamp"))
+        upsert_database(rows, url, name, f"{table_prefix}{name}", **login)

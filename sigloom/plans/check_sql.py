@@ -270,9 +270,9 @@ SELECT count(*) AS product_instances, count(*) FILTER (NOT is_duplicate) AS orig
 SELECT printf('%s_%s_L%02d_%s', line_id, instance, lead_num, code) AS key, printf('%s:L%02d:%s:%06d', instance, lead_num, code, chunk_index) AS message_id,
   line_id, CASE WHEN lead_num % 2 = 1 THEN 'AL_CU' ELSE 'CU_CU' END AS lead_type, CASE WHEN code = 'LB' THEN 'LaserB' ELSE 'LaserA' END AS channel_name,
   strftime(first_ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(first_ts, '%f') = '000000' THEN '' ELSE '.' || strftime(first_ts, '%f') END || 'Z' AS event_time,
-  CASE WHEN chunk_index = total_chunks - 1 THEN 'true' ELSE 'false' END AS is_last_chunk, lead_num, channel, chunk_index, total_chunks,
+  chunk_index = total_chunks - 1 AS is_last_chunk, lead_num, channel, chunk_index, total_chunks,
   chunk_index * 16 AS start_sample, least(chunk_index * 16 + 16, n) AS end_sample, CAST(25000 AS BIGINT) AS sample_rate_hz,
-  printf('%d_user_%d.csv', user_id % 4 + 1, user_id) AS file_name, 'false' AS is_duplicate, samples, round(total, 2) AS total_value
+  printf('%d_user_%d.csv', user_id % 4 + 1, user_id) AS file_name, false AS is_duplicate, samples, round(total, 2) AS total_value
 FROM messages""",
     "validate_messages": f"WITH {FAULTS} SELECT event_id, errors FROM faults",
     "route_messages": ROUTED,

@@ -27,7 +27,7 @@ from sigloom.sinks.tables import append_partitioned, upsert_table
 from sigloom.sources.files import SignalFiles
 from sigloom.sources.messages import stream_message_files
 from sigloom.sources.tables import samples_from_arrays, samples_from_rows
-from sigloom.streaming import pipeline
+from sigloom.streaming import message_streams
 
 CHUNK = 16
 
@@ -414,24 +414,17 @@ def _user_messages(spark, folder) -> DataFrame:
 
 
 def message_json(spark, folder):
-    rows = mops.keyed_json(_user_messages(spark, folder), "raw")
-
-    def field(path: str) -> Column:
-        return F.get_json_object("value", f"$.{path}")
-
-    samples = F.from_json(field("samples"), "array<double>")
-    total = F.aggregate(samples, F.lit(0.0), lambda a, v: a + v)
-    texts = ["message_id", "line_id", "lead_type", "channel_name", "event_time", "is_last_chunk"]
+    """Messages written as JSON and read back."""
+    rows = mops.keyed_json(_user_messages(spark, folder), "raw").select("key", "value")
+    total = F.aggregate("samples", F.lit(0.0), lambda a, v: a + v)
     numbers = ["lead_num", "channel", "chunk_index", "total_chunks", "start_sample", "end_sample", "sample_rate_hz"]
-    return rows.select(
-        "key",
-        *[field(name).alias(name) for name in texts],
-        *[field(name).cast("bigint").alias(name) for name in numbers],
-        field("metadata.file_name").alias("file_name"),
-        field("metadata.is_duplicate").alias("is_duplicate"),
-        F.size(samples).cast("bigint").alias("samples"),
+    return mops.parse_messages(rows).select(
+        "key", "message_id", "line_id", "lead_type", "channel_name", "event_time", "is_last_chunk",
+        *whole(*numbers),
+        "metadata.file_name", "metadata.is_duplicate",
+        F.size("samples").cast("bigint").alias("samples"),
         F.round(total, 2).alias("total_value"),
-    )
+    )
 
 
 def _event_messages(spark, folder) -> DataFrame:
@@ -489,7 +482,7 @@ def validate_messages(spark, folder):
 
 
 def route_messages(spark, folder):
-    checked = mops.check_messages(_faulty_json(spark, folder))
+    checked = written(mops.check_messages(_faulty_json(spark, folder)), "checked")
     valid = mops.valid_messages(checked).select(F.lit("valid").alias("route"), F.lit("").alias("first_error"))
     dead = mops.dead_letters(checked).select(F.lit("dead").alias("route"), F.get("errors", F.lit(0)).alias("first_error"))
     return valid.unionByName(dead).groupBy("route", "first_error").agg(F.count("*").alias("messages"))
@@ -569,7 +562,7 @@ def upsert_by_key_summary(spark, folder):
 
 def upsert_table_rerun(spark, folder):
     path = fresh_path(spark, "upsert")
-    first, later = _summary_versions(spark, folder)
+    first, later = (written(version, "version") for version in _summary_versions(spark, folder))
     for version in (first, later, later):
         upsert_table(version, path, ["user_id", "event_type"], ["event_type"])
     return _versions_report(spark.read.parquet(path))
@@ -580,6 +573,7 @@ def append_partitioned_rerun(spark, folder):
     keys = ["user_id", "day"]
     summary = signal_summary(segment_stats(event_samples(spark, folder, *keys), keys), keys)
     rows = summary.select(F.col("day").alias("event_date"), (F.col("user_id") % 4).alias("line_number"), "total_samples")
+    rows = written(rows, "rows")
     for _ in range(2):
         append_partitioned(rows, path)
     back = spark.read.parquet(path)
@@ -644,7 +638,7 @@ def stream_hourly(spark, folder):
     decided = events.select(
         F.col("ts").cast("timestamp").alias("event_time"), seg.quality_decision(F.col("value"), 100.0).alias("quality_decision")
     )
-    _run(pipeline.append_to_files(pipeline.hourly_decisions(decided), out, checkpoint, available_now=True))
+    _run(message_streams.append_to_files(message_streams.hourly_decisions(decided), out, checkpoint, available_now=True))
     pattern = "yyyy-MM-dd HH:mm:ss"
     return spark.read.parquet(out).select(
         *[F.date_format(c, pattern).alias(c) for c in ("window_start", "window_end")], "quality_decision", "signals"
@@ -655,7 +649,7 @@ def stream_route(spark, folder):
     raw, valid, dead = (fresh_path(spark, n) for n in ("raw", "valid", "dead"))
     _faulty_json(spark, folder).select(F.lit("raw").alias("topic"), F.lit(None).cast("string").alias("key"), "value").write.json(raw)
     source = stream_message_files(spark, raw)
-    _run(pipeline.route_messages(source, valid, dead, fresh_path(spark, "stream"), available_now=True))
+    _run(message_streams.route_messages(source, valid, dead, fresh_path(spark, "stream"), available_now=True))
     ok = spark.read.parquet(valid).select(F.lit("valid").alias("route"), F.lit("").alias("first_error"))
     bad = spark.read.parquet(dead).select(F.lit("dead").alias("route"), F.get("errors", F.lit(0)).alias("first_error"))
     return ok.unionByName(bad).groupBy("route", "first_error").agg(F.count("*").alias("messages"))
@@ -667,10 +661,10 @@ def stream_scores(spark, folder):
     rows = mops.keyed_json(_user_messages(spark, folder), "raw").drop("chunk_index")
     rows.unionByName(rows).write.json(raw)
     source = stream_message_files(spark, raw)
-    _run(pipeline.route_messages(source, valid, dead, fresh_path(spark, "stream"), available_now=True))
+    _run(message_streams.route_messages(source, valid, dead, fresh_path(spark, "stream"), available_now=True))
     stored = spark.readStream.schema(spark.read.parquet(valid).schema).parquet(valid)
-    complete = pipeline.signal_completeness(pipeline.once_each(stored, "1 minute"))
-    _run(pipeline.score_signals(complete, valid, out, fresh_path(spark, "stream"), available_now=True))
+    complete = message_streams.signal_completeness(message_streams.once_each(stored, "1 minute"))
+    _run(message_streams.score_signals(complete, valid, out, fresh_path(spark, "stream"), available_now=True))
     return spark.read.parquet(out).select(
         "product_instance_id", *whole("lead_num", "channel", "record_count", "total_samples"), *scores(), "quality_decision"
     )

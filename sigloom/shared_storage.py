@@ -8,16 +8,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders of local sessions that name none, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder. Only a local session without one gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="sigloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="sigloom-")
+    return _LOCAL_FOLDERS[context.applicationId]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sigloom import fixed_values as fixed
 from sigloom.operators.joins import broadcast_if_small
 from sigloom.operators.upsert import upsert_by_key
-from sigloom.shared_storage import written
+from sigloom.shared_storage import path_exists, written
 
 PARTITION_COLUMNS = ["event_date", "line_number"]
 TABLES = {
@@ -49,7 +49,7 @@ def upsert_table(incoming: DataFrame, path: str, keys: Sequence[str], partitions
     spark = incoming.sparkSession
     incoming = written(incoming, "incoming")
     merged = incoming
-    if _exists(spark, path):
+    if path_exists(spark, path):
         existing = spark.read.schema(incoming.schema).parquet(path)
         touched = incoming.select(*partitions).distinct()
         touched = broadcast_if_small(touched, touched.count())
@@ -63,11 +63,6 @@ def upsert_table(incoming: DataFrame, path: str, keys: Sequence[str], partitions
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def run_row(
     spark: SparkSession, run_id, status, started_at, finished_at, total_files, segment_rows, summary_rows, output_dir
 ) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from sigloom import fixed_values as fixed
 from sigloom.operators.segments import in_contract
 from sigloom.operators.upsert import upsert_by_key
-from sigloom.plans.batch_job import NO_FILES, NO_SIGNALS, OK, run_batch
-from sigloom.sinks.external import DATABASE_TABLES, create_table_sql, merge_sql, run_sql, upsert_database, write_jdbc
+from sigloom.plans.batch_job import NO_FILES, NO_SIGNALS, OK, export_run, run_batch
+from sigloom.sinks.external import DATABASE_TABLES, create_table_sql, merge_sql, run_sql, write_jdbc
 from sigloom.sinks.tables import create_tables, upsert_table
 
 RUN = "00000000-0000-0000-0000-000000000001"
@@ -96,6 +96,7 @@ def test_cap_and_oldest_date(spark, tmp_path, tree):
 def test_nothing_to_do(spark, tmp_path, write_signal):
     (tmp_path / "empty").mkdir()
     assert run_batch(spark, str(tmp_path / "empty"), str(tmp_path / "out")).code == NO_FILES
+    assert run_batch(spark, str(tmp_path / "nowhere"), str(tmp_path / "out")).code == NO_FILES
     write_signal(tmp_path / "text" / "a.csv", ["x", "nan"])
     assert run_batch(spark, str(tmp_path / "text"), str(tmp_path / "out")).code == NO_SIGNALS
     assert [r.status for r in spark.read.parquet(f"{tmp_path}/out/runs").collect()] == ["FAILED"]
@@ -179,20 +180,19 @@ def test_database_upsert(spark, tmp_path, tree):
     write_jdbc(spark.range(2500), url, "warm_up", batch_rows=1000, **driver)
     assert spark.read.format("jdbc").options(url=url, dbtable="warm_up", **driver).load().count() == 2500
     run_sql(spark, url, list(tables.values()))
+    out = str(tmp_path / "out")
     for threshold, decisions in ((0.35, ["PASS", "REVIEW"]), (0.01, ["REVIEW", "REVIEW"])):
-        out = f"{tmp_path}/{threshold}"
         run_batch(spark, str(tree), out, run_id=RUN, threshold=threshold)
-        started = [spark.read.parquet(f"{out}/runs").first().started_at]
-        first_start = started[0] if threshold == 0.35 else first_start
-        for name in tables:
-            upsert_database(spark.read.parquet(f"{out}/{name}"), url, name, f"sig_{name}", **driver)
+        export_run(spark, out, RUN, url, "sig_", **driver)
         counts = {name: rows(name).count() for name in tables}
         assert counts == {"segments": 32, "summary": 2, "runs": 1}
         summary = rows("summary").toDF(*[c.lower() for c in rows("summary").columns])
         assert [r.quality_decision for r in summary.orderBy("line_number").collect()] == decisions
         run = rows("runs").toDF(*[c.lower() for c in rows("runs").columns]).first()
+        stored = spark.read.parquet(f"{out}/runs").first()
         # A match replaces all but the start.
-        assert (run.started_at, run.output_dir) == (first_start, out)
+        started = stored.started_at if threshold == 0.35 else started
+        assert (run.started_at, run.finished_at) == (started, stored.finished_at)
 
 
 def test_merge_statement():

@@ -13,7 +13,7 @@ from sigloom.operators.messages import (
 )
 from sigloom.operators.segments import segment_stats, signal_summary
 from sigloom.sources.messages import stream_message_files
-from sigloom.streaming import pipeline
+from sigloom.streaming import message_streams
 
 GOOD = {
     "message_id": "i:L01:LB:000000", "product_instance_id": "i", "product_id": "p", "line_id": "LINE_01", "lead_num": 1,
@@ -130,7 +130,7 @@ def finish(query):
 
 def route(spark, tmp_path):
     source = stream_message_files(spark, str(tmp_path / "raw"), max_files_per_trigger=2)
-    query = pipeline.route_messages(
+    query = message_streams.route_messages(
         source, str(tmp_path / "valid"), str(tmp_path / "dead"), str(tmp_path / "route"), available_now=True
     )
     finish(query)
@@ -140,7 +140,7 @@ def route(spark, tmp_path):
 def completeness(spark, tmp_path, delay="10 minutes"):
     valid = str(tmp_path / "valid")
     stored = spark.readStream.schema(spark.read.parquet(valid).schema).parquet(valid)
-    return pipeline.signal_completeness(pipeline.once_each(stored, delay))
+    return message_streams.signal_completeness(message_streams.once_each(stored, delay))
 
 
 def test_stream_from_raw_to_scores(spark, tmp_path):
@@ -156,15 +156,15 @@ def test_stream_from_raw_to_scores(spark, tmp_path):
     before = valid.count()
     assert route(spark, tmp_path).count() == before
 
-    pipeline_args = dict(checkpoint=str(tmp_path / "complete_ck"), available_now=True)
-    finish(pipeline.append_to_files(completeness(spark, tmp_path), str(tmp_path / "complete"), **pipeline_args))
+    stream_args = dict(checkpoint=str(tmp_path / "complete_ck"), available_now=True)
+    finish(message_streams.append_to_files(completeness(spark, tmp_path), str(tmp_path / "complete"), **stream_args))
     done = spark.read.parquet(str(tmp_path / "complete")).collect()
     assert sorted((r.product_instance_id, r.channel, r.received_chunks, r.is_complete) for r in done) == [
         ("i1", 0, 5, True), ("i1", 1, 4, True), ("i2", 0, 4, False)
     ]
 
     finish(
-        pipeline.score_signals(
+        message_streams.score_signals(
             completeness(spark, tmp_path), str(tmp_path / "valid"), str(tmp_path / "scores"), str(tmp_path / "score_ck"),
             available_now=True,
         )
@@ -189,8 +189,8 @@ def test_repeats_within_the_delay_and_late_rows(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema(schema + ", b INT").parquet(str(folder)).drop("b")
-        once = pipeline.once_each(stream, "10 minutes")
-        return finish(pipeline.append_to_files(once, str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True))
+        once = message_streams.once_each(stream, "10 minutes")
+        return finish(message_streams.append_to_files(once, str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True))
 
     arrive(1, [("a", at(0)), ("a", at(0)), ("b", at(1))])
     run()
@@ -200,12 +200,12 @@ def test_repeats_within_the_delay_and_late_rows(spark, tmp_path):
     query = run()
     got = sorted(r.message_id for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == ["a", "b", "c", "d"]
-    assert pipeline.late_rows(query) == 1
+    assert message_streams.late_rows(query) == 1
 
 
 def test_topic_per_row(spark):
     rows = spark.createDataFrame([("k1", json.dumps(GOOD)), ("k2", "oops")], "key STRING, value STRING")
-    got = {r.key: (r.topic, r.value) for r in pipeline.by_topic(rows, "ok", "dlq").collect()}
+    got = {r.key: (r.topic, r.value) for r in message_streams.by_topic(rows, "ok", "dlq").collect()}
     assert got["k1"] == ("ok", json.dumps(GOOD))
     assert got["k2"][0] == "dlq" and json.loads(got["k2"][1]) == {"value": "oops", "errors": ["unreadable"]}
 
@@ -215,8 +215,8 @@ def test_hourly_roll_up_equals_batch(spark, tmp_path):
     spark.createDataFrame(rows, "event_time TIMESTAMP, quality_decision STRING").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("event_time TIMESTAMP, quality_decision STRING").parquet(str(tmp_path / "in"))
     finish(
-        pipeline.append_to_files(
-            pipeline.hourly_decisions(stream), str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True
+        message_streams.append_to_files(
+            message_streams.hourly_decisions(stream), str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True
         )
     )
     got = sorted((r.window_start.hour, r.quality_decision, r.signals) for r in spark.read.parquet(str(tmp_path / "out")).collect())
