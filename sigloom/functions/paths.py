@@ -5,28 +5,27 @@ The publish job reads names by other rules (``functions/instances.py``); the two
 
 from __future__ import annotations
 
-import os
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sigloom import fixed_values as fixed
 
+LOCAL_SCHEME = "^file:/+"
+
 
 def plain_path(uri: Column) -> Column:
     """The readable path behind a ``_metadata.file_path`` value; local files lose their ``file:`` scheme."""
     # '+' stands for itself in these URIs, while url_decode would turn it into a space.
     decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, "^file:/+", "/")
+    return F.regexp_replace(decoded, LOCAL_SCHEME, "/")
 
 
-def absolute_root(root: str) -> str:
-    """``root`` in the form ``plain_path`` gives its files."""
-    if root.startswith("file:"):
-        root = "/" + root[len("file:"):].lstrip("/")
-    elif "://" not in root:
-        root = os.path.abspath(root)
-    return root.rstrip("/")
+def below(path: Column, root: str) -> Column:
+    """The part of a plain path below a qualified root."""
+    top = re.sub(LOCAL_SCHEME, "/", root).rstrip("/")
+    return F.when(F.startswith(path, F.lit(f"{top}/")), F.substring(path, F.lit(len(top) + 2), F.length(path))).otherwise(path)
 
 
 def path_parts(path: Column) -> Column:

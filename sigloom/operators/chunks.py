@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigloom import fixed_values as fixed
@@ -52,20 +52,27 @@ def chunk_arrays(df: DataFrame, array: str, size: int = fixed.CHUNK_SIZE) -> Dat
     return chunks.drop("n", *([] if array == "samples" else [array]))
 
 
+def arrival_counts() -> list[Column]:
+    """Aggregates over the chunks of a signal: numbers only, so a signal may have any number of chunks."""
+    size = F.size("samples")
+    return [
+        F.max("total_chunks").alias("total_chunks"),
+        F.count("*").alias("received_chunks"),
+        F.sum(size).alias("n"),
+        F.max(size).alias("chunk_size"),
+    ]
+
+
+def is_complete() -> Column:
+    return F.col("received_chunks") == F.col("total_chunks")
+
+
 def chunk_completeness(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per signal: chunks expected and received, whether all are there, and how many samples they hold.
 
-    Repeats must be gone (``drop_repeats``). Only counts travel, so a signal may have any number of chunks.
+    Repeats must be gone (``drop_repeats``).
     """
-    return (
-        chunks.groupBy(*keys)
-        .agg(
-            F.max("total_chunks").alias("total_chunks"),
-            F.count("*").alias("received_chunks"),
-            F.sum(F.size("samples")).alias("n"),
-        )
-        .withColumn("is_complete", F.col("received_chunks") == F.col("total_chunks"))
-    )
+    return chunks.groupBy(*keys).agg(*arrival_counts()).withColumn("is_complete", is_complete())
 
 
 def samples_of_chunks(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,21 +82,27 @@ def samples_of_chunks(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def reassemble(chunks: DataFrame, keys: Sequence[str], bucket: int = BUCKET) -> DataFrame:
+def reassemble(
+    chunks: DataFrame, keys: Sequence[str], completeness: DataFrame | None = None, bucket: int = BUCKET
+) -> DataFrame:
     """Numbered samples (keys, ``pos``, ``n``, ``value``) of the complete signals.
 
     Signals are never built as one array: that row would have no bound. Chunks meet their signal per bucket of
-    chunk indexes, which spreads a signal with very many chunks over tasks.
+    chunk indexes, which spreads a signal with very many chunks over tasks. A message may leave out where its chunk
+    starts; all chunks but the last are of one size, so the index tells.
     """
     keys = list(keys)
-    complete = _buckets(chunk_completeness(chunks, keys).filter("is_complete"), bucket).select(*keys, "n", "__bucket")
+    if completeness is None:
+        completeness = chunk_completeness(chunks, keys)
+    complete = _buckets(completeness.filter("is_complete"), bucket).select(*keys, "n", "chunk_size", "__bucket")
     kept = chunks.select(*keys, "chunk_index", "start_sample", "samples").withColumn(
         "__bucket", msg.whole_division(F.col("chunk_index"), bucket)
     )
+    start = F.coalesce(F.col("start_sample").cast("bigint"), F.col("chunk_index").cast("bigint") * F.col("chunk_size"))
     return (
         kept.join(complete, [*keys, "__bucket"])
-        .select(*keys, "n", "start_sample", F.posexplode("samples").alias("__i", "value"))
-        .select(*keys, (F.col("start_sample") + F.col("__i")).alias("pos"), "n", "value")
+        .select(*keys, "n", start.alias("__start"), F.posexplode("samples").alias("__i", "value"))
+        .select(*keys, (F.col("__start") + F.col("__i")).alias("pos"), "n", "value")
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sigloom import fixed_values as fixed
 from sigloom.operators.batch import segment_rows, summary_rows
-from sigloom.shared_storage import path_exists, written
+from sigloom.shared_storage import path_exists, scratch, written
 from sigloom.sinks.external import DATABASE_TABLES, upsert_database
 from sigloom.sinks.tables import append_partitioned, run_row, upsert_table
 from sigloom.sources.files import SignalFiles, choose_files
@@ -72,28 +72,29 @@ def run_batch(
         upsert_table(row, f"{output_dir}/runs", fixed.RUN_KEY)
         return finished_at
 
-    try:
-        # Both outputs come from these rows; kept as a table, they outlive a lost executor.
-        segments_df = written(segment_rows(source, run_id, started_at, segments), "segments")
-        summary_df = summary_rows(segments_df, threshold)
-        segment_count = segments_df.count()
-        if segment_count == 0:
-            logger.error("no valid signals in %s", input_dir)
+    with scratch(spark):
+        try:
+            # Both outputs come from these rows; kept as a table, they outlive a lost executor.
+            segments_df = written(segment_rows(source, run_id, started_at, segments), "segments")
+            summary_df = summary_rows(segments_df, threshold)
+            segment_count = segments_df.count()
+            if segment_count == 0:
+                logger.error("no valid signals in %s", input_dir)
+                log_run("FAILED")
+                return BatchResult(NO_SIGNALS, run_id, total_files, total_files)
+            if mode == "append":
+                append_partitioned(segments_df, f"{output_dir}/segments")
+                append_partitioned(summary_df, f"{output_dir}/summary")
+            else:
+                upsert_table(segments_df, f"{output_dir}/segments", fixed.SEGMENT_KEY)
+                upsert_table(summary_df, f"{output_dir}/summary", fixed.SUMMARY_KEY)
+            # Every signal has exactly ``segments`` segment rows and one summary row.
+            summary_count = segment_count // segments
+            skipped = source.skipped.count()
+            finished_at = log_run("SUCCESS", segment_count, summary_count)
+        except Exception:
             log_run("FAILED")
-            return BatchResult(NO_SIGNALS, run_id, total_files, total_files)
-        if mode == "append":
-            append_partitioned(segments_df, f"{output_dir}/segments")
-            append_partitioned(summary_df, f"{output_dir}/summary")
-        else:
-            upsert_table(segments_df, f"{output_dir}/segments", fixed.SEGMENT_KEY)
-            upsert_table(summary_df, f"{output_dir}/summary", fixed.SUMMARY_KEY)
-        # Every signal has exactly ``segments`` segment rows and one summary row.
-        summary_count = segment_count // segments
-        skipped = source.skipped.count()
-        finished_at = log_run("SUCCESS", segment_count, summary_count)
-    except Exception:
-        log_run("FAILED")
-        raise
+            raise
     seconds = (finished_at - started_at).total_seconds()
     result = BatchResult(OK, run_id, total_files, skipped, segment_count, summary_count, seconds)
     logger.info(

@@ -15,7 +15,7 @@ from sigloom.operators.joins import broadcast_if_small
 from sigloom.operators.dates import on_oldest_date
 from sigloom.operators.messages import build_messages
 from sigloom.operators.replay import replay_items
-from sigloom.shared_storage import written
+from sigloom.shared_storage import qualified_path, written
 from sigloom.sources.files import SignalFiles, list_files
 
 
@@ -24,8 +24,7 @@ class InstanceScan:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
-        top = paths.absolute_root(root)
-        relative = F.regexp_replace(F.col("path"), F.lit(f"^\\Q{top}\\E/"), F.lit(""))
+        relative = paths.below(F.col("path"), qualified_path(spark, root))
         listed = list_files(spark, root).select(F.col("source_file").alias("path"))
         self.parsed = written(ops.parse_instances(listed, relative), "listing")
 

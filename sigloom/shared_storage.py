@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,13 +28,43 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[context.applicationId]
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop(spark: SparkSession, path: str):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, hadoop_path = _hadoop(spark, path)
+    return system.exists(hadoop_path)
+
+
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and host, as file listings give it."""
+    system, hadoop_path = _hadoop(spark, path)
+    return system.makeQualified(hadoop_path).toString()
+
+
+_SCRATCH = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end, so results must be stored by then."""
+    outer, _SCRATCH.paths = getattr(_SCRATCH, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.paths:
+            system, hadoop_path = _hadoop(spark, path)
+            system.delete(hadoop_path, True)
+        _SCRATCH.paths = outer
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4()}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4()}"
+    if getattr(_SCRATCH, "paths", None) is not None:
+        _SCRATCH.paths.append(path)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

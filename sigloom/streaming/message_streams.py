@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sigloom import fixed_values as fixed
-from sigloom.operators.chunks import reassemble
+from sigloom.operators.chunks import arrival_counts, is_complete, reassemble
 from sigloom.operators.messages import SIGNAL_KEY, check_messages, dead_letters, drop_repeats, valid_messages
 from sigloom.operators.segments import segment_stats, signal_summary
 
@@ -67,8 +67,8 @@ def signal_completeness(messages: DataFrame) -> DataFrame:
     """
     return (
         messages.groupBy("event_time", *SIGNAL_KEY)
-        .agg(F.max("total_chunks").alias("total_chunks"), F.count("*").alias("received_chunks"))
-        .withColumn("is_complete", F.col("received_chunks") == F.col("total_chunks"))
+        .agg(*arrival_counts())
+        .withColumn("is_complete", is_complete())
     )
 
 
@@ -85,7 +85,7 @@ def score_signals(
     keys = ["event_time", *SIGNAL_KEY]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        complete = batch.filter("is_complete").select(*keys).persist()
+        complete = batch.filter("is_complete").persist()
         try:
             days = complete.agg(*[f(F.to_date("event_time")).alias(n) for f, n in ((F.min, "lo"), (F.max, "hi"))]).first()
             if days["lo"] is None:
@@ -93,9 +93,9 @@ def score_signals(
             chunks = (
                 batch.sparkSession.read.parquet(valid_path)
                 .filter(F.col("event_date").between(days["lo"], days["hi"]))
-                .join(complete, keys, "left_semi")
+                .join(complete.select(*keys), keys, "left_semi")
             )
-            samples = reassemble(drop_repeats(chunks), keys)
+            samples = reassemble(drop_repeats(chunks), keys, complete)
             summary = signal_summary(segment_stats(samples, keys, segments), keys, threshold)
             summary.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         finally:

@@ -54,6 +54,15 @@ def test_rows_of_a_run(spark, tmp_path, tree):
     assert (run.total_segment_rows, run.total_summary_rows, run.details) == (32, 2, "{}")
 
 
+def test_a_run_leaves_no_intermediate_tables(spark, tmp_path, tree):
+    from pathlib import Path
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    run_batch(spark, str(tree), str(tmp_path / "out"))
+    assert {p for p in folder.iterdir() if p not in before} == set()
+
+
 def test_statistics_against_plain_python(spark, tmp_path, write_signal):
     values = [math.sin(i) * 100 for i in range(101)]
     write_signal(tmp_path / "in" / "20220417_x.csv", values)

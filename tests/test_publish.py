@@ -241,7 +241,9 @@ def test_chunks_join_up_to_the_signal(spark, size):
     assert chunks.count() == -(-23 // size)
     whole = sorted(map(tuple, samples.select("sig", "pos", "value").collect()))
     assert sorted(map(tuple, samples_of_chunks(chunks, ["sig"]).collect())) == whole
-    assert sorted(map(tuple, reassemble(chunks, ["sig"]).select("sig", "pos", "value").collect())) == whole
+    for stored in (chunks, chunks.withColumn("start_sample", F.lit(None).cast("int"))):
+        got = reassemble(stored, ["sig"], bucket=2).select("sig", "pos", "value")
+        assert sorted(map(tuple, got.collect())) == whole
 
 
 def test_missing_chunks_across_buckets(spark):
