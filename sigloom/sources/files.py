@@ -152,8 +152,8 @@ class SignalFiles:
 
         The text is scanned twice, once for the block sizes and once for the samples. That is cheaper than moving
         every sample through a shuffle and a sort. Blocks are found by a hash of path and offset where that hash tells
-        all of them apart, which keeps the broadcast table small: at 15 MB per file
-        it holds the files of 100 TB. A larger table is joined by shuffle.
+        all of them apart, which keeps the broadcast table small: reckoned at 80 bytes a block, it holds the 15 MB
+        files of some 100 TB. A larger table is joined by shuffle.
         """
         found = self._blocks.agg(F.count("*").alias("rows"), F.count_distinct("block_key").alias("keys")).first()
         key = ["block_key"] if found["rows"] == found["keys"] else ["uri", "block_start"]
