@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import decontamination, mixing, personal_data, simhash, spans, toxicity
+from sigloom.llm import decontamination, license_notices, mixing, personal_data, secret_ledger, simhash, spans, toxicity
 from sigloom.shared_storage import written
 
 
@@ -23,6 +23,40 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document, each document a path of one version: see ``secret_ledger.scan_history``."""
+    docs = _table(spark, folder, "documents")
+    history = docs.select(F.col("doc_id").alias("path"), F.lit(0).alias("revision"), F.col("text").alias("content"))
+    found = secret_ledger.scan_history(history)
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *[spans.of_kind(F.col("spans"), r.name).alias(f"n_{r.name}") for r in secret_ledger.BASE_RULES],
+        spans.base_digest(F.col("spans")).alias("base_sha256"),
+        spans.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def license_notices_found(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in every document: see ``license_notices.notices``. The score is the best likeness, 0 without any."""
+    found = _table(spark, folder, "documents").select("doc_id", license_notices.notices(F.col("text")).alias("n"))
+    found = written(found.select("doc_id", "n.n_words", "n.found"), "notices")
+    base = F.filter("found", lambda x: x["base"])
+
+    def labels(rows):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(rows, lambda x: x["label"]))), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda x: x["first_word"])).cast("long").alias("first_word"),
+        F.array_max(F.transform(base, lambda x: x["first_word"])).cast("long").alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("found")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda x: x["likeness"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of every document: see ``mixing.mix``."""
     return mixing.mix(_table(spark, folder, "documents"))
@@ -47,8 +81,10 @@ def personal_data_spans(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_spaced_seed_decontamination": benchmark_overlaps,
+    "op2_secret_ledger": secret_spans,
     "op3_compression_toxicity": toxicity_scores,
     "op4_hash_threshold_mix": source_mix,
+    "op5_license_notices": license_notices_found,
     "op7_simhash_near_duplicates": near_duplicates,
     "op8_personal_data": personal_data_spans,
 }
