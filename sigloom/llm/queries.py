@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import decontamination, license_notices, mixing, personal_data, secret_ledger, simhash, spans, toxicity
+from sigloom.llm import (
+    chat_perspectives,
+    decontamination,
+    license_notices,
+    merkle,
+    mixing,
+    personal_data,
+    secret_ledger,
+    simhash,
+    spans,
+    toxicity,
+    url_filter,
+)
 from sigloom.shared_storage import written
 
 
@@ -79,14 +91,54 @@ def personal_data_spans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tree_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Root of every document and of its edited text, and what their trees share: see ``merkle``."""
+    rows = merkle.with_next(_table(spark, folder, "documents"))
+    rows = rows.withColumn("edited", merkle.edited(F.col("text"), F.col("next_text")))
+    rows = rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        merkle.tree(F.col("text"))["root"].alias("fingerprint"),
+        merkle.tree(F.col("edited"))["root"].alias("edited_fingerprint"),
+        merkle.pieces(F.col("text")).alias("own"),
+        merkle.pieces(F.col("edited")).alias("changed"),
+        merkle.pieces(F.col("next_text")).alias("following"),
+    )
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        merkle.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        merkle.likeness(F.col("own"), F.col("following")).alias("near_next"),
+    )
+
+
+def chat_renderings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every dialogue from every participant's side: see ``chat_perspectives.perspectives``."""
+    sides = chat_perspectives.perspectives(_table(spark, folder, "conversations"))
+    spans_text = F.array_join(F.transform("learn", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return sides.withColumn("learn", spans_text)
+
+
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page: see ``url_filter.judge``."""
+    return url_filter.judge(_table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_spaced_seed_decontamination": benchmark_overlaps,
     "op2_secret_ledger": secret_spans,
     "op3_compression_toxicity": toxicity_scores,
     "op4_hash_threshold_mix": source_mix,
     "op5_license_notices": license_notices_found,
+    "op6_merkle_fingerprints": tree_fingerprints,
     "op7_simhash_near_duplicates": near_duplicates,
     "op8_personal_data": personal_data_spans,
+    "op9_perspective_rotation": chat_renderings,
+    "op10_url_filter": url_verdicts,
 }
 
 CHECKS: dict[str, str] = {}
