@@ -140,5 +140,3 @@ QUERIES = {
     "op9_perspective_rotation": chat_renderings,
     "op10_url_filter": url_verdicts,
 }
-
-CHECKS: dict[str, str] = {}
