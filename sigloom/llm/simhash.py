@@ -9,6 +9,9 @@ stays in Spark's own operators:
   a pair whose coordinates differ too much are discarded, the rest is verified by the exact distance.
 * Where more than ``GROUP_LIMIT`` fingerprints agree so, the open bits are split into four blocks again, up to three
   times; then at most 256 fingerprints can agree. So no group is unbounded and no link is lost.
+
+``similar_documents`` uses the same fingerprints and table for documents that are similar in their words, which may be
+more bits apart: see there.
 """
 
 from __future__ import annotations
@@ -32,6 +35,11 @@ SEED = 42
 GROUP_LIMIT = 64
 #: Reference fingerprints of the distance table.
 REFERENCES = 12
+#: For similar documents: words of the shingles that are compared, their share (Jaccard), the bits that their fingerprints
+#: may differ in, and how many tables of how many sampled bits propose pairs.
+SIMILAR_WORDS, SIMILARITY = 5, 0.8
+SIMILAR_BITS, TABLES, TABLE_BITS = 12, 40, 20
+
 #: Blocks of a document's shingles whose bits are counted at a time.
 COUNT_ROWS = 65_536
 
@@ -109,12 +117,12 @@ def distance_table(prints: DataFrame) -> DataFrame:
     )
 
 
-def _close(left: str, right: str) -> Column:
-    """Coordinates differ by no more than LINK_BITS at most; then the exact distance."""
+def _close(left: str, right: str, bits: int = LINK_BITS) -> Column:
+    """Coordinates differ by no more than ``bits`` at most; then the exact distance."""
     close = F.lit(True)
     for k in range(REFERENCES):
-        close = close & (F.abs(F.col(f"{left}.d{k}") - F.col(f"{right}.d{k}")) <= LINK_BITS)
-    return close & (F.bit_count(F.col(f"{left}.fp").bitwiseXOR(F.col(f"{right}.fp"))) <= LINK_BITS)
+        close = close & (F.abs(F.col(f"{left}.d{k}") - F.col(f"{right}.d{k}")) <= bits)
+    return close & (F.bit_count(F.col(f"{left}.fp").bitwiseXOR(F.col(f"{right}.fp"))) <= bits)
 
 
 def linked(prints: DataFrame) -> DataFrame:
@@ -165,15 +173,82 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` without all documents of a class but that of the smallest doc_id.
+def _samples() -> list[int]:
+    """A mask of TABLE_BITS bits for each table."""
+    rng = np.random.default_rng(SEED)
+    return [_signed(sum(1 << int(b) for b in rng.choice(64, TABLE_BITS, replace=False))) for _ in range(TABLES)]
+
+
+def _shingles(text: str | None) -> list[int]:
+    """Different hashes of the shingles of SIMILAR_WORDS words; fewer words are one shingle."""
+    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    parts = [b" ".join(tokens[k : k + SIMILAR_WORDS]) for k in range(max(1, len(tokens) - SIMILAR_WORDS + 1))]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts), dtype=np.uint64).view(np.int64)).tolist()
+
+
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id, component_id``: classes of documents whose shingles of SIMILAR_WORDS words overlap by SIMILARITY or more.
+
+    Equal texts are one document. Each of TABLES tables puts fingerprints that agree in TABLE_BITS sampled bits into one
+    group; its members are paired with two of them only, the smallest id and the smallest hash of an id, so a large
+    group costs no more than its rows. Pairs whose distances to the references differ by more than SIMILAR_BITS, or that
+    are further apart, are discarded; the shingles of the rest are compared. At 8 differing bits a pair misses each table
+    with 95 %, all of them with 15 %, but a class needs only one path.
+
+    Rows with a null doc_id are left out. Repeated ids give one row for each different text.
+    """
+
+    @F.arrow_udf("array<long>")
+    def shingles(texts: pa.Array) -> pa.Array:
+        return pa.array([_shingles(t.as_py()) for t in texts], type=pa.list_(pa.int64()))
+
+    known = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
+    prints = written(
+        known.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("content"), fingerprint(F.col("text")).alias("fp")), "fingerprints"
+    )
+    firsts = prints.groupBy("content", "fp").agg(F.min("doc_id").alias("first"))
+    table = written(distance_table(firsts.select("first", "fp")), "distances")
+    keys = F.array(*[F.struct(F.lit(k).cast("short").alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for k, m in enumerate(_samples())])
+    keyed = table.select("first", "fp", F.explode(keys).alias("key")).select("first", "fp", "key.*")
+    leaders = keyed.groupBy("table", "bits").agg(
+        F.min(F.struct("first", "fp")).alias("low"), F.min(F.struct(F.xxhash64("first").alias("h"), "first", "fp")).alias("any"), F.count("*").alias("n")
+    ).filter("n > 1")
+    leaders = leaders.select("table", "bits", F.explode(F.array(F.struct("low.first", "low.fp"), F.struct("any.first", "any.fp"))).alias("l")).select(
+        "table", "bits", F.col("l.first").alias("lead"), F.col("l.fp").alias("lead_fp")
+    )
+    apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("lead_fp")))
+    discarded = F.lit(False)
+    for r in _references():
+        to = lambda c, r=r: F.bit_count(F.col(c).bitwiseXOR(F.lit(r)))
+        discarded = discarded | (F.abs(to("fp") - to("lead_fp")) > SIMILAR_BITS)
+    pairs = keyed.join(leaders, ["table", "bits"]).filter((F.col("first") != F.col("lead")) & ~discarded & (apart <= SIMILAR_BITS))
+    pairs = written(pairs.select(F.least("first", "lead").alias("a"), F.greatest("first", "lead").alias("b")).distinct(), "pairs")
+
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # Of a repeated id the first text stands for all; its other texts are compared as they are only if they lead a class.
+    contents = prints.groupBy("content", "fp").agg(F.min("doc_id").alias("doc_id")).join(needed, "doc_id").select("doc_id", "content")
+    contents = contents.groupBy("doc_id").agg(F.min("content").alias("content"))
+    texts = known.withColumn("content", F.xxhash64(F.coalesce("text", F.lit(""))))
+    texts = texts.join(contents, ["doc_id", "content"], "left_semi").select("doc_id", shingles("text").alias("shingles"))
+    texts = written(texts.dropDuplicates(["doc_id"]), "shingles")
+    one, two = texts.toDF("a", "left"), texts.toDF("b", "right")
+    both = pairs.join(one, "a").join(two, "b")
+    shared = F.size(F.array_intersect("left", "right"))
+    edges = both.filter(shared >= SIMILARITY * (F.size("left") + F.size("right") - shared)).select("a", "b")
+    roots = components(edges).withColumnRenamed("node", "first")
+    classes = firsts.join(roots, "first", "left").select("content", "fp", F.coalesce("root", "first").alias("component_id"))
+    return prints.join(classes, ["content", "fp"], "left").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` without all documents of a class of ``similar_documents`` but that of the smallest doc_id.
 
     Rows that repeat both doc_id and text are one document. Rows with a null doc_id stay: nothing tells them apart.
     """
-    found = written(near_duplicates(docs.select("doc_id", "text"), words).select("doc_id", "component_id"), "members")
+    found = written(similar_documents(docs), "members")
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti")
-    again = written(found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    again = written(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
     if again.isEmpty():
         return kept
     once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])

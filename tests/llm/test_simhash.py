@@ -97,3 +97,30 @@ def test_distances_bound_pairs(spark):
     table = simhash.distance_table(spark.createDataFrame([(0,), (3,)], "fp bigint")).collect()
     names = [c for c in table[0].asDict() if c.startswith("d")]
     assert len(names) == simhash.REFERENCES and all(abs(table[0][c] - table[1][c]) <= 2 for c in names)
+
+
+def test_similar_documents_against_all_pairs(spark, sf_dir, docs_of):
+    """Classes hold together by similar pairs alone, and nearly all similar pairs are in one class."""
+    rng = random.Random(6)
+    base = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    rows = list(enumerate(base))
+    for k in range(150):
+        words = base[rng.randrange(60)].split()
+        for _ in range(max(1, len(words) // 60)):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(99)}"
+        rows.append((1000 + k, " ".join(words)))
+    shingles = {i: set(simhash._shingles(t)) for i, t in rows}
+    similar = {(a, b) for a in shingles for b in shingles if a < b and len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])}
+    root = {i: i for i in shingles}
+    for _ in range(len(root)):
+        changed = False
+        for a, b in similar:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+        if not changed:
+            break
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs_of(rows)).collect()}
+    assert set(got) == set(root) and all(root[i] == root[c] for i, c in got.items())
+    together = sum(got[a] == got[b] for a, b in similar)
+    assert len(similar) > 60 and together >= 0.9 * len(similar)
