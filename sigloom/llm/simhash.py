@@ -38,7 +38,7 @@ REFERENCES = 12
 #: For similar documents: words of the shingles that are compared, their share (Jaccard), the bits that their fingerprints
 #: may differ in, and how many tables of how many sampled bits propose pairs.
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
-SIMILAR_BITS, TABLES, TABLE_BITS = 12, 40, 20
+SIMILAR_BITS, TABLES, TABLE_BITS = 12, 80, 20
 
 #: Blocks of a document's shingles whose bits are counted at a time.
 COUNT_ROWS = 65_536
@@ -193,7 +193,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     group; its members are paired with two of them only, the smallest id and the smallest hash of an id, so a large
     group costs no more than its rows. Pairs whose distances to the references differ by more than SIMILAR_BITS, or that
     are further apart, are discarded; the shingles of the rest are compared. At 8 differing bits a pair misses each table
-    with 95 %, all of them with 15 %, but a class needs only one path.
+    with 95 %, all of them with 2 %, and a class needs only one path.
 
     Rows with a null doc_id are left out. Repeated ids give one row for each different text.
     """
