@@ -53,10 +53,15 @@ def keyed_json(messages: DataFrame, topic: str) -> DataFrame:
 
 
 def in_key_order(rows: DataFrame) -> DataFrame:
-    """Each key's chunks in order, one after the other. Ranges split a key with very many chunks over tasks."""
+    """Each key's chunks in order, one after the other. Ranges split a key with very many chunks over tasks: for files."""
     return rows.repartitionByRange("key", "chunk_index").sortWithinPartitions("key", "chunk_index")
 
 
+def by_key_in_order(rows: DataFrame) -> DataFrame:
+    """The same with each key whole in one partition, so that one task sends it in order. A key is one signal."""
+    return rows.repartition("key").sortWithinPartitions("key", "chunk_index")
+
+
 def parse_messages(raw: DataFrame, column: str = "value") -> DataFrame:
     """Message columns next to the raw text, which is needed for dead letters."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -79,6 +84,7 @@ def contract_errors() -> Column:
         ("enum:channel_name", ~F.col("channel_name").isin(*fixed.CHANNEL_NAMES)),
         ("range:chunk_index", F.col("chunk_index") < 0),
         ("range:total_chunks", F.col("total_chunks") < 1),
+        ("range:chunk_index >= total_chunks", F.col("chunk_index") >= F.col("total_chunks")),
         ("const:sample_rate_hz", F.col("sample_rate_hz") != fixed.SAMPLE_RATE_HZ),
         ("type:samples", F.exists("samples", lambda v: v.isNull())),
         ("format:event_time", F.col("event_time").isNotNull() & ~is_date_time),
@@ -105,7 +111,10 @@ def dead_letters(checked: DataFrame, column: str = "value") -> DataFrame:
 
 
 def drop_repeats(messages: DataFrame, key: Sequence[str] = ("message_id",)) -> DataFrame:
-    """At-least-once delivery made once. Repeats are dropped before the shuffle too, so many copies of one do no harm."""
+    """At-least-once delivery made once. Repeats are dropped before the shuffle too, so many copies of one do no harm.
+
+    Rows are sorted by the key on both sides of the shuffle, since Spark hashes no rows with text or arrays in them.
+    """
     return messages.dropDuplicates(list(key))
 
 
@@ -115,7 +124,7 @@ def without_replays(messages: DataFrame) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each key, as a compacted topic keeps it. An aggregate, so no group is ever sorted."""
+    """The last row of each key, as a compacted topic keeps it. Combined before the shuffle; rows are sorted by key, not within."""
     rest = [c for c in df.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(*order))
     return df.groupBy(*keys).agg(newest.alias("__row")).select(*keys, "__row.*")

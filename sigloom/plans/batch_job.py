@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sigloom import fixed_values as fixed
 from sigloom.operators.batch import segment_rows, summary_rows
 from sigloom.shared_storage import path_exists, scratch, written
-from sigloom.sinks.external import DATABASE_TABLES, upsert_database
+from sigloom.sinks.external import DATABASE_TABLES, POSTGRES_TYPES, ensure_tables, upsert_database
 from sigloom.sinks.tables import append_partitioned, run_row, upsert_table
 from sigloom.sources.files import SignalFiles, choose_files
 
@@ -104,8 +104,14 @@ def run_batch(
     return result
 
 
-def export_run(spark: SparkSession, output_dir: str, run_id: str, url: str, table_prefix: str = "", **login) -> None:
-    """Upsert one run's segments, summary and run row into a database. Of repeated runs, the last one counts."""
+def export_run(
+    spark: SparkSession, output_dir: str, run_id: str, url: str, table_prefix: str = "", types: dict[str, str] = POSTGRES_TYPES, **login
+) -> None:
+    """Upsert one run's segments, summary and run row into a database, making its tables where they are missing.
+
+    Of repeated runs, the last one counts.
+    """
+    ensure_tables(spark, url, table_prefix, types, login.get("user", ""), login.get("password", ""))
     for name in DATABASE_TABLES:
         rows = spark.read.parquet(f"{output_dir}/{name}").filter(F.col("run_id") == run_id)
         if "processed_at" in rows.columns:

@@ -83,6 +83,13 @@ UNION ALL
 SELECT * FROM (WITH {summary_ctes(ALL_TYPES, "user_id, event_type")}
   SELECT {VERSION_VALUES.format(t=0.1)} FROM scored)"""
 
+UPSERT_NULL = f"""
+SELECT user_id, nullif(event_type, 'click') AS event_type, * EXCLUDE (user_id, event_type) FROM (
+{UPSERT.replace("FROM scored)", "FROM scored WHERE event_type <> 'click' OR user_id % 2 = 0)", 1)}
+UNION ALL
+SELECT * FROM (WITH {summary_ctes(EVENTS_BY_USER_TYPE, "user_id, event_type")}
+  SELECT {VERSION_VALUES.format(t=0.35)} FROM scored WHERE event_type = 'click' AND user_id % 2 = 1))"""
+
 BATCH_PATHS = """paths AS (
   SELECT o_orderkey, CASE o_orderkey % 5
     WHEN 0 THEN printf('/data/%s/out/%d_%s_battery_%03d_laser_a.csv', strftime(o_orderdate, '%Y%m%d'), o_orderkey % 150, strftime(o_orderdate, '%Y%m%d'), o_orderkey)
@@ -294,7 +301,7 @@ SELECT instance AS product_instance_id, lead_num, bool_or(channel = 0) AS has_ch
     "latest_per_key": """SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "upsert_by_key": UPSERT,
-    "upsert_table_rerun": UPSERT,
+    "upsert_table_rerun": UPSERT_NULL,
     "append_partitioned_rerun": """SELECT day AS event_date, user_id % 4 AS line_number, 2 * count(DISTINCT user_id) AS rows, 2 * count(*) AS samples
 FROM (SELECT user_id, CAST(ts AS DATE) AS day FROM events) GROUP BY ALL""",
     "csv_batch_segments": segments(CSV_SAMPLES, "event_type, block"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sigloom import fixed_values as fixed
-from sigloom.operators.messages import in_key_order, keyed_json
+from sigloom.operators.messages import by_key_in_order, in_key_order, keyed_json
 
 KAFKA_OPTIONS = fixed.KAFKA_WRITE_OPTIONS
 SEGMENT_BATCH_ROWS = 2000
@@ -62,25 +62,51 @@ def write_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = SUMMARY_BA
     df.write.format("jdbc").options(url=url, dbtable=table, batchsize=batch_rows, **options).mode(mode).save()
 
 
+def table_exists(spark: SparkSession, url: str, table: str, user: str = "", password: str = "") -> bool:
+    """By the database's own catalog; names are compared as it stores them."""
+    connection = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url, user, password)
+    try:
+        facts = connection.getMetaData()
+        stored = table.upper() if facts.storesUpperCaseIdentifiers() else table.lower() if facts.storesLowerCaseIdentifiers() else table
+        schema, _, name = stored.rpartition(".")
+        return bool(facts.getTables(None, schema or None, name, None).next())
+    finally:
+        connection.close()
+
+
+def ensure_tables(
+    spark: SparkSession, url: str, prefix: str = "", types: dict[str, str] = POSTGRES_TYPES, user: str = "", password: str = ""
+) -> None:
+    """Create those of the three result tables that the database lacks."""
+    contracts = {"segments": fixed.SEGMENT_COLUMNS, "summary": fixed.SUMMARY_COLUMNS, "runs": fixed.RUN_COLUMNS}
+    for name, (columns, keys, _, _) in DATABASE_TABLES.items():
+        if not table_exists(spark, url, f"{prefix}{name}", user, password):
+            fields = {c: contracts[name][c] for c in columns}
+            run_sql(spark, url, [create_table_sql(f"{prefix}{name}", fields, keys, types)], user, password)
+
+
 def upsert_database(df: DataFrame, url: str, name: str, table: str, user: str = "", password: str = "", **options) -> None:
     """Upsert ``segments``, ``summary`` or ``runs`` rows into a database table.
 
-    Executors fill a staging table; the database then merges it by key in one statement.
+    Executors fill a staging table; the database then merges it by key in one statement. The staging table goes, also
+    when the write or the merge fails.
     """
     columns, keys, keep, batch_rows = DATABASE_TABLES[name]
     staging = f"{table}_staging_{uuid.uuid4().hex}"
     login = {"user": user, "password": password} if user else {}
     empty = f"CREATE TABLE {staging} AS SELECT {', '.join(columns)} FROM {table} WITH NO DATA"
     run_sql(df.sparkSession, url, [empty], user, password)
-    write_jdbc(df.select(*columns), url, staging, batch_rows, **login, **options)
-    merge = merge_sql(table, staging, columns, keys, keep)
-    run_sql(df.sparkSession, url, [merge, f"DROP TABLE {staging}"], user, password)
+    try:
+        write_jdbc(df.select(*columns), url, staging, batch_rows, **login, **options)
+        run_sql(df.sparkSession, url, [merge_sql(table, staging, columns, keys, keep)], user, password)
+    finally:
+        run_sql(df.sparkSession, url, [f"DROP TABLE {staging}"], user, password)
 
 
 def write_kafka(messages: DataFrame, servers: str, topic: str, **options) -> None:
-    """Publish a batch of messages, keyed per signal."""
+    """Publish a batch of messages, keyed per signal, each key's in order."""
     settings = KAFKA_OPTIONS | {"kafka.bootstrap.servers": servers} | options
-    rows = in_key_order(keyed_json(messages, topic)).drop("chunk_index")
+    rows = by_key_in_order(keyed_json(messages, topic)).drop("chunk_index")
     rows.write.format("kafka").options(**settings).save()
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom import fixed_values as fixed
-from sigloom.operators.joins import broadcast_if_small
+from sigloom.operators.joins import attach, broadcast_if_small
 from sigloom.operators.upsert import upsert_by_key
 from sigloom.shared_storage import path_exists, written
 
@@ -42,18 +42,21 @@ def upsert_table(incoming: DataFrame, path: str, keys: Sequence[str], partitions
     """Replace or add rows by key in the Parquet table at ``path``.
 
     Partition columns must be keys, so that a row can never move to another partition. Only partitions that receive
-    rows are read and rewritten, and the new contents are complete in shared storage before any is replaced.
+    rows are read and rewritten, and the new contents are complete in shared storage before any is replaced. NULL is a
+    key value like any other. A key that comes twice in ``incoming`` is an error.
     """
     if not set(partitions) <= set(keys):
         raise ValueError("partition columns must be among the keys")
     spark = incoming.sparkSession
     incoming = written(incoming, "incoming")
+    if not incoming.groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"rows repeat a key of {', '.join(keys)}")
     merged = incoming
     if path_exists(spark, path):
         existing = spark.read.schema(incoming.schema).parquet(path)
         touched = incoming.select(*partitions).distinct()
         touched = broadcast_if_small(touched, touched.count())
-        merged = written(upsert_by_key(existing.join(touched, list(partitions), "left_semi"), incoming, keys), "merged")
+        merged = written(upsert_by_key(attach(existing, touched, partitions, "left_semi"), incoming, keys), "merged")
     (
         merged.hint("rebalance", *partitions)
         .write.mode("overwrite")

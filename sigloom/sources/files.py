@@ -1,7 +1,8 @@
 """Signal files: listing, choosing and reading a tree of CSV files, one row per sample.
 
-A file is read in blocks by many tasks. Samples keep their file order through consecutive row ids inside a block and
-the sizes of the blocks before it; samples themselves are neither sorted nor shuffled to be numbered.
+A file is read in blocks by many tasks, once: the parsed rows are stored with consecutive ids inside a block. A sample's
+position is its id plus an offset that follows from the sizes of the blocks before; samples are neither sorted nor
+shuffled to be numbered. Both come from the same stored rows, so it makes no difference how a later scan would be cut.
 """
 
 from __future__ import annotations
@@ -108,13 +109,18 @@ class SignalFiles:
             .withColumn("id", F.monotonically_increasing_id())
         )
 
+    @cached_property
+    def _stored(self) -> DataFrame:
+        """The parsed rows as a table: the tree is read and parsed once."""
+        return written(self._lines(), "lines")
+
     @cached_property
     def _blocks(self) -> DataFrame:
         """One row per block of a file: its first id, its sample count, and whether it can be decoded. Kept as a table.
 
         Counts combine before the shuffle, so this pass moves one row per block and nothing per sample.
         """
-        blocks = self._lines().groupBy("uri", "block_start").agg(
+        blocks = self._stored.groupBy("uri", "block_start").agg(
             F.min("id").alias("first_id"),
             F.count("*").alias("size"),
             F.bool_and("decodable").alias("decodable"),
@@ -122,6 +128,12 @@ class SignalFiles:
         )
         return written(blocks.withColumn("block_key", _block_key()), "blocks")
 
+    @cached_property
+    def _block_count(self) -> tuple[int, int]:
+        """Blocks, and different keys of blocks."""
+        found = self._blocks.agg(F.count("*").alias("rows"), F.count_distinct("block_key").alias("keys")).first()
+        return found["rows"], found["keys"]
+
     @property
     def _placed(self) -> DataFrame:
         """The blocks of readable files with the samples before them; the first id of a file stands for the file."""
@@ -150,27 +162,23 @@ class SignalFiles:
     def samples(self) -> DataFrame:
         """``file_id``, ``pos``, ``n``, ``value`` of every readable file.
 
-        The text is scanned twice, once for the block sizes and once for the samples. That is cheaper than moving
-        every sample through a shuffle and a sort. Blocks are found by a hash of path and offset where that hash tells
-        all of them apart, which keeps the broadcast table small: reckoned at 80 bytes a block, it holds the 15 MB
-        files of some 100 TB. A larger table is joined by shuffle.
+        Blocks are found by a hash of path and offset where that hash tells all of them apart, which keeps the
+        broadcast table small: reckoned at 80 bytes a block, it holds the 15 MB files of some 100 TB. A larger table is
+        joined by shuffle.
         """
-        found = self._blocks.agg(F.count("*").alias("rows"), F.count_distinct("block_key").alias("keys")).first()
-        key = ["block_key"] if found["rows"] == found["keys"] else ["uri", "block_start"]
-        row_bytes = HASHED_BLOCK_BYTES if found["rows"] == found["keys"] else NAMED_BLOCK_BYTES
-        placed = self._placed.select(*key, "first_id", "size", "start", "n", "file_id")
-        bounded = broadcast_if_small(placed, found["rows"], row_bytes, BLOCK_TABLE_BYTES)
-        in_block = F.col("id") - F.col("first_id")
-        # A block whose ids moved between the two scans would have samples outside of it.
-        changed = F.raise_error(F.lit("a signal file changed between two scans")).cast("bigint")
-        pos = F.when((in_block >= 0) & (in_block < F.col("size")), in_block + F.col("start")).otherwise(changed)
-        lines = self._lines().withColumn("block_key", _block_key())
+        rows, keys = self._block_count
+        key = ["block_key"] if rows == keys else ["uri", "block_start"]
+        row_bytes = HASHED_BLOCK_BYTES if rows == keys else NAMED_BLOCK_BYTES
+        placed = self._placed.select(*key, "first_id", "start", "n", "file_id")
+        bounded = broadcast_if_small(placed, rows, row_bytes, BLOCK_TABLE_BYTES)
+        lines = self._stored.withColumn("block_key", _block_key())
+        pos = F.col("id") - F.col("first_id") + F.col("start")
         return lines.join(bounded, key).select("file_id", pos.alias("pos"), "n", "value")
 
     def named(self, df: DataFrame) -> DataFrame:
         """``df`` with ``source_file`` and ``modified`` in place of ``file_id``."""
         signals = self.signals.drop("n")
-        bounded = broadcast_if_small(signals, self._blocks.count(), NAMED_BLOCK_BYTES)
+        bounded = broadcast_if_small(signals, self._block_count[0], NAMED_BLOCK_BYTES)
         return df.join(bounded, "file_id").drop("file_id")
 
     @property
@@ -184,6 +192,19 @@ class SignalFiles:
         joined = self.files.select("source_file").join(seen, "source_file", "left")
         return joined.select("source_file", reason.alias("reason")).filter("reason IS NOT NULL")
 
+    @property
+    def undated(self) -> DataFrame:
+        """Files whose path names an impossible date. Their samples are used, with a NULL date."""
+        path = F.col("source_file")
+        return self.files.filter(paths.event_date(path, F.col("modified")).isNull()).select(
+            "source_file", F.lit("impossible date").alias("reason")
+        )
+
+    @property
+    def quarantine(self) -> DataFrame:
+        """What someone should look at: skipped files and those with an impossible date."""
+        return self.skipped.unionByName(self.undated)
+
 
 def _block_key() -> Column:
     return F.xxhash64("uri", "block_start")

@@ -11,7 +11,7 @@ from sigloom import fixed_values as fixed
 from sigloom.operators.segments import in_contract
 from sigloom.operators.upsert import upsert_by_key
 from sigloom.plans.batch_job import NO_FILES, NO_SIGNALS, OK, export_run, run_batch
-from sigloom.sinks.external import DATABASE_TABLES, create_table_sql, merge_sql, run_sql, write_jdbc
+from sigloom.sinks.external import DATABASE_TABLES, merge_sql, run_sql, table_exists, upsert_database, write_jdbc
 from sigloom.sinks.tables import create_tables, upsert_table
 
 RUN = "00000000-0000-0000-0000-000000000001"
@@ -178,22 +178,16 @@ def test_database_upsert(spark, tmp_path, tree):
     # The embedded database lives in this process and opens no port.
     url = "jdbc:derby:memory:sigloom;create=true"
     driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    tables = {}
-    for name, columns in (("segments", fixed.SEGMENT_COLUMNS), ("summary", fixed.SUMMARY_COLUMNS), ("runs", fixed.RUN_COLUMNS)):
-        kept = {c: columns[c] for c in DATABASE_TABLES[name][0]}
-        tables[name] = create_table_sql(f"sig_{name}", kept, DATABASE_TABLES[name][1], DERBY)
-
     def rows(name):
         return spark.read.format("jdbc").options(url=url, dbtable=f"sig_{name}", **driver).load()
 
     write_jdbc(spark.range(2500), url, "warm_up", batch_rows=1000, **driver)
     assert spark.read.format("jdbc").options(url=url, dbtable="warm_up", **driver).load().count() == 2500
-    run_sql(spark, url, list(tables.values()))
     out = str(tmp_path / "out")
     for threshold, decisions in ((0.35, ["PASS", "REVIEW"]), (0.01, ["REVIEW", "REVIEW"])):
         run_batch(spark, str(tree), out, run_id=RUN, threshold=threshold)
-        export_run(spark, out, RUN, url, "sig_", **driver)
-        counts = {name: rows(name).count() for name in tables}
+        export_run(spark, out, RUN, url, "sig_", DERBY, **driver)
+        counts = {name: rows(name).count() for name in DATABASE_TABLES}
         assert counts == {"segments": 32, "summary": 2, "runs": 1}
         summary = rows("summary").toDF(*[c.lower() for c in rows("summary").columns])
         assert [r.quality_decision for r in summary.orderBy("line_number").collect()] == decisions
@@ -204,6 +198,24 @@ def test_database_upsert(spark, tmp_path, tree):
         assert (run.started_at, run.finished_at) == (started, stored.finished_at)
 
 
+    with pytest.raises(Exception):
+        upsert_database(spark.read.parquet(f"{out}/runs").selectExpr("*").withColumn("run_id", F.lit(None).cast("string")), url, "runs", "sig_runs", **driver)
+    names = spark.read.format("jdbc").options(url=url, query="SELECT TABLENAME FROM SYS.SYSTABLES", **driver).load().collect()
+    assert not [r for r in names if "STAGING" in r[0]] and table_exists(spark, url, "sig_runs")
+
+
+def test_upsert_keeps_other_rows_of_a_null_partition(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = lambda *r: spark.createDataFrame(r, "part string, id int, v string")
+    upsert_table(rows((None, 1, "a"), (None, 2, "b"), ("x", 1, "c")), path, ["part", "id"], ["part"])
+    upsert_table(rows((None, 2, "new")), path, ["part", "id"], ["part"])
+    assert sorted((str(r.part), r.id, r.v) for r in spark.read.parquet(path).collect()) == [("None", 1, "a"), ("None", 2, "new"), ("x", 1, "c")]
+    with pytest.raises(ValueError, match="repeat a key"):
+        upsert_table(rows((None, 2, "p"), (None, 2, "q")), path, ["part", "id"], ["part"])
+    own = spark.read.parquet(path)
+    assert upsert_by_key(own, own.filter("id = 1"), ["part", "id"]).count() == 3
+
+
 def test_merge_statement():
     assert merge_sql("runs", "staged", ["run_id", "status", "started_at"], ["run_id"], keep=("started_at",)) == (
         "MERGE INTO runs t USING staged s ON t.run_id = s.run_id WHEN MATCHED THEN UPDATE SET status = s.status "

@@ -125,20 +125,50 @@ def test_many_blocks_join_by_shuffle(spark, tmp_path, write_signal, monkeypatch)
     assert all(r.pos == r.value and r.n == 50 for r in source.named(source.samples).collect())
 
 
-def test_a_file_that_changes_between_scans_is_an_error(spark, tmp_path, write_signal):
+@pytest.mark.parametrize("lines", [20, 60])
+def test_a_file_that_changes_later_changes_nothing(spark, tmp_path, write_signal, lines):
     write_signal(tmp_path / "a.csv", range(50))
     source = SignalFiles(spark, str(tmp_path))
     assert source._blocks.count() == 1
-    (tmp_path / "a.csv").write_text("\n".join(["7"] * 60))
-    with pytest.raises(Exception, match="changed between two scans"):
-        source.samples.collect()
+    (tmp_path / "a.csv").write_text("\n".join(["7"] * lines))
+    assert sorted((r.pos, r.n, r.value) for r in source.samples.collect()) == [(i, 50, float(i)) for i in range(50)]
+
+
+def test_the_cut_of_a_scan_may_change_between_passes(spark, tmp_path, write_signal):
+    write_signal(tmp_path / "big.csv", range(30_000))
+    source = SignalFiles(spark, str(tmp_path))
+    name = "spark.sql.leafNodeDefaultParallelism"
+    options = {"spark.sql.files.openCostInBytes": "1024", "spark.sql.files.maxPartitionBytes": "16384"}
+    old = {k: spark.conf.get(k) for k in options}
+    try:
+        spark.conf.set(name, "2")
+        assert source._blocks.count() >= 1
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        spark.conf.set(name, "16")
+        rows = source.samples.collect()
+    finally:
+        spark.conf.unset(name)
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted((r.pos, r.n, r.value) for r in rows) == [(i, 30_000, float(i)) for i in range(30_000)]
 
 
 def test_numbering_needs_no_shuffle_of_samples(spark, tmp_path, write_signal):
     write_signal(tmp_path / "a.csv", range(100))
     plan = SignalFiles(spark, str(tmp_path)).samples._jdf.queryExecution().executedPlan().toString()
-    text_side = plan.split("BroadcastExchange")[0]
-    assert "FileScan text" in text_side and "Exchange hashpartitioning" not in text_side
+    sample_side = plan.split("BroadcastExchange")[0]
+    assert "FileScan parquet" in sample_side and "Exchange hashpartitioning" not in sample_side
+
+
+def test_impossible_dates_are_quarantined_and_used(spark, tmp_path, write_signal):
+    write_signal(tmp_path / "20229999_battery_1_laser_a.csv", [1, 2])
+    write_signal(tmp_path / "20220101_battery_1_laser_a.csv", [])
+    source = SignalFiles(spark, str(tmp_path))
+    assert sorted((r.source_file.rsplit("/", 1)[1], r.reason) for r in source.quarantine.collect()) == [
+        ("20220101_battery_1_laser_a.csv", "no finite numeric samples"), ("20229999_battery_1_laser_a.csv", "impossible date")
+    ]
+    assert source.samples.count() == 2
 
 
 def test_bad_files_are_skipped_with_a_reason(spark, tmp_path, write_signal):
