@@ -53,26 +53,62 @@ def chunk_arrays(df: DataFrame, array: str, size: int = fixed.CHUNK_SIZE) -> Dat
 
 
 def arrival_counts() -> list[Column]:
-    """Aggregates over the chunks of a signal: numbers only, so a signal may have any number of chunks."""
-    size = F.size("samples")
+    """Aggregates over the chunks of a signal, each once: numbers only, so a signal may have any number of chunks.
+
+    Count, bounds and a sum of hashes of the indexes tell whether the indexes are just those from 0 to the total, but
+    for a chance of one in four billion. That takes no list of them, so a stream can keep it as state.
+    """
+    size, index = F.size("samples"), F.col("chunk_index")
     return [
         F.max("total_chunks").alias("total_chunks"),
+        F.min("total_chunks").alias("least_total"),
         F.count("*").alias("received_chunks"),
+        F.min(index).alias("first_index"),
+        F.max(index).alias("last_index"),
+        F.sum(_index_hash(index)).alias("index_hashes"),
         F.sum(size).alias("n"),
         F.max(size).alias("chunk_size"),
     ]
 
 
+def _index_hash(index: Column) -> Column:
+    return F.hash(index.cast("bigint")).cast("bigint")
+
+
 def is_complete() -> Column:
-    return F.col("received_chunks") == F.col("total_chunks")
+    total = F.col("total_chunks").cast("bigint")
+    counted = (
+        (F.col("received_chunks") == total)
+        & (F.col("least_total") == total)
+        & (F.col("first_index") == 0)
+        & (F.col("last_index") == total - 1)
+    )
+    expected = F.aggregate(
+        F.sequence(F.lit(0).cast("bigint"), total - 1), F.lit(0).cast("bigint"), lambda a, i: a + _index_hash(i)
+    )
+    return F.when(counted, F.col("index_hashes") == expected).otherwise(False)
 
 
 def chunk_completeness(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per signal: chunks expected and received, whether all are there, and how many samples they hold.
 
-    Repeats must be gone (``drop_repeats``).
+    A chunk index counts once, however often it came, and only below the total. Chunks that disagree about the total
+    never make a signal complete.
     """
-    return chunks.groupBy(*keys).agg(*arrival_counts()).withColumn("is_complete", is_complete())
+    size = F.size("samples")
+    each = chunks.groupBy(*keys, "chunk_index").agg(
+        F.max("total_chunks").alias("total_chunks"), F.min("total_chunks").alias("least_total"), F.max(size).alias("size")
+    )
+    inside = F.col("chunk_index").between(0, F.col("total_chunks") - 1)
+    counted = each.groupBy(*keys).agg(
+        F.max("total_chunks").alias("total_chunks"),
+        F.min("least_total").alias("least_total"),
+        F.count_if(inside).alias("received_chunks"),
+        F.coalesce(F.sum(F.when(inside, F.col("size"))), F.lit(0)).alias("n"),
+        F.max("size").alias("chunk_size"),
+    )
+    done = (F.col("received_chunks") == F.col("total_chunks")) & (F.col("least_total") == F.col("total_chunks"))
+    return counted.withColumn("is_complete", done).drop("least_total")
 
 
 def samples_of_chunks(chunks: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -112,15 +148,18 @@ def _buckets(signals: DataFrame, bucket: int) -> DataFrame:
     return signals.withColumn("__bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
 
 
-def missing_chunks(chunks: DataFrame, keys: Sequence[str], bucket: int = BUCKET) -> DataFrame:
-    """The chunk indexes that never arrived, one row each, for incomplete signals.
+def incomplete_signals(chunks: DataFrame, keys: Sequence[str], bucket: int = BUCKET) -> DataFrame:
+    """Signals that aren't complete, for the dead letters: keys, ``total_chunks``, ``received_chunks``, and in rows of one
+    bucket of chunk indexes each the ``missing`` ones. Buckets without gaps have no row, but each signal has its first.
 
     Indexes are compared in buckets of bounded size instead of as one list per signal.
     """
     keys = list(keys)
     start, end = F.col("__bucket") * bucket, F.least((F.col("__bucket") + 1) * bucket, F.col("total_chunks"))
     incomplete = _buckets(chunk_completeness(chunks, keys).filter("NOT is_complete"), bucket)
-    expected = incomplete.select(*keys, "total_chunks", "__bucket", F.sequence(start, end - 1).alias("__expected"))
+    expected = incomplete.select(
+        *keys, "total_chunks", "received_chunks", "__bucket", F.sequence(start, end - 1).alias("__expected")
+    )
     received = (
         chunks.select(*keys, F.col("chunk_index").cast("bigint").alias("__index"))
         .withColumn("__bucket", msg.whole_division(F.col("__index"), bucket))
@@ -130,5 +169,13 @@ def missing_chunks(chunks: DataFrame, keys: Sequence[str], bucket: int = BUCKET)
     gaps = F.array_except("__expected", F.coalesce("__received", F.array().cast("array<bigint>")))
     return (
         expected.join(received, [*keys, "__bucket"], "left")
-        .select(*keys, "total_chunks", F.explode(gaps).alias("chunk_index"))
+        .select(*keys, "total_chunks", "received_chunks", "__bucket", gaps.alias("missing"))
+        .filter((F.size("missing") > 0) | (F.col("__bucket") == 0))
+        .drop("__bucket")
     )
+
+
+def missing_chunks(chunks: DataFrame, keys: Sequence[str], bucket: int = BUCKET) -> DataFrame:
+    """The chunk indexes that never arrived, one row each, for incomplete signals."""
+    gaps = incomplete_signals(chunks, keys, bucket)
+    return gaps.select(*keys, "total_chunks", F.explode("missing").alias("chunk_index"))

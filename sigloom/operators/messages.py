@@ -84,7 +84,7 @@ def contract_errors() -> Column:
         ("enum:channel_name", ~F.col("channel_name").isin(*fixed.CHANNEL_NAMES)),
         ("range:chunk_index", F.col("chunk_index") < 0),
         ("range:total_chunks", F.col("total_chunks") < 1),
-        ("range:chunk_index >= total_chunks", F.col("chunk_index") >= F.col("total_chunks")),
+        ("range:chunk_index >= total_chunks", F.col("total_chunks").between(1, F.col("chunk_index"))),
         ("const:sample_rate_hz", F.col("sample_rate_hz") != fixed.SAMPLE_RATE_HZ),
         ("type:samples", F.exists("samples", lambda v: v.isNull())),
         ("format:event_time", F.col("event_time").isNotNull() & ~is_date_time),

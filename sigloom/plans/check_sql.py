@@ -192,6 +192,18 @@ state AS (
     count(*) = max((n + 15) // 16) AS is_complete
   FROM arrived GROUP BY user_id)"""
 
+PRODUCT_SAMPLES = "SELECT user_id // 2 AS battery, user_id % 2 AS side, event_id AS o, value FROM events"
+RUN_FACTS = """'00000000-0000-0000-0000-000000000001' AS run_id, 'SUCCESS' AS status, files + 3 AS total_files, 16 * (files + 1) AS total_segment_rows, files + 1 AS total_summary_rows"""
+PUBLISH = """WITH signals AS (
+  SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos, count(*) OVER (PARTITION BY user_id) AS n
+  FROM events {where}),
+named AS (
+  SELECT *, 'battery_' || (user_id // 2) AS product_id, printf('2024010%d_battery_%d', (user_id // 2) % 3 + 1, user_id // 2) AS instance, user_id % 2 AS channel FROM signals)
+SELECT printf('LINE_01_%s_L01_%s', instance, CASE WHEN channel = 0 THEN 'LB' ELSE 'LA' END) AS key, instance AS product_instance_id, product_id, 'LINE_01' AS line_id,
+  channel, CAST(1 AS BIGINT) AS lead_num, pos // 16 AS chunk_index, (max(n) + 15) // 16 AS total_chunks, (pos // 16) * 16 AS start_sample,
+  pos // 16 = (max(n) + 15) // 16 - 1 AS is_last_chunk, false AS is_duplicate, count(*) AS samples, round(sum(CAST(CAST(value AS FLOAT) AS DOUBLE)), 1) AS total_value
+FROM named GROUP BY instance, product_id, channel, pos // 16"""
+
 CSV_SAMPLES = "SELECT event_type, event_id // 1000000 AS block, event_id AS o, value FROM events"
 
 CHECKS = {
@@ -308,14 +320,37 @@ FROM (SELECT user_id, CAST(ts AS DATE) AS day FROM events) GROUP BY ALL""",
     "csv_batch_summary": f"""WITH {summary_ctes(CSV_SAMPLES, "event_type, block")}
 SELECT '00000000-0000-0000-0000-000000000001' AS run_id, event_type, block, {SCORE_VALUES.format(threshold=0.35)},
   '2024-01-01 10:00:00' AS window_start, '2024-01-01 11:00:00' AS window_end FROM scored""",
+    "csv_split_change": f"""WITH {numbered("SELECT event_type, event_id AS o, value FROM events", "event_type")}
+SELECT event_type, pos, n, value FROM numbered""",
+    "key_order": f"""WITH {MESSAGES_BY_USER}
+SELECT printf('%s_%s_L%02d_%s', line_id, instance, lead_num, code) AS key, chunk_index, chunk_index AS place, CAST(1 AS BIGINT) AS partitions
+FROM messages""",
+    "publish_messages": PUBLISH.format(where=""),
+    "publish_oldest_date": PUBLISH.format(where="WHERE (user_id // 2) % 3 = 0"),
+    "batch_job_run": f"""WITH {summary_ctes(PRODUCT_SAMPLES, "battery, side")}, facts AS (SELECT count(*) AS files FROM scored)
+SELECT 'battery_' || battery || '.csv' AS file_name, CAST('2024-01-0' || (battery % 3 + 1) AS DATE) AS event_date, 'LINE_01' AS line_id,
+  'battery_' || battery AS product_id, CAST(1 AS BIGINT) AS line_number, side AS channel, CAST(16 AS BIGINT) AS record_count, total_samples,
+  round(score, 6) AS cpd_score, CASE WHEN score >= 0.35 THEN 'REVIEW' ELSE 'PASS' END AS quality_decision, {RUN_FACTS}
+FROM scored, facts
+UNION ALL
+SELECT '20249999_battery_5000_laser_a.csv', NULL, 'LINE_20249999', 'battery_5000', 20249999, 1, 16, 2, 0.5, 'REVIEW', {RUN_FACTS}
+FROM facts""",
+    "batch_job_skipped": """SELECT * FROM (VALUES ('7_empty_laser_a.csv', 'no finite numeric samples'), ('7_broken_laser_a.csv', 'not valid UTF-8'),
+  ('20249999_battery_5000_laser_a.csv', 'impossible date')) AS t(file_name, reason)""",
+    "incomplete_signals": f"""WITH {GAPS}
+SELECT user_id, state.total_chunks AS total_chunks, received_chunks, string_agg(CAST(chunk_index AS VARCHAR), ',' ORDER BY chunk_index) AS missing
+FROM state JOIN all_chunks USING (user_id) WHERE NOT is_complete AND (user_id + chunk_index) % 7 = 0 GROUP BY ALL""",
     "stream_hourly": """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
   strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
   CASE WHEN value >= 100 THEN 'REVIEW' ELSE 'PASS' END AS quality_decision, count(*) AS signals
-FROM events GROUP BY ALL
-HAVING max(date_trunc('hour', ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+FROM events GROUP BY ALL""",
     "stream_route": ROUTED,
-    "stream_scores": f"""WITH {summary_ctes(EVENTS_BY_USER, "user_id")}, seen AS (SELECT user_id, min(ts) AS t FROM events GROUP BY user_id)
-SELECT 'product_' || (user_id // 2) AS product_instance_id, (user_id // 2) % 16 + 1 AS lead_num, user_id % 2 AS channel,
-  {SCORE_VALUES.format(threshold=0.35)}
-FROM scored JOIN seen USING (user_id) WHERE t <= (SELECT max(t) FROM seen) - INTERVAL 1 MINUTE""",
+    "stream_scores": f"""WITH {summary_ctes(EVENTS_BY_USER, "user_id")},
+lost AS (SELECT user_id, (max(n) + 15) // 16 AS total, CAST(len(list_filter(range((max(n) + 15) // 16), lambda i: (user_id + i) % 7 = 0 AND user_id % 5 = 0)) AS BIGINT) AS missing
+  FROM numbered GROUP BY user_id),
+named AS (SELECT *, 'product_' || (user_id // 2) AS product_instance_id, (user_id // 2) % 16 + 1 AS lead_num, user_id % 2 AS channel FROM lost)
+SELECT product_instance_id, lead_num, channel, {SCORE_VALUES.format(threshold=0.35)}, missing
+FROM scored JOIN named USING (user_id) WHERE missing = 0
+UNION ALL BY NAME
+SELECT product_instance_id, lead_num, channel, 'INCOMPLETE' AS quality_decision, missing FROM named WHERE missing > 0 AND missing < total""",
 }

@@ -16,7 +16,7 @@ from sigloom.operators.dates import on_oldest_date
 from sigloom.operators.messages import build_messages
 from sigloom.operators.replay import replay_items
 from sigloom.shared_storage import qualified_path, written
-from sigloom.sources.files import SignalFiles, list_files
+from sigloom.sources.files import FileChoice, SignalFiles, list_files
 
 
 class InstanceScan:
@@ -68,15 +68,39 @@ def plan_items(
     return replay_items(chosen, lines, target, max_products, interval_seconds, seeds)
 
 
+#: Dates that a scan is pruned by at most; items of one file that one task joins.
+PRUNING_DATES = 1_000
+ITEMS_PER_TASK = 10_000
+
+
+def _choice(published_paths: DataFrame) -> FileChoice:
+    """The dates of the files to publish, so that the scan leaves out all others; everything where a path has none."""
+    days = published_paths.select(paths.event_date(F.col("path")).alias("day")).distinct().limit(PRUNING_DATES + 1).collect()
+    dates = [r.day for r in days]
+    return FileChoice() if None in dates or len(dates) > PRUNING_DATES else FileChoice(event_dates=tuple(sorted(dates)))
+
+
 def plan_messages(scan: InstanceScan, items: DataFrame, chunk_size: int = fixed.CHUNK_SIZE) -> DataFrame:
-    """All messages of the items. A file is read and cut once, however often its instance is replayed."""
-    source = SignalFiles(scan.spark, scan.root, single_precision=True)
+    """All messages of the items. A file is read and cut once, however often its instance is replayed.
+
+    Only files of the dates that are published are scanned. Items of a file that is replayed very often are spread over
+    tasks, each of which gets the file's chunks.
+    """
     files = ops.signal_files(scan.pairs).withColumnRenamed("instance_id", "original_product_instance_id")
+    wanted = written(items.join(files, "original_product_instance_id"), "wanted")
+    source = SignalFiles(scan.spark, scan.root, _choice(wanted.select("path").distinct()), single_precision=True)
     signals = source.signals.select("file_id", F.col("source_file").alias("path"))
-    published = written(items.join(files, "original_product_instance_id").join(signals, "path"), "published")
+    published = written(wanted.join(signals, "path"), "published")
     # Samples of files that nobody publishes go before they are shuffled into chunks.
-    used = published.select("file_id").distinct()
-    samples = source.samples.join(broadcast_if_small(used, used.count(), 64), "file_id", "left_semi")
-    chunks = chunk_samples(samples, ["file_id"], chunk_size)
-    joined = chunks.join(broadcast_if_small(published, published.count(), 1024), "file_id")
+    uses = written(published.groupBy("file_id").count(), "uses")
+    facts = uses.agg(F.count("*").alias("files"), F.coalesce(F.sum("count"), F.lit(0)).alias("rows"), F.max("count").alias("most")).first()
+    used = broadcast_if_small(uses.select("file_id"), facts["files"], 64)
+    chunks = chunk_samples(source.samples.join(used, "file_id", "left_semi"), ["file_id"], chunk_size)
+    spread = -(-(facts["most"] or 0) // ITEMS_PER_TASK)
+    key = ["file_id"]
+    if spread > 1:
+        part = F.pmod(F.hash("product_instance_id"), F.lit(spread))
+        published, key = published.withColumn("__part", part), ["file_id", "__part"]
+        chunks = chunks.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    joined = chunks.join(broadcast_if_small(published, facts["rows"], 1024), key).drop("__part")
     return build_messages(joined.withColumn("file_name", paths.file_name(F.col("path"))))

@@ -6,7 +6,7 @@ product instances. Each query takes (session, folder of Parquet tables).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sigloom.functions import instances as inst
@@ -22,9 +22,12 @@ from sigloom.operators.batch import segment_rows, summary_rows
 from sigloom.operators.dates import on_oldest_date
 from sigloom.operators.segments import segment_stats, signal_summary
 from sigloom.operators.upsert import upsert_by_key
-from sigloom.shared_storage import fresh_path, written
+from sigloom.plans.batch_job import run_batch
+from sigloom.plans.publish_job import InstanceScan, plan_items, plan_messages
+from sigloom.shared_storage import fresh_path, rename, write_bytes, written
+from sigloom.sinks.external import write_message_files
 from sigloom.sinks.tables import append_partitioned, upsert_table
-from sigloom.sources.files import SignalFiles
+from sigloom.sources.files import SignalFiles, list_files
 from sigloom.sources.messages import stream_message_files
 from sigloom.sources.tables import samples_from_arrays, samples_from_rows
 from sigloom.streaming import message_streams
@@ -636,14 +639,19 @@ def _run(query) -> None:
 
 def stream_hourly(spark, folder):
     out, checkpoint = fresh_path(spark, "hourly"), fresh_path(spark, "stream")
-    schema = table(spark, folder, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    decided = events.select(
-        F.col("ts").cast("timestamp").alias("event_time"), seg.quality_decision(F.col("value"), 100.0).alias("quality_decision")
-    )
-    _run(message_streams.append_to_files(message_streams.hourly_decisions(decided), out, checkpoint, available_now=True))
+    decision = seg.quality_decision(F.col("value"), 100.0).alias("quality_decision")
+
+    def decided(events):
+        return events.select(F.col("ts").cast("timestamp").alias("event_time"), decision)
+
+    stored = table(spark, folder, "events")
+    events = spark.readStream.schema(stored.schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    hours = message_streams.hourly_decisions(decided(events))
+    _run(message_streams.append_to_files(hours, out, checkpoint, available_now=True))
+    emitted = spark.read.parquet(out)
+    hours = emitted.unionByName(message_streams.open_hours(decided(stored), emitted))
     pattern = "yyyy-MM-dd HH:mm:ss"
-    return spark.read.parquet(out).select(
+    return hours.select(
         *[F.date_format(c, pattern).alias(c) for c in ("window_start", "window_end")], "quality_decision", "signals"
     )
 
@@ -659,20 +667,147 @@ def stream_route(spark, folder):
 
 
 def stream_scores(spark, folder):
-    """Messages of all users, twice each, through routing, repeat removal, completeness and scoring."""
-    raw, valid, dead, out = (fresh_path(spark, n) for n in ("raw", "valid", "dead", "scores"))
-    rows = mops.keyed_json(_user_messages(spark, folder), "raw").drop("chunk_index")
+    """Messages of all users, twice each, through routing, repeat removal, completeness, scoring and closing.
+
+    Every fifth user loses chunks on the way; such signals come out as incomplete.
+    """
+    raw, valid, dead, out, lost = (fresh_path(spark, n) for n in ("raw", "valid", "dead", "scores", "lost"))
+    user = F.regexp_extract("metadata.file_name", "user_([0-9]+)", 1).cast("bigint")
+    arrived = _user_messages(spark, folder).filter(~((user % 5 == 0) & ((user + F.col("chunk_index")) % 7 == 0)))
+    rows = mops.keyed_json(arrived, "raw").drop("chunk_index")
     rows.unionByName(rows).write.json(raw)
     source = stream_message_files(spark, raw)
     _run(message_streams.route_messages(source, valid, dead, fresh_path(spark, "stream"), available_now=True))
     stored = spark.readStream.schema(spark.read.parquet(valid).schema).parquet(valid)
     complete = message_streams.signal_completeness(message_streams.once_each(stored, "1 minute"))
-    _run(message_streams.score_signals(complete, valid, out, fresh_path(spark, "stream"), available_now=True))
-    return spark.read.parquet(out).select(
-        "product_instance_id", *whole("lead_num", "channel", "record_count", "total_samples"), *scores(), "quality_decision"
+    checkpoint = fresh_path(spark, "stream")
+    _run(message_streams.score_signals(complete, valid, out, checkpoint, available_now=True, lost_path=lost))
+    message_streams.close_signals(spark, valid, out, lost)
+    key = ["product_instance_id", *whole("lead_num", "channel")]
+    scored = spark.read.parquet(out).select(*key, *whole("record_count", "total_samples"), *scores(), "quality_decision")
+    gaps = spark.read.parquet(lost).groupBy(*mops.SIGNAL_KEY).agg(F.sum(F.size("missing")).alias("missing"))
+    incomplete = gaps.select(*key, F.lit("INCOMPLETE").alias("quality_decision"), "missing")
+    return scored.withColumn("missing", F.lit(0).cast("bigint")).unionByName(incomplete, allowMissingColumns=True)
+
+
+# --- the jobs as a whole
+
+
+def csv_split_change(spark, folder):
+    """Samples of signal files when later scans would be cut otherwise than the first one."""
+    source = SignalFiles(spark, _event_tree(spark, folder))
+    name = "spark.sql.leafNodeDefaultParallelism"
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.set(name, "2")
+        samples = source.samples
+        spark.conf.set(name, "8")
+        named = written(source.named(samples), "samples")
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    kind = F.regexp_extract("source_file", "event_type=([^/]+)/", 1).alias("event_type")
+    return named.select(kind, *whole("pos", "n"), "value")
+
+
+def key_order(spark, folder):
+    """Messages as a broker gets them: the place of each among its key's rows in its partition, and who else has the key."""
+    rows = mops.by_key_in_order(mops.keyed_json(_user_messages(spark, folder), "raw"))
+    placed = rows.select("key", "chunk_index", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id"))
+    placed = written(placed, "sent")
+    own = Window.partitionBy("key", "part").orderBy("id")
+    parts = placed.groupBy("key").agg(F.count_distinct("part").alias("partitions"))
+    return placed.withColumn("place", F.row_number().over(own) - 1).join(parts, "key").select(
+        "key", *whole("chunk_index", "place", "partitions")
     )
 
 
+def _product_tree(spark, folder) -> str:
+    """Signal files of products in event order: two users are the two channels of one, products are of three days."""
+    path, target = fresh_path(spark, "products"), fresh_path(spark, "tree")
+    user, battery = F.col("user_id"), seg.whole_division(F.col("user_id"), 2)
+    (
+        table(spark, folder, "events")
+        .select(
+            F.format_string("2024010%d", battery % 3 + 1).alias("day"),
+            F.when(user % 2 == 0, "reflect").otherwise("out").alias("side"),
+            battery.alias("battery"),
+            "event_id",
+            "value",
+        )
+        .repartition("day", "side", "battery")
+        .sortWithinPartitions("day", "side", "battery", "event_id")
+        .write.option("header", True)
+        .partitionBy("day", "side", "battery")
+        .csv(path)
+    )
+    # One file per signal; only names are handled here.
+    for row in list_files(spark, path).select("source_file").toLocalIterator():
+        day, side, battery_id = (row.source_file.split(f"/{n}=")[1].split("/")[0] for n in ("day", "side", "battery"))
+        rename(spark, row.source_file, f"{target}/{day}/{side}/battery_{battery_id}.csv")
+    return target
+
+
+def _published(spark, folder, **choice) -> DataFrame:
+    scan = InstanceScan(spark, _product_tree(spark, folder))
+    out = fresh_path(spark, "messages")
+    write_message_files(plan_messages(scan, plan_items(scan, **choice), CHUNK), out, "raw")
+    rows = spark.read.schema("topic string, key string, value string").json(out)
+    total = F.aggregate("samples", F.lit(0.0), lambda a, v: a + v)
+    return mops.parse_messages(rows).select(
+        "key", "product_instance_id", "product_id", "line_id",
+        *whole("channel", "lead_num", "chunk_index", "total_chunks", "start_sample"), "is_last_chunk",
+        "metadata.is_duplicate",
+        F.size("samples").cast("bigint").alias("samples"),
+        F.round(total, 1).alias("total_value"),
+    )
+
+
+def publish_messages(spark, folder):
+    """The publish job over a tree of signal files, its messages written and read back."""
+    return _published(spark, folder)
+
+
+def publish_oldest_date(spark, folder):
+    """The same for the products of the oldest day only."""
+    return _published(spark, folder, oldest_date_only=True)
+
+
+def _batch_tree(spark, folder) -> str:
+    tree = _product_tree(spark, folder)
+    write_bytes(spark, f"{tree}/20240101/out/7_empty_laser_a.csv", b"value\n")
+    write_bytes(spark, f"{tree}/20240101/out/7_broken_laser_a.csv", b"1\n\xff2\n")
+    write_bytes(spark, f"{tree}/20249999_battery_5000_laser_a.csv", b"value\n1\n3\n")
+    return tree
+
+
+def batch_job_run(spark, folder):
+    """The batch job over a tree with odd files among its signals: its summary, and what its run row says."""
+    out = fresh_path(spark, "batch")
+    run = run_batch(spark, _batch_tree(spark, folder), out, run_id="00000000-0000-0000-0000-000000000001")
+    columns = ["file_name", "event_date", "line_id", "product_id", *whole("line_number", "channel", "record_count", "total_samples")]
+    summary = spark.read.parquet(f"{out}/summary").withColumn("file_name", paths.file_name(F.col("source_file")))
+    runs = spark.read.parquet(f"{out}/runs").filter(F.col("run_id") == run.run_id)
+    counts = whole("total_files", "total_segment_rows", "total_summary_rows")
+    return summary.select(*columns, rounded("cpd_score"), "quality_decision", "run_id").join(
+        runs.select("run_id", "status", *counts), "run_id"
+    )
+
+
+def batch_job_skipped(spark, folder):
+    """Files of that tree that give no samples or no date, with the reason."""
+    source = SignalFiles(spark, _batch_tree(spark, folder))
+    return source.quarantine.select(paths.file_name(F.col("source_file")).alias("file_name"), "reason")
+
+
+def incomplete_signals(spark, folder):
+    """Signals with lost chunks and with repeats, a repeat in place of each lost one, and the indexes that are missing."""
+    chunks = _chunks_with_gaps(spark, folder)
+    repeated = chunks.unionByName(chunks.filter(F.col("chunk_index") % 3 == 0))
+    gaps = ch.incomplete_signals(repeated, ["user_id"])
+    missing = F.array_join(F.transform(F.array_sort("missing"), lambda i: i.cast("string")), ",").alias("missing")
+    return gaps.select("user_id", *whole("total_chunks", "received_chunks"), missing)
+
+
 QUERIES = {
     "segment_stats": segment_stats_by_user,
     "segment_stats_short": segment_stats_short,
@@ -721,6 +856,13 @@ QUERIES = {
     "append_partitioned_rerun": append_partitioned_rerun,
     "csv_batch_segments": csv_batch_segments,
     "csv_batch_summary": csv_batch_summary,
+    "csv_split_change": csv_split_change,
+    "key_order": key_order,
+    "publish_messages": publish_messages,
+    "publish_oldest_date": publish_oldest_date,
+    "batch_job_run": batch_job_run,
+    "batch_job_skipped": batch_job_skipped,
+    "incomplete_signals": incomplete_signals,
     "stream_hourly": stream_hourly,
     "stream_route": stream_route,
     "stream_scores": stream_scores,

@@ -32,10 +32,11 @@ def _tree(spark: SparkSession, kind: str, root: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class FileChoice:
-    """Which files of a tree to use: all, or those up to a path in path order, or those of one event date."""
+    """Which files of a tree to use: all, or those up to a path in path order, or those of one event date or a few."""
 
     last_parts: tuple[str, ...] | None = None
     event_date: date | None = None
+    event_dates: tuple[date, ...] | None = None
 
     def of(self, path: Column, modified: Column) -> Column:
         """The choice as a predicate. On the metadata columns of a scan it prunes whole files."""
@@ -44,6 +45,8 @@ class FileChoice:
             chosen = chosen & (paths.path_parts(path) <= F.array(*[F.lit(p) for p in self.last_parts]))
         if self.event_date is not None:
             chosen = chosen & (paths.event_date(path, modified) == F.lit(self.event_date))
+        if self.event_dates is not None:
+            chosen = chosen & paths.event_date(path, modified).isin(*self.event_dates)
         return chosen
 
 

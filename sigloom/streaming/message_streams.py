@@ -6,14 +6,23 @@ back from the table of valid chunks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sigloom import fixed_values as fixed
-from sigloom.operators.chunks import arrival_counts, is_complete, reassemble
-from sigloom.operators.messages import SIGNAL_KEY, check_messages, dead_letters, drop_repeats, valid_messages
+from sigloom.operators.chunks import arrival_counts, chunk_completeness, incomplete_signals, is_complete, reassemble
+from sigloom.operators.joins import attach
+from sigloom.operators.messages import (
+    SIGNAL_KEY,
+    channel_presence,
+    check_messages,
+    dead_letters,
+    drop_repeats,
+    valid_messages,
+)
 from sigloom.operators.segments import segment_stats, signal_summary
+from sigloom.shared_storage import path_exists, written
 
 DEFAULT_DELAY = "10 minutes"
 
@@ -72,6 +81,24 @@ def signal_completeness(messages: DataFrame) -> DataFrame:
     )
 
 
+TIMED_KEY = ["event_time", *SIGNAL_KEY]
+
+
+def _write_results(
+    signals: DataFrame, chunks: DataFrame, out_path: str, lost_path: str | None, name: str, segments: int, threshold: float
+) -> None:
+    """Decisions of the complete ones among ``signals`` (keys, counts, is_complete) and dead letters of the others."""
+    complete = signals.filter("is_complete")
+    samples = reassemble(drop_repeats(chunks), TIMED_KEY, complete)
+    summary = signal_summary(segment_stats(samples, TIMED_KEY, segments), TIMED_KEY, threshold)
+    summary.write.mode("overwrite").parquet(f"{out_path}/batch_id={name}")
+    if lost_path is not None:
+        lost = attach(drop_repeats(chunks), signals.filter("NOT is_complete").select(*TIMED_KEY), TIMED_KEY, "left_semi")
+        incomplete_signals(lost, TIMED_KEY).withColumn("reason", F.lit("incomplete")).write.mode("overwrite").parquet(
+            f"{lost_path}/batch_id={name}"
+        )
+
+
 def score_signals(
     completeness: DataFrame,
     valid_path: str,
@@ -80,35 +107,75 @@ def score_signals(
     segments: int = fixed.SEGMENT_COUNT,
     threshold: float = fixed.DRIFT_THRESHOLD,
     available_now: bool = False,
+    lost_path: str | None = None,
 ) -> StreamingQuery:
-    """Segment statistics and decisions of the signals that became complete, by the operators of the batch job."""
-    keys = ["event_time", *SIGNAL_KEY]
+    """Segment statistics and decisions of the signals that became complete, by the operators of the batch job.
+
+    Signals whose time has passed without all of their chunks go to ``lost_path`` with the missing indexes.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        complete = batch.filter("is_complete").persist()
+        closed = batch.persist()
         try:
-            days = complete.agg(*[f(F.to_date("event_time")).alias(n) for f, n in ((F.min, "lo"), (F.max, "hi"))]).first()
-            if days["lo"] is None:
-                return
-            chunks = (
-                batch.sparkSession.read.parquet(valid_path)
-                .filter(F.col("event_date").between(days["lo"], days["hi"]))
-                .join(complete.select(*keys), keys, "left_semi")
-            )
-            samples = reassemble(drop_repeats(chunks), keys, complete)
-            summary = signal_summary(segment_stats(samples, keys, segments), keys, threshold)
-            summary.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            # Only the days of this batch are read. They are few: one for each day of event times that it closes.
+            days = [r.day for r in closed.select(F.to_date("event_time").alias("day")).distinct().collect()]
+            if days:
+                chunks = closed.sparkSession.read.parquet(valid_path).filter(F.col("event_date").isin(days))
+                chunks = attach(chunks, closed.select(*TIMED_KEY), TIMED_KEY, "left_semi")
+                _write_results(closed, chunks, out_path, lost_path, str(batch_id), segments, threshold)
         finally:
-            complete.unpersist()
+            closed.unpersist()
 
     return _start(completeness, checkpoint, available_now).foreachBatch(write).start()
 
 
-def hourly_decisions(decisions: DataFrame, time: str = "event_time", delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Decisions per hour."""
+def close_signals(
+    spark: SparkSession,
+    valid_path: str,
+    out_path: str,
+    lost_path: str,
+    segments: int = fixed.SEGMENT_COUNT,
+    threshold: float = fixed.DRIFT_THRESHOLD,
+) -> None:
+    """The closing step when no more messages come: what the stream still holds open is judged from the stored chunks."""
+    chunks = spark.read.parquet(valid_path)
+    for path in (out_path, lost_path):
+        if path_exists(spark, path):
+            known = spark.read.parquet(path).filter("CAST(batch_id AS STRING) <> 'closing'").select(*TIMED_KEY).distinct()
+            chunks = attach(chunks, known, TIMED_KEY, "left_anti")
+    chunks = written(chunks, "open")
+    signals = written(chunk_completeness(drop_repeats(chunks), TIMED_KEY), "closing")
+    _write_results(signals, chunks, out_path, lost_path, "closing", segments, threshold)
+
+
+def open_hours(decisions: DataFrame, emitted: DataFrame, time: str = "event_time") -> DataFrame:
+    """The closing step of the hourly roll-up: hours that the stream never emitted, counted from the stored decisions.
+
+    They are for a table of their own: a stream's output folder lists only what the stream wrote.
+    """
+    return attach(_per_hour(decisions, time), emitted.select("window_start").distinct(), ["window_start"], "left_anti")
+
+
+def presence_on_stream(completeness: DataFrame) -> DataFrame:
+    """For each batch of closed signals: whether both channels of a lead came. For use in ``foreachBatch``."""
+    return channel_presence(completeness.filter("is_complete"))
+
+
+def result_topics(summary: DataFrame, feature_topic: str, decision_topic: str) -> DataFrame:
+    """Two rows for a keyed broker sink of each judged signal: its features, and its decision."""
+    key = F.concat_ws(":", "product_instance_id", "lead_num", "channel")
+    features = F.to_json(F.struct(*SIGNAL_KEY, "event_time", "total_samples", "odd_pattern_mean", "even_pattern_mean", "odd_even_gap"))
+    decision = F.to_json(F.struct(*SIGNAL_KEY, "event_time", "cpd_score", "quality_decision"))
+    rows = F.array(
+        F.struct(F.lit(feature_topic).alias("topic"), features.alias("value")),
+        F.struct(F.lit(decision_topic).alias("topic"), decision.alias("value")),
+    )
+    return summary.select(key.alias("key"), F.explode(rows).alias("r")).select("r.topic", "key", "r.value")
+
+
+def _per_hour(decisions: DataFrame, time: str) -> DataFrame:
     return (
-        decisions.withWatermark(time, delay)
-        .groupBy(F.window(time, "1 hour").alias("hour"), "quality_decision")
+        decisions.groupBy(F.window(time, "1 hour").alias("hour"), "quality_decision")
         .agg(F.count("*").alias("signals"))
         .select(
             F.col("hour.start").alias("window_start"), F.col("hour.end").alias("window_end"), "quality_decision", "signals"
@@ -116,6 +183,11 @@ def hourly_decisions(decisions: DataFrame, time: str = "event_time", delay: str
     )
 
 
+def hourly_decisions(decisions: DataFrame, time: str = "event_time", delay: str = DEFAULT_DELAY) -> DataFrame:
+    """Decisions per hour."""
+    return _per_hour(decisions.withWatermark(time, delay), time)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows the watermark has dropped so far: they vanish without an error."""
     states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
