@@ -8,26 +8,36 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import instances as inst
 from sigloom.operators import instances as ops
-from sigloom.operators.chunks import chunk_samples, missing_chunks, reassemble, samples_of_chunks
-from sigloom.operators.messages import build_messages, in_key_order, keyed_json
+from sigloom.operators.chunks import (
+    arrival_counts,
+    chunk_completeness,
+    chunk_samples,
+    incomplete_signals,
+    is_complete,
+    missing_chunks,
+    reassemble,
+    samples_of_chunks,
+)
+from sigloom.operators.messages import build_messages, by_key_in_order, in_key_order, keyed_json
 from sigloom.operators.replay import dry_run_summary, in_publish_order, replay_items, seeded_order
+from sigloom.plans import publish_job
 from sigloom.plans.publish_job import InstanceScan, plan_items, plan_messages
 from sigloom.sinks.external import KAFKA_OPTIONS, write_message_files
 from sigloom.sources.messages import read_message_files
 
 
-def laser_pair(root, write_signal, battery=10, b=(0.1, 0.2), a=(0.3, 0.4)):
+def laser_pair(root, write_signal, battery=31, b=(1.5, 2.5), a=(3.5, 4.5)):
     write_signal(root / f"20220417_battery_{battery}_laser_b.csv", b)
     write_signal(root / f"20220417_battery_{battery}_laser_a.csv", a)
 
 
 def test_laser_files_form_one_instance(spark, tmp_path, write_signal):
-    write_signal(tmp_path / "laser_b" / "20220417" / "20220417_battery_10_laser_b.csv", [0.1])
-    write_signal(tmp_path / "laser_a" / "20220417" / "20220417_battery_10_laser_a.csv", [0.3])
+    write_signal(tmp_path / "laser_b" / "20220417" / "20220417_battery_31_laser_b.csv", [0.1])
+    write_signal(tmp_path / "laser_a" / "20220417" / "20220417_battery_31_laser_a.csv", [0.3])
     scan = InstanceScan(spark, str(tmp_path))
     [row] = scan.instances().collect()
-    assert (row.instance_id, row.line_id, row.product_id) == ("20220417_battery_10", "LINE_01", "battery_10")
-    assert (row.batch_id, row.sequence_id, row.event_time) == ("20220417", "10", dt.datetime(2022, 4, 17))
+    assert (row.instance_id, row.line_id, row.product_id) == ("20220417_battery_31", "LINE_01", "battery_31")
+    assert (row.batch_id, row.sequence_id, row.event_time) == ("20220417", "31", dt.datetime(2022, 4, 17))
     [pair] = scan.pairs.collect()
     assert pair.lead_num == 1
     assert pair.channel_0_path.endswith("laser_b.csv") and pair.channel_1_path.endswith("laser_a.csv")
@@ -35,16 +45,16 @@ def test_laser_files_form_one_instance(spark, tmp_path, write_signal):
 
 def test_folders_decide_the_channel(spark, tmp_path, write_signal):
     for folder in ("reflect", "OUT"):
-        write_signal(tmp_path / "20220417" / folder / "battery_10.csv", [0.1])
+        write_signal(tmp_path / "20220417" / folder / "battery_31.csv", [0.1])
     # The folder beats the name: this is a second file of channel 1, later in path order.
-    write_signal(tmp_path / "20220417" / "out" / "20220417_battery_10_laser_b.csv", [0.1])
+    write_signal(tmp_path / "20220417" / "out" / "20220417_battery_31_laser_b.csv", [0.1])
     scan = InstanceScan(spark, str(tmp_path))
     [row] = scan.instances().collect()
     # The first file in path order is in OUT and gives the sequence id.
-    assert (row.instance_id, row.sequence_id) == ("20220417_battery_10", "battery_10")
+    assert (row.instance_id, row.sequence_id) == ("20220417_battery_31", "battery_31")
     [pair] = scan.pairs.collect()
-    assert pair.channel_0_path.endswith("reflect/battery_10.csv")
-    assert pair.channel_1_path.endswith("out/20220417_battery_10_laser_b.csv")
+    assert pair.channel_0_path.endswith("reflect/battery_31.csv")
+    assert pair.channel_1_path.endswith("out/20220417_battery_31_laser_b.csv")
     assert pair.duplicates == 1
 
 
@@ -60,14 +70,14 @@ def test_folders_decide_the_channel(spark, tmp_path, write_signal):
             ("20220417_000442_2_L7_03_P-1", "P-1", "L7", "03", "2", 16, 1, "2022-04-17 00:04:42"),
         ),
         (
-            "20220417_battery_010_CH1.csv",
-            ("20220417_battery_10", "battery_10", "LINE_01", "20220417", "010", 1, 1, "2022-04-17 00:00:00"),
+            "20220417_battery_031_CH1.csv",
+            ("20220417_battery_31", "battery_31", "LINE_01", "20220417", "031", 1, 1, "2022-04-17 00:00:00"),
         ),
         (
             "x/20220417/concat_out_0/seam_3_laser_A.csv",
             ("20220417_seam_3", "seam_3", "LINE_01", "20220417", "seam_3", 1, 1, "2022-04-17 00:00:00"),
         ),
-        ("3_20220417_battery_10_laser_b.csv", None),
+        ("3_20220417_battery_31_laser_b.csv", None),
         ("20220417/seam.csv", None),
         ("out/seam.csv", None),
     ],
@@ -113,7 +123,7 @@ def test_oldest_date_comes_before_the_cap(spark, tmp_path, write_signal):
 
 
 def test_items_for_several_lines(spark, tmp_path, write_signal):
-    for battery in (10, 11):
+    for battery in (31, 32):
         laser_pair(tmp_path, write_signal, battery)
     items = in_publish_order(plan_items(InstanceScan(spark, str(tmp_path)), lines=3, max_products=2)).collect()
     assert [r.line_id for r in items] == ["LINE_01", "LINE_02", "LINE_03"] * 2
@@ -121,7 +131,7 @@ def test_items_for_several_lines(spark, tmp_path, write_signal):
     first = items[0].event_time
     assert [(r.event_time - first).total_seconds() for r in items] == [0, 0, 0, 10, 10, 10]
     assert [r.is_duplicate for r in items] == [False, True, True] * 2
-    assert items[1].product_instance_id == "20220417_battery_10_LINE_02_R00000"
+    assert items[1].product_instance_id == "20220417_battery_31_LINE_02_R00000"
     report = dry_run_summary(plan_items(InstanceScan(spark, str(tmp_path)), lines=3)).first()
     assert tuple(report) == (6, 2, 4, "LINE_01, LINE_02, LINE_03")
 
@@ -174,23 +184,23 @@ def test_seeds_give_each_line_its_own_order(spark):
 
 
 def test_messages_of_a_pair(spark, tmp_path, write_signal):
-    laser_pair(tmp_path, write_signal, 10, [0.1, 0.2, 0.3, 0.4, 0.5], [0.6, 0.7, 0.8, 0.9, 1.0])
+    laser_pair(tmp_path, write_signal, 31, [2.5, 1.5, 0.5, 3.1, 4.5], [6.5, 7.5, 5.5, 9.5, 8.5])
     scan = InstanceScan(spark, str(tmp_path))
     messages = plan_messages(scan, plan_items(scan), chunk_size=3)
     rows = in_key_order(keyed_json(messages, "raw")).collect()
     by_channel = sorted(rows, key=lambda r: (json.loads(r.value)["channel"], r.chunk_index))
-    assert [r.key for r in by_channel] == ["LINE_01_20220417_battery_10_L01_LB"] * 2 + [
-        "LINE_01_20220417_battery_10_L01_LA"
+    assert [r.key for r in by_channel] == ["LINE_01_20220417_battery_31_L01_LB"] * 2 + [
+        "LINE_01_20220417_battery_31_L01_LA"
     ] * 2
     second = json.loads(by_channel[1].value)
     assert list(second) == messages.columns
     assert second | {"samples": None, "metadata": None} == {
-        "message_id": "20220417_battery_10:L01:LB:000001",
-        "product_instance_id": "20220417_battery_10",
-        "product_id": "battery_10",
+        "message_id": "20220417_battery_31:L01:LB:000001",
+        "product_instance_id": "20220417_battery_31",
+        "product_id": "battery_31",
         "line_id": "LINE_01",
         "batch_id": "20220417",
-        "sequence_id": "10",
+        "sequence_id": "31",
         "lead_num": 1,
         "lead_type": "AL_CU",
         "channel": 0,
@@ -205,12 +215,12 @@ def test_messages_of_a_pair(spark, tmp_path, write_signal):
         "event_time": "2022-04-17T00:00:00Z",
         "metadata": None,
     }
-    assert second["samples"] == [0.4000000059604645, 0.5]
+    assert second["samples"] == [3.0999999046325684, 4.5]
     assert second["metadata"] == {
         "source": "file_replay_producer",
         "version": "v1",
-        "file_name": "1_20220417_battery_10_laser_b.csv",
-        "original_product_instance_id": "20220417_battery_10",
+        "file_name": "1_20220417_battery_31_laser_b.csv",
+        "original_product_instance_id": "20220417_battery_31",
         "is_duplicate": False,
         "replay_iteration": 0,
     }
@@ -254,6 +264,70 @@ def test_missing_chunks_across_buckets(spark):
     assert sorted(r.chunk_index for r in got.collect()) == [0, 8, 9, 10, 11, 12, 13, 14, 15, 49]
 
 
+CASES = {
+    "whole": ([0, 1, 2], 3), "repeat": ([0, 1, 1, 2], 3), "repeat for a gap": ([0, 0, 2], 3), "outside": ([0, 7], 2),
+    "beside": ([0, 1, 5], 2), "pairs": ([0, 0, 3, 3], 4), "negative": ([-1, 0], 2), "one": ([0], 1),
+}
+
+
+def arrived(spark):
+    rows = [(k, i, n, [1.0, 2.0]) for k, (indexes, n) in CASES.items() for i in indexes]
+    rows += [("disagree", 0, 2, [1.0]), ("disagree", 1, 3, [1.0])]
+    return spark.createDataFrame(rows, "sig string, chunk_index int, total_chunks int, samples array<double>")
+
+
+def test_complete_is_every_index_once(spark):
+    got = {r.sig: (r.is_complete, r.received_chunks) for r in chunk_completeness(arrived(spark), ["sig"]).collect()}
+    assert got == {
+        "whole": (True, 3), "repeat": (True, 3), "repeat for a gap": (False, 2), "outside": (False, 1), "beside": (True, 2),
+        "pairs": (False, 2), "negative": (False, 1), "one": (True, 1), "disagree": (False, 2),
+    }
+    # A stream has no list of indexes; extra rows make a signal incomplete there.
+    streamed = arrived(spark).groupBy("sig").agg(*arrival_counts()).withColumn("done", is_complete())
+    assert {r.sig for r in streamed.filter("done").collect()} == {"whole", "one"}
+
+
+def test_incomplete_signals_name_what_is_missing(spark):
+    rows = incomplete_signals(arrived(spark), ["sig"], bucket=2).collect()
+    got = sorted((r.sig, sorted(r.missing)) for r in rows)
+    assert got == [("disagree", []), ("disagree", [2]), ("negative", [1]), ("outside", [1]), ("pairs", [1]), ("pairs", [2]), ("repeat for a gap", [1])]
+
+
+def test_a_key_is_sent_by_one_task_in_order(spark):
+    rows = spark.range(400).select(F.format_string("k%d", F.col("id") % 3).alias("key"), (F.lit(400) - F.col("id")).alias("chunk_index"))
+    sent = by_key_in_order(rows.repartition(4)).withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+    for _, group in sent.toPandas().groupby("key"):
+        assert group.part.nunique() == 1 and list(group.sort_values("at").chunk_index) == sorted(group.chunk_index)
+
+
+def test_publishing_scans_only_its_dates(spark, tmp_path, write_signal):
+    for day in ("20220415", "20220416", "20220417"):
+        write_signal(tmp_path / day / "out" / f"{day}_battery_1_laser_a.csv", [1, 2])
+    scan = InstanceScan(spark, str(tmp_path))
+    wanted = plan_items(scan, oldest_date_only=True).join(
+        ops.signal_files(scan.pairs).withColumnRenamed("instance_id", "original_product_instance_id"), "original_product_instance_id"
+    )
+    choice = publish_job._choice(wanted)
+    assert choice.event_dates == (dt.date(2022, 4, 15),)
+    lines = publish_job.SignalFiles(spark, str(tmp_path), choice)._lines().select("value")
+    assert len(lines.collect()) == 2
+    leaf = lines._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert leaf.metrics().get("numFiles").get().value() == 1
+
+
+def test_often_replayed_files_are_spread(spark, tmp_path, write_signal, monkeypatch):
+    laser_pair(tmp_path, write_signal, b=(1, 2, 3), a=(4,))
+    scan = InstanceScan(spark, str(tmp_path))
+
+    def published():
+        rows = plan_messages(scan, plan_items(scan, lines=2, target=12), chunk_size=2).collect()
+        return sorted((r.message_id, r.samples) for r in rows)
+
+    whole = published()
+    monkeypatch.setattr(publish_job, "ITEMS_PER_TASK", 3)
+    assert published() == whole and len(whole) == 36
+
+
 def test_iso_fraction_only_when_present(spark):
     times = spark.createDataFrame(
         [(dt.datetime(2022, 4, 17, 0, 4, 42),), (dt.datetime(2022, 4, 17, 0, 4, 42, 500000),)], "t TIMESTAMP"
