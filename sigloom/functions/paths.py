@@ -46,9 +46,9 @@ def dashed(digits: Column) -> Column:
     return F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
 
 
-def event_date(path: Column, modified: Column | None = None) -> Column:
+def event_date(path: Column, modified: Column | None = None, digits: Column | None = None) -> Column:
     """The leftmost date in the path, else the day the file was modified; NULL for an impossible date."""
-    digits = F.regexp_extract(path, fixed.PATH_DATE_PATTERN, 0)
+    digits = F.regexp_extract(path, fixed.PATH_DATE_PATTERN, 0) if digits is None else digits
     fallback = F.lit(None).cast("date") if modified is None else modified.cast("date")
     return F.when(digits == "", fallback).otherwise(dashed(digits).try_cast("date"))
 
@@ -86,14 +86,19 @@ def channel(path: Column) -> Column:
     return F.when(is_0, 0).when(is_1, 1).otherwise(0)
 
 
-def source_columns(path: Column, modified: Column | None = None) -> dict[str, Column]:
-    """All metadata columns of a signal file, by output name."""
-    name = file_name(path)
+def source_parts(path: Column) -> dict[str, Column]:
+    """What several metadata columns are made of, to be settled before them."""
+    return {"__name": file_name(path), "__digits": F.regexp_extract(path, fixed.PATH_DATE_PATTERN, 0)}
+
+
+def source_columns(path: Column, modified: Column | None = None, parts: bool = False) -> dict[str, Column]:
+    """All metadata columns of a signal file, by output name. With ``parts`` the columns of ``source_parts`` are there."""
+    name = F.col("__name") if parts else file_name(path)
     number = line_number(name)
     return {
         "source_file": path,
         "file_name": name,
-        "event_date": event_date(path, modified),
+        "event_date": event_date(path, modified, F.col("__digits") if parts else None),
         "line_number": number,
         "line_id": line_id(number),
         "product_id": product_id(file_stem(name)),

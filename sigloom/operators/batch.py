@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sigloom import fixed_values as fixed
 from sigloom.functions import paths
 from sigloom.functions import segments as seg
+from sigloom.operators.columns import settled
 from sigloom.operators.segments import in_contract, segment_stats, signal_summary
 from sigloom.sources.files import SignalFiles
 
@@ -21,7 +22,8 @@ def segment_rows(
 ) -> DataFrame:
     """17 columns per segment. Metadata is worked out per segment row, after the samples are aggregated."""
     stats = source.named(segment_stats(source.samples, ["file_id"], segments))
-    meta = paths.source_columns(F.col("source_file"), F.col("modified"))
+    stats = settled(stats, **paths.source_parts(F.col("source_file")))
+    meta = paths.source_columns(F.col("source_file"), F.col("modified"), parts=True)
     rows = stats.withColumns(meta | {"run_id": F.lit(run_id), "processed_at": F.lit(processed_at).cast("timestamp")})
     return in_contract(rows, fixed.SEGMENT_COLUMNS)
 

@@ -179,8 +179,8 @@ def _batch_paths(spark, folder) -> DataFrame:
 
 
 def batch_file_metadata(spark, folder):
-    meta = paths.source_columns(F.col("path"))
-    return _batch_paths(spark, folder).select(
+    meta = paths.source_columns(F.col("path"), parts=True)
+    return settled(_batch_paths(spark, folder), **paths.source_parts(F.col("path"))).select(
         "o_orderkey",
         meta["file_name"].alias("file_name"),
         meta["event_date"].alias("event_date"),
@@ -462,8 +462,8 @@ def _event_messages(spark, folder) -> DataFrame:
 def _faulty_json(spark, folder) -> DataFrame:
     """The event messages as text, each with the fault its event id assigns; the first of ten kinds is none."""
     rows = mops.keyed_json(_event_messages(spark, folder), "raw")
-    text = F.col("value")
-    event = F.regexp_extract("key", "event_([0-9]+)", 1).cast("bigint")
+    rows = settled(rows, event_id=F.regexp_extract("key", "event_([0-9]+)", 1).cast("bigint"))
+    text, event = F.col("value"), F.col("event_id")
     faults = [
         text,
         F.replace(text, F.lit('"message_id"'), F.lit('"other_id"')),
