@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.llm.components import components
@@ -38,7 +38,7 @@ REFERENCES = 12
 #: For similar documents: words of the shingles that are compared, their share (Jaccard), the bits that their fingerprints
 #: may differ in, and how many tables of how many sampled bits propose pairs.
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
-SIMILAR_BITS, TABLES, TABLE_BITS = 12, 80, 20
+SIMILAR_BITS, TABLES, TABLE_BITS, NEIGHBOURS = 12, 80, 20, 2
 
 #: Blocks of a document's shingles whose bits are counted at a time.
 COUNT_ROWS = 65_536
@@ -190,8 +190,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, component_id``: classes of documents whose shingles of SIMILAR_WORDS words overlap by SIMILARITY or more.
 
     Equal texts are one document. Each of TABLES tables puts fingerprints that agree in TABLE_BITS sampled bits into one
-    group; its members are paired with two of them only, the smallest id and the smallest hash of an id, so a large
-    group costs no more than its rows. Pairs whose distances to the references differ by more than SIMILAR_BITS, or that
+    group, in the order of the fingerprint turned by some bits; a member is paired with the NEIGHBOURS before it only, so
+    a large group costs no more than its rows, and in a crowded one neighbours agree in more bits. Pairs whose distances to the references differ by more than SIMILAR_BITS, or that
     are further apart, are discarded; the shingles of the rest are compared. At 8 differing bits a pair misses each table
     with 95 %, all of them with 2 %, and a class needs only one path.
 
@@ -208,20 +208,26 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     )
     firsts = prints.groupBy("content", "fp").agg(F.min("doc_id").alias("first"))
     table = written(distance_table(firsts.select("first", "fp")), "distances")
-    keys = F.array(*[F.struct(F.lit(k).cast("short").alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for k, m in enumerate(_samples())])
-    keyed = table.select("first", "fp", F.explode(keys).alias("key")).select("first", "fp", "key.*")
-    leaders = keyed.groupBy("table", "bits").agg(
-        F.min(F.struct("first", "fp")).alias("low"), F.min(F.struct(F.xxhash64("first").alias("h"), "first", "fp")).alias("any"), F.count("*").alias("n")
-    ).filter("n > 1")
-    leaders = leaders.select("table", "bits", F.explode(F.array(F.struct("low.first", "low.fp"), F.struct("any.first", "any.fp"))).alias("l")).select(
-        "table", "bits", F.col("l.first").alias("lead"), F.col("l.fp").alias("lead_fp")
-    )
-    apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("lead_fp")))
-    discarded = F.lit(False)
-    for r in _references():
-        to = lambda c, r=r: F.bit_count(F.col(c).bitwiseXOR(F.lit(r)))
-        discarded = discarded | (F.abs(to("fp") - to("lead_fp")) > SIMILAR_BITS)
-    pairs = keyed.join(leaders, ["table", "bits"]).filter((F.col("first") != F.col("lead")) & ~discarded & (apart <= SIMILAR_BITS))
+    turned = lambda k: F.shiftleft("fp", 7 * k % 64).bitwiseOR(F.shiftrightunsigned("fp", 64 - 7 * k % 64)) if 7 * k % 64 else F.col("fp")
+    keys = [
+        F.struct(F.lit(k).cast("short").alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits"), turned(k).alias("turned"))
+        for k, m in enumerate(_samples())
+    ]
+    keyed = table.select("first", "fp", F.explode(F.array(*keys)).alias("key")).select("first", "fp", "key.*")
+    group = Window.partitionBy("table", "bits").orderBy("turned", "first")
+    before = [F.lag(F.struct("first", "fp"), n).over(group).alias(f"b{n}") for n in range(1, NEIGHBOURS + 1)]
+    placed = keyed.select("first", "fp", *before)
+
+    def near(other: Column) -> Column:
+        close = F.lit(True)
+        for r in _references():
+            to = [F.bit_count(fp.bitwiseXOR(F.lit(r))) for fp in (F.col("fp"), other["fp"])]
+            close = close & (F.abs(to[0] - to[1]) <= SIMILAR_BITS)
+        close = close & (F.bit_count(F.col("fp").bitwiseXOR(other["fp"])) <= SIMILAR_BITS)
+        return F.when(close, other["first"])
+
+    found = F.array_compact(F.array(*[near(F.col(f"b{n}")) for n in range(1, NEIGHBOURS + 1)]))
+    pairs = placed.select("first", F.explode(found).alias("lead")).filter(F.col("first") != F.col("lead"))
     pairs = written(pairs.select(F.least("first", "lead").alias("a"), F.greatest("first", "lead").alias("b")).distinct(), "pairs")
 
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
