@@ -190,7 +190,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, component_id``: classes of documents whose shingles of SIMILAR_WORDS words overlap by SIMILARITY or more.
 
     Equal texts are one document. Each of TABLES tables puts fingerprints that agree in TABLE_BITS sampled bits into one
-    group, in the order of the fingerprint turned by some bits; a member is paired with the NEIGHBOURS before it only, so
+    group, in the order of the fingerprint; a member is paired with the NEIGHBOURS before it only, so
     a large group costs no more than its rows, and in a crowded one neighbours agree in more bits. Pairs whose distances to the references differ by more than SIMILAR_BITS, or that
     are further apart, are discarded; the shingles of the rest are compared. At 8 differing bits a pair misses each table
     with 95 %, all of them with 2 %, and a class needs only one path.
@@ -208,13 +208,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     )
     firsts = prints.groupBy("content", "fp").agg(F.min("doc_id").alias("first"))
     table = written(distance_table(firsts.select("first", "fp")), "distances")
-    turned = lambda k: F.shiftleft("fp", 7 * k % 64).bitwiseOR(F.shiftrightunsigned("fp", 64 - 7 * k % 64)) if 7 * k % 64 else F.col("fp")
-    keys = [
-        F.struct(F.lit(k).cast("short").alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits"), turned(k).alias("turned"))
-        for k, m in enumerate(_samples())
-    ]
-    keyed = table.select("first", "fp", F.explode(F.array(*keys)).alias("key")).select("first", "fp", "key.*")
-    group = Window.partitionBy("table", "bits").orderBy("turned", "first")
+    # A row of the shuffle is a group's hash, the fingerprint and the id; groups that share a hash do no harm.
+    keys = [F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m))) for k, m in enumerate(_samples())]
+    keyed = table.select("first", "fp", F.explode(F.array(*keys)).alias("key"))
+    group = Window.partitionBy("key").orderBy("fp", "first")
     before = [F.lag(F.struct("first", "fp"), n).over(group).alias(f"b{n}") for n in range(1, NEIGHBOURS + 1)]
     placed = keyed.select("first", "fp", *before)
 
