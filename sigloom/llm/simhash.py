@@ -10,8 +10,8 @@ stays in Spark's own operators:
 * Where more than ``GROUP_LIMIT`` fingerprints agree so, the open bits are split into four blocks again, up to three
   times; then at most 256 fingerprints can agree. So no group is unbounded and no link is lost.
 
-``similar_documents`` uses the same fingerprints and table for documents that are similar in their words, which may be
-more bits apart: see there.
+``similar_documents`` is for documents that are similar in their words, which may be many bits apart: it works on the
+shingles themselves, see there.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.llm.components import components
+from sigloom.operators.joins import broadcast_if_small
 from sigloom.shared_storage import written
 
 #: Fingerprints link at this many differing bits or fewer.
@@ -35,10 +36,12 @@ SEED = 42
 GROUP_LIMIT = 64
 #: Reference fingerprints of the distance table.
 REFERENCES = 12
-#: For similar documents: words of the shingles that are compared, their share (Jaccard), the bits that their fingerprints
-#: may differ in, and how many tables of how many sampled bits propose pairs.
+#: For similar documents: words of the shingles that are compared, and their share (Jaccard).
 SIMILAR_WORDS, SIMILARITY = 5, 0.8
-SIMILAR_BITS, TABLES, TABLE_BITS, NEIGHBOURS = 12, 80, 20, 2
+#: Bits of a set's sketch, a power of two.
+SKETCH_BITS = 512
+#: One document in SAMPLE is searched for shingles that COMMON of them hold; the commonest are known to every task.
+SAMPLE, COMMON, MOST_COMMON = 16, 8, 200_000
 
 #: Blocks of a document's shingles whose bits are counted at a time.
 COUNT_ROWS = 65_536
@@ -173,74 +176,173 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     )
 
 
-def _samples() -> list[int]:
-    """A mask of TABLE_BITS bits for each table."""
-    rng = np.random.default_rng(SEED)
-    return [_signed(sum(1 << int(b) for b in rng.choice(64, TABLE_BITS, replace=False))) for _ in range(TABLES)]
+def _shingle_set(text: str | None) -> np.ndarray:
+    """Different hashes of the shingles of SIMILAR_WORDS words, in order; fewer words are one shingle."""
+    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    joined = b" ".join(tokens)
+    if len(tokens) <= SIMILAR_WORDS:
+        return np.array([xxhash.xxh64_intdigest(joined)], dtype=np.uint64).view(np.int64)
+    ends = np.cumsum(np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) + 1) - 1
+    starts = [0, *(ends[: len(tokens) - SIMILAR_WORDS] + 1).tolist()]
+    digest = xxhash.xxh64_intdigest
+    hashes = (digest(joined[s:e]) for s, e in zip(starts, ends[SIMILAR_WORDS - 1 :].tolist()))
+    return np.unique(np.fromiter(hashes, dtype=np.uint64, count=len(starts)).view(np.int64))
 
 
 def _shingles(text: str | None) -> list[int]:
-    """Different hashes of the shingles of SIMILAR_WORDS words; fewer words are one shingle."""
-    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    parts = [b" ".join(tokens[k : k + SIMILAR_WORDS]) for k in range(max(1, len(tokens) - SIMILAR_WORDS + 1))]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, parts), dtype=np.uint64).view(np.int64)).tolist()
+    return _shingle_set(text).tolist()
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id, component_id``: classes of documents whose shingles of SIMILAR_WORDS words overlap by SIMILARITY or more.
+def _least_shared(left: Column, right: Column) -> Column:
+    """Shingles that sets of these sizes share at least if they are similar; the rest is slack for rounding."""
+    return F.lit(SIMILARITY / (1 + SIMILARITY)) * (left + right) - 1e-6
 
-    Equal texts are one document. Each of TABLES tables puts fingerprints that agree in TABLE_BITS sampled bits into one
-    group, in the order of the fingerprint; a member is paired with the NEIGHBOURS before it only, so
-    a large group costs no more than its rows, and in a crowded one neighbours agree in more bits. Pairs whose distances to the references differ by more than SIMILAR_BITS, or that
-    are further apart, are discarded; the shingles of the rest are compared. At 8 differing bits a pair misses each table
-    with 95 %, all of them with 2 %, and a class needs only one path.
 
-    Rows with a null doc_id are left out. Repeated ids give one row for each different text.
-    """
+def _prefix(shingles: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, rare ones before ``common`` ones: similar sets share one of these at least."""
+    if len(common):
+        place = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        known = common[place] == shingles
+        often = shingles[known]
+        shingles = np.concatenate([shingles[~known], often[np.argsort(ranks[place[known]])]])
+    return shingles[: len(shingles) - int(np.ceil(SIMILARITY * len(shingles) - 1e-6)) + 1]
 
-    @F.arrow_udf("array<long>")
-    def shingles(texts: pa.Array) -> pa.Array:
-        return pa.array([_shingles(t.as_py()) for t in texts], type=pa.list_(pa.int64()))
 
-    known = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
-    prints = written(
-        known.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("content"), fingerprint(F.col("text")).alias("fp")), "fingerprints"
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """For each of SKETCH_BITS cells whether it holds an odd number of the shingles."""
+    odd = (np.bincount(shingles & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
+def _shingle_sets(text: Column, common: np.ndarray, ranks: np.ndarray) -> Column:
+    """``node`` (hash of the whole set), ``n`` (its size), ``sketch``, ``prefix``."""
+    longs = pa.list_(pa.int64())
+    kind = pa.struct([("node", pa.int64()), ("n", pa.int32()), ("sketch", longs), ("prefix", longs)])
+
+    @F.arrow_udf("node long, n int, sketch array<long>, prefix array<long>")
+    def sets(texts: pa.Array) -> pa.Array:
+        rows = []
+        for t in texts:
+            s = _shingle_set(t.as_py())
+            node = np.uint64(xxhash.xxh64_intdigest(s.tobytes(), SEED)).view(np.int64)
+            rows.append({"node": int(node), "n": len(s), "sketch": _sketch(s), "prefix": _prefix(s, common, ranks)})
+        return pa.array(rows, type=kind)
+
+    return sets(text)
+
+
+def _shingle_lists(text: str) -> Column:
+    @F.arrow_udf("array<long>")
+    def lists(texts: pa.Array) -> pa.Array:
+        return pa.array([_shingle_set(t.as_py()) for t in texts], type=pa.list_(pa.int64()))
+
+    return lists(text)
+
+
+def _common(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many documents of a sample hold, in order, and their ranks by how many. Any answer gives the same
+    pairs: it only decides in which order shingles stand."""
+    some = known.filter(F.pmod("content", F.lit(SAMPLE)) == 0).dropDuplicates(["content"])
+    counts = some.select(F.explode(_shingle_lists("text")).alias("shingle")).groupBy("shingle").count()
+    often = counts.filter(F.col("count") >= COMMON).orderBy(F.desc("count"), "shingle").limit(MOST_COMMON)
+    found = [r.shingle for r in often.select("shingle").collect()]
+    common = np.array(found, dtype=np.int64)
+    order = np.argsort(common)
+    return common[order], -order
+
+
+def _may_be_similar(left: str, right: str) -> Column:
+    """Of rows ``n, at`` with the same shingle at places ``at``, the first that both sets have: no similar pair is lost."""
+    ln, la, rn, ra = (F.col(f"{x}.{c}") for x in (left, right) for c in ("n", "at"))
+    sizes = F.least(ln, rn) >= SIMILARITY * F.greatest(ln, rn) - 1e-6
+    return sizes & (F.least(ln - la, rn - ra) >= _least_shared(ln, rn))
+
+
+def _similar(pairs: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those pairs ``a, b`` of nodes whose shingles overlap by SIMILARITY or more."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sketches = sets.select("node", "n", "sketch").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    sketches = written(sketches, "sketches")
+    l, r = sketches.toDF("a", "ln", "left"), sketches.toDF("b", "rn", "right")
+    differing = F.aggregate(
+        F.zip_with("left", "right", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y
     )
-    firsts = prints.groupBy("content", "fp").agg(F.min("doc_id").alias("first"))
-    table = written(distance_table(firsts.select("first", "fp")), "distances")
-    # A row of the shuffle is a group's hash, the fingerprint and the id; groups that share a hash do no harm.
-    keys = [F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(m))) for k, m in enumerate(_samples())]
-    keyed = table.select("first", "fp", F.explode(F.array(*keys)).alias("key"))
-    group = Window.partitionBy("key").orderBy("fp", "first")
-    before = [F.lag(F.struct("first", "fp"), n).over(group).alias(f"b{n}") for n in range(1, NEIGHBOURS + 1)]
-    placed = keyed.select("first", "fp", *before)
-
-    def near(other: Column) -> Column:
-        close = F.lit(True)
-        for r in _references():
-            to = [F.bit_count(fp.bitwiseXOR(F.lit(r))) for fp in (F.col("fp"), other["fp"])]
-            close = close & (F.abs(to[0] - to[1]) <= SIMILAR_BITS)
-        close = close & (F.bit_count(F.col("fp").bitwiseXOR(other["fp"])) <= SIMILAR_BITS)
-        return F.when(close, other["first"])
-
-    found = F.array_compact(F.array(*[near(F.col(f"b{n}")) for n in range(1, NEIGHBOURS + 1)]))
-    pairs = placed.select("first", F.explode(found).alias("lead")).filter(F.col("first") != F.col("lead"))
-    pairs = written(pairs.select(F.least("first", "lead").alias("a"), F.greatest("first", "lead").alias("b")).distinct(), "pairs")
-
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    # Of a repeated id the first text stands for all; its other texts are compared as they are only if they lead a class.
-    contents = prints.groupBy("content", "fp").agg(F.min("doc_id").alias("doc_id")).join(needed, "doc_id").select("doc_id", "content")
-    contents = contents.groupBy("doc_id").agg(F.min("content").alias("content"))
-    texts = known.withColumn("content", F.xxhash64(F.coalesce("text", F.lit(""))))
-    texts = texts.join(contents, ["doc_id", "content"], "left_semi").select("doc_id", shingles("text").alias("shingles"))
-    texts = written(texts.dropDuplicates(["doc_id"]), "shingles")
-    one, two = texts.toDF("a", "left"), texts.toDF("b", "right")
-    both = pairs.join(one, "a").join(two, "b")
+    at_most = F.col("ln") + F.col("rn") - 2 * _least_shared(F.col("ln"), F.col("rn"))
+    close = written(pairs.join(l, "a").join(r, "b").filter(differing <= at_most).select("a", "b"), "close")
+
+    nodes = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    holders = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "content")).alias("row"))
+    holders = written(holders.select("node", "row.*"), "holders")
+    holders = broadcast_if_small(holders, holders.count())
+    lists = known.join(holders, ["doc_id", "content"]).select("node", _shingle_lists("text").alias("shingles"))
+    lists = written(lists.dropDuplicates(["node"]), "shingles")
+    one, two = lists.toDF("a", "left"), lists.toDF("b", "right")
     shared = F.size(F.array_intersect("left", "right"))
-    edges = both.filter(shared >= SIMILARITY * (F.size("left") + F.size("right") - shared)).select("a", "b")
-    roots = components(edges).withColumnRenamed("node", "first")
-    classes = firsts.join(roots, "first", "left").select("content", "fp", F.coalesce("root", "first").alias("component_id"))
-    return prints.join(classes, ["content", "fp"], "left").select("doc_id", "component_id")
+    both = close.join(one, "a").join(two, "b")
+    similar = both.filter(shared >= SIMILARITY * (F.size("left") + F.size("right") - shared))
+    return written(similar.select("a", "b"), "similar")
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _members(docs: DataFrame) -> DataFrame:
+    """``doc_id, content, component_id`` of the rows with a doc_id: see ``similar_documents``."""
+    known = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("content"))
+    known = known.filter("doc_id IS NOT NULL")
+    made = known.select("doc_id", "content", _shingle_sets(F.col("text"), *_common(known)).alias("set"))
+    sets = written(made.select("doc_id", "content", "set.*"), "sets")
+
+    # Sets that share a shingle of their prefixes, each beside another of them; the order differs by shingle.
+    rows = sets.select("node", "n", F.posexplode("prefix").alias("at", "key"))
+    group = Window.partitionBy("key").orderBy(F.xxhash64("node", "key"), "node")
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = F.lag(F.struct("node", "n", "at")).over(group)
+    placed = rows.withColumns({"low": F.min("node").over(whole), "high": F.max("node").over(whole), "last": last})
+    fresh = F.col("last").isNull() | (F.col("last.node") != F.col("node"))
+    shared = written(placed.filter((F.col("low") < F.col("high")) & fresh).drop("low", "high"), "shared")
+
+    # First these neighbours: large classes come together without all their pairs.
+    beside = shared.filter("last IS NOT NULL").select(F.struct("node", "n", "at").alias("this"), "last")
+    beside = beside.filter(_may_be_similar("this", "last")).select(*_ordered("this.node", "last.node")).distinct()
+    edges = _similar(written(beside, "beside"), known, sets)
+
+    # Then every pair whose sets are not in one class yet. Rows outside the commonest class of a shingle meet all others.
+    roots = components(edges)
+    held = shared.join(roots, "node", "left").select("key", "node", "n", "at", F.coalesce("root", "node").alias("root"))
+    held = written(held, "held")
+    main = held.groupBy("key", "root").count().groupBy("key").agg(
+        F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")
+    )
+    main = written(main.filter("roots > 1").select("key", "main"), "main")
+    both = written(held.join(main, "key"), "open")
+    l, r = both.filter("root != main").alias("l"), both.alias("r")
+    once = (F.col("r.root") == F.col("r.main")) | (F.col("l.node") < F.col("r.node"))
+    other = (F.col("l.key") == F.col("r.key")) & (F.col("l.root") != F.col("r.root")) & once
+    rest = l.join(r, other & _may_be_similar("l", "r")).select(*_ordered("l.node", "r.node")).distinct()
+    edges = edges.unionByName(_similar(written(rest, "rest"), known, sets))
+
+    roots = components(edges)
+    held = sets.select("doc_id", "content", "node").join(roots, "node", "left")
+    held = held.select("doc_id", "content", F.coalesce("root", "node").alias("root"))
+    lowest = held.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return held.join(lowest, "root").select("doc_id", "content", "component_id")
+
+
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id, component_id``: classes of documents whose shingles of SIMILAR_WORDS words overlap by SIMILARITY or more.
+
+    No pair is missed. Documents with the same shingles are one set. In any order of all shingles, two similar sets of
+    sizes n share one of their first n - ceil(SIMILARITY * n) + 1: such a prefix of each set is dealt by shingle.
+    Shingles that a sample has often stand last, so that few sets meet by these. Each set is first compared with one
+    other at each shingle; the pairs found make classes. Then all pairs that meet and are in different classes are
+    compared, so a large class costs its rows and not its pairs. Sizes, places in the prefix and sketches discard only
+    pairs that can't be similar; the shingles of the rest are compared.
+
+    Rows with a null doc_id are left out. Repeated ids give a row each time.
+    """
+    return _members(docs).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

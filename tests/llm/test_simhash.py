@@ -124,3 +124,38 @@ def test_similar_documents_against_all_pairs(spark, sf_dir, docs_of):
     assert set(got) == set(root) and all(root[i] == root[c] for i, c in got.items())
     together = sum(got[a] == got[b] for a, b in similar)
     assert len(similar) > 60 and together >= 0.9 * len(similar)
+
+
+def _classes(shingles):
+    """Smallest id reachable over pairs that overlap by 0.8, in integers."""
+    root = {i: i for i in shingles}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in shingles:
+        for b in shingles:
+            if a < b and 9 * len(shingles[a] & shingles[b]) >= 4 * (len(shingles[a]) + len(shingles[b])):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in root}
+
+
+def test_no_similar_pair_is_lost_in_a_crowd(docs_of, monkeypatch):
+    """Pairs on the edge of the limit among many documents that share most of their words, common shingles or not."""
+    rng = random.Random(8)
+    line = [f"line{k}" for k in range(40)]
+    rows = []
+    for k in range(120):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(15, 60))]
+        rows.append((2 * k, " ".join(line + own)))
+        cut = rng.randint(0, len(own) // 3)
+        rows.append((2 * k + 1, " ".join(line + own[cut:] + [f"x{k}y{j}" for j in range(rng.randint(0, 6))])))
+    expected = _classes({i: set(simhash._shingles(t)) for i, t in rows})
+    assert 60 < len(set(expected.values())) < 240
+    for sample, common in ((16, 8), (1, 3)):
+        monkeypatch.setattr(simhash, "SAMPLE", sample, raising=False)
+        monkeypatch.setattr(simhash, "COMMON", common, raising=False)
+        assert {r.doc_id: r.component_id for r in simhash.similar_documents(docs_of(rows)).collect()} == expected
