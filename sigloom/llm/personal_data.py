@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,14 @@ _DIGIT_WORD = "|".join(DIGIT_WORDS)
 #: Seven spelled digits or more in a row, after "plus" or not.
 _SPELLED = re.compile(rf"(?:\bplus[ -]+)?\b(?:{_DIGIT_WORD})(?:[ -]+(?:{_DIGIT_WORD}))" + r"{6,}\b", re.I)
 _ONE_SPELLED = re.compile(rf"\bplus[ -]+|[ -]*\b(?:{_DIGIT_WORD})\b", re.I)
+_NUMBER = rf"(?:\b(?:{_DIGIT_WORD})\b|[0-9]++)"
+#: Spelled digits and digits with separators or "dot" between them, without and with commas, after "plus" or not.
+_MIXED = [
+    re.compile(rf"(?:\bplus\b[ {c}-]++)?{_NUMBER}(?:(?>[ {c}.()-]++(?:dot\b[ {c}.()-]++)?){_NUMBER})*+", re.I) for c in ("", ",")
+]
+#: What a mixed run with something to rewrite has somewhere, in lower case.
+_MIXED_SIGN = re.compile(rf"(?:{_DIGIT_WORD})[ ,.()-]++(?:{_DIGIT_WORD}|dot|[0-9])|[0-9][ ,.()-]++(?:{_DIGIT_WORD}|dot)|plus[ ,-]++(?:{_DIGIT_WORD}|[0-9])")
+_PIECE = re.compile(rf"plus[ ,-]+|{_DIGIT_WORD}|[0-9]+|[ ,.()-]+(?:dot[ ,.()-]+)?", re.I)
 _BRACKETED = re.compile(r"[ ]{0,3}[\[({<][ ]{0,3}(at|dot)[ ]{0,3}[\])}>][ ]{0,3}", re.I)
 #: Words in place of both signs, in the shape of an address.
 _WORDED = re.compile(r"(?<=[A-Za-z0-9_%+-])( at )(?=[A-Za-z0-9-]+(?: dot |\.)[A-Za-z])|(?<=[A-Za-z0-9-])( dot )(?=[A-Za-z])")
@@ -130,6 +139,31 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def _mixed(text: str, runs: re.Pattern) -> list[tuple[int, int, str]]:
+    """Digits and dots of the runs that can hold an identifier: 9 digits or 4 numbers. The patterns decide then."""
+    edits = []
+    if not _MIXED_SIGN.search(text.lower()):
+        return edits
+    for run in runs.finditer(text):
+        pieces = [(m.start(), m.end(), m[0].lower()) for m in _PIECE.finditer(text, run.start(), run.end())]
+        spelled = [p in DIGIT_WORDS for _, _, p in pieces]
+        digits = sum(1 if w else sum(c.isdigit() for c in p) for w, (_, _, p) in zip(spelled, pieces))
+        if digits < 9 and sum("." in p or "dot" in p for _, _, p in pieces) < 3:
+            continue
+        for k, (start, end, p) in enumerate(pieces):
+            if spelled[k]:
+                edits.append((start, end, DIGIT_WORDS[p]))
+            elif p.startswith("plus"):
+                edits.append((start, end, "+"))
+            elif "dot" in p:
+                edits.append((start, end, "."))
+            elif not p[0].isdigit() and not p.strip(" ,-") and (spelled[k - 1] or spelled[k + 1]):
+                edits.append((start, end, ""))
+            elif "," in p:
+                edits.append((start, end, p.replace(",", " ").replace("  ", " ")))
+    return edits
+
+
 def _signs(text: str) -> list[tuple[int, int, str]]:
     edits = [(m.start(), m.end(), "@" if m[1].lower() == "at" else ".") for m in _BRACKETED.finditer(text)]
     if _ADDRESS_WORDS.search(text):
@@ -148,18 +182,23 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, bool]]:
     text = text or ""
     base = _plain(text)
     spans = [(kind, s, e, True) for kind, s, e in base]
-    levels, now = [], text
-    for transducer in (_letters, _spelled, _signs):
-        if edits := transducer(now):
-            levels.append(_Rewritten(now, edits))
-            now = levels[-1].text
-    if levels:
-        taken = {kind: [(s, e) for k, s, e in base if k == kind] for kind in KINDS}
+    taken = {kind: [(s, e) for k, s, e in base if k == kind] for kind in KINDS}
+    # Runs of words alone first; then mixed runs, which may join what does not belong together.
+    for spelled in (_spelled, *(partial(_mixed, runs=runs) for runs in _MIXED)):
+        levels, now, edited = [], text, spelled is _spelled
+        for transducer in (_letters, spelled, _signs):
+            if edits := transducer(now):
+                levels.append(_Rewritten(now, edits))
+                now = levels[-1].text
+                edited |= transducer is spelled
+        if not levels or not edited:
+            continue
         for kind, s, e in _plain(now):
             for level in reversed(levels):
                 s, e = level.back(s, e)
-            if not any(s < y and x < e for x, y in taken[kind]):
-                taken[kind].append((s, e))
+            k = bisect_left(taken[kind], (e,))
+            if not k or taken[kind][k - 1][1] <= s:
+                taken[kind].insert(k, (s, e))
                 spans.append((kind, s, e, False))
     return sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
 

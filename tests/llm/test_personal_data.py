@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -106,3 +107,29 @@ def test_random_noise():
     for _ in range(300):
         text = "".join(rng.choice("ab@.-+ 0123456789()é") for _ in range(rng.randrange(80)))
         assert base(text) == plain_base(text)
+
+
+@pytest.mark.parametrize(
+    "kind, told",
+    [
+        ("ip", "one nine two dot one six eight dot one dot one"),
+        ("ip", "192 dot one six eight dot 1 dot one"),
+        ("ip", "192 dot 168 dot 1 dot 1"),
+        ("phone", "+1 five five five one two three 4567"),
+        ("phone", "plus one, five five five, one two three, four five six seven"),
+        ("phone", "plus one five five five 123 4567"),
+        ("phone", "plus one (five five five) 123, 4567"),
+        ("card", "4111 one one one one 1111 one one 1 one"),
+        ("card", "four one one one, one one one one, 1111, 1111"),
+    ],
+)
+def test_spelled_digits_mixed_with_others(kind, told):
+    text = f"write to {told} soon"
+    assert (kind, 9, 9 + len(told), False) in p.find_spans(text), p.find_spans(text)
+    assert told not in p.redact(text)
+
+
+def test_mixed_runs_lose_nothing_and_invent_nothing():
+    card = " ".join("four one one one one one one one one one one one one one one one".split())
+    assert ("card", 0, len(card), False) in p.find_spans(card + ", one more")
+    assert p.find_spans("one, two, three. One dot two. Take 5, six or seven of 12 and 4") == []
