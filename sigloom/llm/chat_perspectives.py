@@ -2,7 +2,8 @@
 
 In a rendering the speaker's own messages are the assistant's, those of all others are messages of named users, system
 messages stay what they are. Spans mark what the assistant says, with its closing mark, as the part to learn from.
-Long dialogues come in parts of ``PART_TURNS`` turns, so no row grows with a dialogue. All of it is column expressions.
+Long dialogues come in parts of ``PART_TURNS`` turn numbers. Messages whose turns are null or repeat share a part however many
+they are, so such a row grows with its dialogue. All of it is column expressions.
 """
 
 from __future__ import annotations
