@@ -86,8 +86,26 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+#: Spark's own switch: the shuffle files of a query go as soon as it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _no_leftovers(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The same rows, read back from a table in the shared folder, so that a lost executor costs no recomputation."""
+    """The same rows, read back from a table in the shared folder, so that a lost executor costs no recomputation.
+
+    Nothing reads the shuffles of the write again, so their files are deleted when it has ended.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with _no_leftovers(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
