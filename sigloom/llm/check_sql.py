@@ -54,4 +54,43 @@ SELECT conv_id, perspective, part, count(*) AS n_messages, count(*) FILTER (WHER
 FROM placed GROUP BY conv_id, perspective, part
 """
 
-CHECKS = {"op4_hash_threshold_mix": SOURCE_MIX, "op9_perspective_rotation": CHAT_RENDERINGS}
+def _centroid_clusters() -> str:
+    """The rounds one by one: distances to eight lists, then floors of means by component."""
+    ctes = [
+        """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = 64)""",
+        """c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v AS c
+  FROM (SELECT sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM kept ORDER BY h, v LIMIT 8))""",
+    ]
+    for n in range(11):
+        ctes.append(
+            f"""a{n} AS MATERIALIZED (
+  SELECT r, min(d) AS d, arg_min(k, (d, k)) AS k
+  FROM (SELECT r, k, list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(v, c)]) AS d FROM kept, c{n})
+  GROUP BY r)"""
+        )
+        if n < 10:
+            ctes.append(
+                f"""c{n + 1} AS MATERIALIZED (
+  SELECT o.k, coalesce(m.c, o.c) AS c FROM c{n} o LEFT JOIN (
+    SELECT k, list(CAST((s - (((s % n) + n) % n)) // n AS BIGINT) ORDER BY i) AS c
+    FROM (SELECT k, i, sum(x) AS s, count(*) AS n
+      FROM (SELECT a.k, unnest(v) AS x, unnest(range(64)) AS i FROM kept JOIN a{n} a USING (r)) GROUP BY k, i)
+    GROUP BY k) m ON o.k = m.k)"""
+            )
+    return "WITH " + ",\n".join(ctes) + """
+SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM kept JOIN a10 a USING (r) JOIN c10 c ON a.k = c.k
+"""
+
+
+CHECKS = {
+    "op4_hash_threshold_mix": SOURCE_MIX,
+    "op9_perspective_rotation": CHAT_RENDERINGS,
+    "op13_centroid_clusters": _centroid_clusters(),
+}

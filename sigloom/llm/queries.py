@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.llm import (
+    centroids,
     chat_perspectives,
     decontamination,
     license_notices,
@@ -15,6 +16,8 @@ from sigloom.llm import (
     secret_ledger,
     simhash,
     spans,
+    suffix_repeats,
+    token_alignment,
     toxicity,
     url_filter,
 )
@@ -128,6 +131,21 @@ def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(_table(spark, folder, "pages"))
 
 
+def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """What repeated passages leave of every document: see ``suffix_repeats.removed_bytes``."""
+    return suffix_repeats.removed_bytes(_table(spark, folder, "documents"))
+
+
+def tokenizer_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Where two tokenizers agree in every document: see ``token_alignment.alignment``."""
+    return token_alignment.alignment(_table(spark, folder, "documents"))
+
+
+def vector_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of every vector: see ``centroids.assignments``."""
+    return centroids.assignments(_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_spaced_seed_decontamination": benchmark_overlaps,
     "op2_secret_ledger": secret_spans,
@@ -139,4 +157,7 @@ QUERIES = {
     "op8_personal_data": personal_data_spans,
     "op9_perspective_rotation": chat_renderings,
     "op10_url_filter": url_verdicts,
+    "op11_suffix_repeats": repeated_passages,
+    "op12_token_alignment": tokenizer_links,
+    "op13_centroid_clusters": vector_clusters,
 }
