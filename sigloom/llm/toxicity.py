@@ -7,15 +7,15 @@ at equal lengths and a difference means toxic matter. The toxic dictionary is tr
 found in many more different contexts in toxic documents than in ordinary ones; copies of a document are one context.
 
 A document's score is a logistic curve over how many of its windows pass each calibrated difference, fitted on
-labelled rows. The fit uses a bounded sample (``FIT_DOCS`` of each label, smallest hash first, ``FIT_WORDS`` different
-words of each document), scoring all words of all documents.
+labelled rows. The fit uses a bounded sample of these (``FIT_DOCS`` of each label, smallest hash first) with their whole
+texts, and the same features as scoring. Runs, contexts, words and features are counted by the executors; the driver
+gets ``FIT_RUNS`` runs, ``FIT_WORDS`` words of each label and a row of numbers per sampled document at most.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,9 +25,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled documents of each label, and different words of one, that the fit may use at most.
+from sigloom.shared_storage import written
+
+#: Labelled documents of each label that the fit may use at most.
 FIT_DOCS = 2_000
-FIT_WORDS = 400
+#: Telling runs and words of one label that a model is made of at most: the most frequent ones.
+FIT_RUNS, FIT_WORDS = 20_000, 20_000
 #: Rows with this remainder of crc32(doc_id) by HELD_OUT_OF are never learnt from.
 HELD_OUT_OF = 5
 REPEATS = 4
@@ -119,29 +122,50 @@ def _trained(samples: list[bytes], size: int, seed: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def _telling_runs(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> set[bytes]:
+def _contexts(text: str | None) -> np.ndarray:
+    """Different (run, context) of a text: RUN bytes above, a hash of them and CONTEXT bytes on both sides below."""
+    data = b" " * CONTEXT + b" ".join([b"", *_words(text), b""]) + b" " * CONTEXT
+    n = len(data) - 2 * CONTEXT - RUN + 1
+    around = np.zeros(max(0, n), np.uint64)
+    for k in range(2 * CONTEXT + RUN):
+        around = (around + np.frombuffer(data, np.uint8, max(0, n), k)) * np.uint64(0x9E3779B97F4A7C15)
+    run = np.zeros(len(around), np.uint64)
+    for k in range(RUN):
+        run = (run << np.uint64(8)) | np.frombuffer(data, np.uint8, len(run), CONTEXT + k)
+    return np.unique((run << np.uint64(32)) | (around >> np.uint64(32))).view(np.int64)
+
+
+def _telling_runs(sample: DataFrame) -> set[bytes]:
     """Byte runs in many more contexts of toxic documents than of ordinary ones."""
-    least = max(3, len(toxic) // 100)
-
-    def contexts(docs: list[list[bytes]], only: set[bytes] | None) -> dict[bytes, set[int]]:
-        found: dict[bytes, set[int]] = defaultdict(set)
-        for words in docs:
-            before = b""
-            for word in words:
-                padded = b" " + word + b" "
-                for k in range(len(padded) - RUN + 1):
-                    run = padded[k : k + RUN]
-                    if only is None or run in only:
-                        around = before[-CONTEXT:] + padded[max(0, k - CONTEXT) : k + RUN + CONTEXT]
-                        found[run].add(zlib.crc32(around))
-                before = word
-        return found
-
-    often = Counter(run for words in toxic for run in {w[k : k + RUN] for w in map(lambda x: b" " + x + b" ", words) for k in range(len(w) - RUN + 1)})
-    t = contexts(toxic, {run for run, n in often.items() if n >= least})
-    o = contexts(ordinary, set(t))
-    scale = sum(map(len, ordinary)) / max(1, sum(map(len, toxic)))
-    return {run for run, x in t.items() if len(x) >= least and len(x) * scale >= RATIO * (len(o.get(run, ())) + 1)}
+
+    @F.arrow_udf("array<long>")
+    def contexts(texts: pa.Array) -> pa.Array:
+        return pa.array([_contexts(t.as_py()) for t in texts], type=pa.list_(pa.int64()))
+
+    found = sample.select("toxic", F.explode(contexts("text")).alias("at"))
+    found = found.groupBy("at").agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("o"))
+    counts = written(found.groupBy(F.shiftrightunsigned("at", 32).alias("run")).agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "runs")
+    docs, total = sample.agg(F.sum("toxic")).first()[0] or 0, counts.agg(F.sum("t").alias("t"), F.sum("o").alias("o")).first()
+    scale = (total.o or 0) / max(1, total.t or 0)
+    telling = counts.filter((F.col("t") >= max(3, docs // 100)) & (F.col("t") * scale >= RATIO * (F.col("o") + 1)))
+    return {r.run.to_bytes(RUN, "big") for r in telling.orderBy(F.desc("t"), "run").limit(FIT_RUNS).collect()}
+
+
+def _frequent_words(sample: DataFrame, telling: set[bytes] | None = None) -> list[tuple[bytes, int]]:
+    """Words by how many documents hold them, the most frequent first; with ``telling``, those that hold such a run."""
+
+    @F.arrow_udf("array<binary>")
+    def different(texts: pa.Array) -> pa.Array:
+        out = []
+        for text in texts:
+            words = dict.fromkeys(_words(text.as_py()))
+            if telling is not None:
+                words = [w for w in words if any((b" " + w + b" ")[k : k + RUN] in telling for k in range(len(w) - RUN + 3))]
+            out.append(list(words))
+        return pa.array(out, type=pa.list_(pa.binary()))
+
+    counts = sample.select(F.explode(different("text")).alias("word")).groupBy("word").count()
+    return [(bytes(r.word), r["count"]) for r in counts.orderBy(F.desc("count"), "word").limit(FIT_WORDS).collect()]
 
 
 def _curve(rows: list[list[float]], labels: list[int]) -> tuple[float, ...]:
@@ -172,33 +196,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     picked = picked.unionByName(known.filter("toxic = 0").orderBy("h", "doc_id").limit(FIT_DOCS))
     picked = F.broadcast(picked.select("doc_id", "toxic"))  # 2 x FIT_DOCS rows at most
 
-    @F.arrow_udf("array<binary>")
-    def some_words(texts: pa.Array) -> pa.Array:
-        out = []
-        for text in texts:
-            words = _words(text.as_py())
-            first = list(dict.fromkeys(words))
-            if len(first) > FIT_WORDS:
-                first = sorted(sorted(first, key=zlib.crc32)[:FIT_WORDS], key=words.index)
-            out.append(first)
-        return pa.array(out, type=pa.list_(pa.binary()))
-
-    rows = docs.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "toxic", some_words("text").alias("words"))
-    # At most 2 x FIT_DOCS rows of FIT_WORDS words of WINDOW_BYTES bytes; repeated rows of one id count once.
-    sample = sorted({r.doc_id: (r.doc_id, r.toxic, [bytes(w) for w in r.words]) for r in rows.dropDuplicates(["doc_id"]).toLocalIterator()}.values())
-    toxic, ordinary = [w for _, t, w in sample if t == 1], [w for _, t, w in sample if t != 1]
-    telling = _telling_runs(toxic, ordinary)
-    tokens = Counter(w for words in ordinary for w in words)
-    plain = [b" " + w + b" " for w, n in sorted(tokens.items()) for _ in range(min(n, 20))]
-    known_bad = Counter(
-        w for words in toxic for w in words if any((b" " + w + b" ")[k : k + RUN] in telling for k in range(len(w) - RUN + 3))
-    )
-    bad = sorted((w for w, n in known_bad.items() if n >= 2), key=lambda w: (-known_bad[w], w))
-    windows = [(b" " + w) * REPEATS + b" " for w in bad]
-    model = Model(_trained(plain, ORDINARY_BYTES, 1), _kept(windows), ())
-    lengths = _Lengths(model.ordinary, model.toxic)
-    features = [lengths.features(b" ".join(words).decode("utf-8", "replace")) for _, _, words in sample]
-    return Model(model.ordinary, model.toxic, _curve(features, [int(t == 1) for _, t, _ in sample]))
+    # Rows that repeat an id count once, by their smallest text. 2 x FIT_DOCS rows at most.
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(picked, "doc_id")
+    sample = sample.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    sample = written(sample.select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic"), "text"), "labelled")
+    telling = _telling_runs(sample)
+    plain = [b" " + w + b" " for w, n in sorted(_frequent_words(sample.filter("toxic = 0"))) for _ in range(min(n, 20))]
+    bad = [w for w, n in _frequent_words(sample.filter("toxic = 1"), telling) if n >= 2] if telling else []
+    model = Model(_trained(plain, ORDINARY_BYTES, 1), _kept([(b" " + w) * REPEATS + b" " for w in bad]), ())
+    rows = sample.select("doc_id", "toxic", features(F.col("text"), model).alias("x")).orderBy("doc_id").select("toxic", "x").collect()
+    return Model(model.ordinary, model.toxic, _curve([list(r.x) for r in rows], [r.toxic for r in rows]))
 
 
 def _kept(windows: list[bytes]) -> bytes:
@@ -208,6 +215,18 @@ def _kept(windows: list[bytes]) -> bytes:
     return b"".join(reversed(windows))
 
 
+def features(text: Column, model: Model) -> Column:
+    """What ``_Lengths.features`` counts in a text."""
+
+    @F.arrow_udf("array<double>")
+    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        lengths = _Lengths(model.ordinary, model.toxic)
+        for texts in batches:
+            yield pa.array([lengths.features(t.as_py()) for t in texts], type=pa.list_(pa.float64()))
+
+    return counted(text)
+
+
 def score(text: Column, model: Model) -> Column:
     """0 to 1; null and empty texts score as documents without windows."""
 
@@ -224,7 +243,8 @@ def score(text: Column, model: Model) -> Column:
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted``. Only ``text`` goes into a score.
 
-    Repeated rows score alike. A null doc_id keeps its row; an empty table gives none. Other columns are ignored.
+    Repeated rows score alike, very long texts whole. A null doc_id keeps its row; an empty table gives none. Other
+    columns are ignored.
     """
     model = fit(docs, labels)
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text"), model).alias("score"))
@@ -232,6 +252,9 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those predicted toxic."""
-    model = fit(docs, labels)
-    return docs.withColumn("_toxicity", score(F.col("text"), model)).filter("_toxicity < 0.5").drop("_toxicity")
+    """``docs`` without the rows whose text is predicted toxic, each row by its own text.
+
+    Null and empty texts and null ids stay unless the model takes such texts for toxic; repeated rows share their fate.
+    Very long texts are scored whole. Any other columns go through, whatever their names. An empty table stays empty.
+    """
+    return docs.filter(score(F.col("text"), fit(docs, labels)) < 0.5)
