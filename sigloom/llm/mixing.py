@@ -96,6 +96,15 @@ def thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
     return state.select("source", "source_size", "target", "times", F.col("prefix").alias("below"))
 
 
+def _limits(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sizes and hashes of all rows, and ``thresholds`` of every source."""
+    sized = written(
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), spread_hash(F.col("doc_id")).alias("hash")), "sizes"
+    )
+    goals = targets(written(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources"))
+    return sized, thresholds(sized, goals)
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken``.
 
@@ -104,13 +113,9 @@ def mix(docs: DataFrame) -> DataFrame:
     and a fate; null ids count as the empty id, null sources are one source, null texts have no words. No rows: none.
     Other columns are ignored, clashing names included.
     """
-    sized = written(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), spread_hash(F.col("doc_id")).alias("hash")), "sizes"
-    )
-    goals = targets(written(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources"))
-    limits = thresholds(sized, goals).alias("l")
+    sized, limits = _limits(docs)
     taken = F.col("d.size") * (F.col("l.times") + F.when(F.col("d.hash") < F.col("l.below"), 1).otherwise(0))
-    return sized.alias("d").join(limits, _same("d.source", "l.source")).select(
+    return sized.alias("d").join(limits.alias("l"), _same("d.source", "l.source")).select(
         "d.doc_id", "d.size", "l.source_size", "l.target", taken.alias("taken")
     )
 
@@ -118,9 +123,13 @@ def mix(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """``docs`` that the mix takes, with ``taken_words`` in place of any column of that name.
 
-    Rows of a repeated or null doc_id share one fate, as in ``mix``.
+    Every row is decided by its own id, source and text: rows of a repeated doc_id share a hash, so they share their fate
+    within a source. Null ids count as the empty id, null sources are one source. Rows without words, null texts among
+    them, are never taken. Very long texts count whole. No rows: none.
     """
-    taken = mix(docs).groupBy("doc_id").agg(F.max("taken").alias("taken_words"))
-    kept = written(taken.filter("taken_words > 0"), "taken").alias("t")
+    l = _limits(docs)[1].select("source", "times", "below").alias("l")
     d = docs.drop("taken_words").alias("d")
-    return d.join(kept, _same("d.doc_id", "t.doc_id")).select("d.*", "t.taken_words")
+    more = spread_hash(F.col("d.doc_id")) < F.col("l.below")
+    chosen = d.join(l, _same("d.source", "l.source")).filter(F.col("d.text").rlike(r"[^\x20\x09-\x0D]") & ((F.col("l.times") > 0) | more))
+    taken = word_count(F.col("d.text")) * (F.col("l.times") + F.when(more, 1).otherwise(0))
+    return chosen.select("d.*", taken.alias("taken_words"))

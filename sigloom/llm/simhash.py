@@ -274,7 +274,8 @@ def _similar(pairs: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
     holders = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "content")).alias("row"))
     holders = written(holders.select("node", "row.*"), "holders")
     holders = broadcast_if_small(holders, holders.count())
-    lists = known.join(holders, ["doc_id", "content"]).select("node", _shingle_lists("text").alias("shingles"))
+    one = known["doc_id"].eqNullSafe(holders["doc_id"]) & (known["content"] == holders["content"])
+    lists = known.join(holders, one).select("node", _shingle_lists("text").alias("shingles"))
     lists = written(lists.dropDuplicates(["node"]), "shingles")
     one, two = lists.toDF("a", "left"), lists.toDF("b", "right")
     shared = F.size(F.array_intersect("left", "right"))
@@ -288,14 +289,15 @@ def _ordered(a: str, b: str) -> list[Column]:
 
 
 def _members(docs: DataFrame) -> DataFrame:
-    """``doc_id, content, component_id`` of the rows with a doc_id: see ``similar_documents``."""
-    known = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("content"))
-    known = known.filter("doc_id IS NOT NULL")
+    """``doc_id, content, root`` of every row: see ``similar_documents``."""
+    known = docs.select("doc_id", "text", _content(docs))
     made = known.select("doc_id", "content", _shingle_sets(F.col("text"), *_common(known)).alias("set"))
-    sets = written(made.select("doc_id", "content", "set.*"), "sets")
+    sets = written(made.select("doc_id", "content", "set.*", F.monotonically_increasing_id().alias("row")), "sets")
+    # One row of each set stands for all: copies are no more rows in the groups below.
+    single = sets.groupBy("node").agg(F.min("row").alias("row")).select("row")
 
     # Sets that share a shingle of their prefixes, each beside another of them; the order differs by shingle.
-    rows = sets.select("node", "n", F.posexplode("prefix").alias("at", "key"))
+    rows = sets.join(single, "row", "left_semi").select("node", "n", F.posexplode("prefix").alias("at", "key"))
     group = Window.partitionBy("key").orderBy(F.xxhash64("node", "key"), "node")
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     last = F.lag(F.struct("node", "n", "at")).over(group)
@@ -325,9 +327,11 @@ def _members(docs: DataFrame) -> DataFrame:
 
     roots = components(edges)
     held = sets.select("doc_id", "content", "node").join(roots, "node", "left")
-    held = held.select("doc_id", "content", F.coalesce("root", "node").alias("root"))
-    lowest = held.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return held.join(lowest, "root").select("doc_id", "content", "component_id")
+    return held.select("doc_id", "content", F.coalesce("root", "node").alias("root"))
+
+
+def _content(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("content")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -340,21 +344,35 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     compared, so a large class costs its rows and not its pairs. Sizes, places in the prefix and sketches discard only
     pairs that can't be similar; the shingles of the rest are compared.
 
-    Rows with a null doc_id are left out. Repeated ids give a row each time.
+    ``component_id`` is the smallest doc_id of the class, null where it has none. Repeated ids give a row each time.
     """
-    return _members(docs).select("doc_id", "component_id")
+    held = written(_members(docs), "members")
+    lowest = held.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return held.join(lowest, "root").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without all documents of a class of ``similar_documents`` but that of the smallest doc_id.
+    """``docs`` with one row of each class of ``similar_documents``: that of the smallest doc_id (null last).
 
-    Rows that repeat both doc_id and text are one document. Rows with a null doc_id stay: nothing tells them apart.
+    Rows are told apart by id and text: a repeated doc_id with another text is another document and is judged by its own
+    class. Rows that repeat both are one document and come once. Null texts are empty, and empty texts are one class. Very
+    long texts are compared whole. Other columns go through, whatever their names. An empty table stays empty.
     """
-    found = written(similar_documents(docs), "members")
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = written(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    found = written(_members(docs), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "content")
+    best = found.groupBy("root").agg(F.min(order).alias("best"))
+    own = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("content") == F.col("best.content"))
+    gone = found.join(best, "root").filter(~own).select(F.col("doc_id").alias("id"), F.col("content").alias("of")).distinct()
+    gone = written(gone, "gone")
+
+    def listed(rows: DataFrame, those: DataFrame, how: str) -> DataFrame:
+        return rows.join(those, rows["doc_id"].eqNullSafe(those["id"]) & (_content(rows) == those["of"]), how)
+
+    again = found.groupBy(F.col("doc_id").alias("id"), F.col("content").alias("of")).count().filter("count > 1").select("id", "of")
+    again = written(again, "again")
+    kept = listed(docs, gone, "left_anti")
     if again.isEmpty():
         return kept
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once)
+    rows = listed(kept, again, "left_semi")
+    once = rows.select(F.struct("*").alias("row"), "doc_id", _content(rows)).groupBy("doc_id", "content").agg(F.first("row").alias("row"))
+    return listed(kept, again, "left_anti").unionByName(once.select("row.*"))
