@@ -13,8 +13,6 @@ fewer than eight tokens are looked for as they are.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +22,7 @@ SPAN = 8
 #: Positions of a seed that each mask looks at.
 MASKS = ((1, 2, 4, 5, 7), (0, 2, 3, 5, 6), (0, 1, 3, 4, 6, 7))
 WINDOW = 16
-#: Seeds of the benchmark that are broadcast at once, some 100 MB in an executor; more are taken in blocks.
+#: Seeds of the benchmark that are broadcast, some 100 MB in an executor; more are joined by a shuffle.
 BROADCAST_SEEDS = 1_000_000
 
 
@@ -78,31 +76,31 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         seeds = seeds.unionByName(whole)
     seeds = written(seeds.withColumnRenamed("at", "item_at"), "seeds")
 
-    # First pass: which items to lay where. Only seeds leave the rows, never the texts.
-    hashed = _seed_rows(docs.select("doc_id", "text"), ["doc_id"], tokens(F.col("text")), short)
-    blocks = -(-seeds.count() // BROADCAST_SEEDS)
-    parts = [
-        hashed.join(F.broadcast(seeds.filter(F.pmod(F.hash("seed"), F.lit(blocks)) == b) if blocks > 1 else seeds), "seed")
-        for b in range(max(1, blocks))
-    ]
-    found = reduce(DataFrame.unionByName, parts)
+    # First pass: which items to lay where. Only seeds leave the rows, never the texts. A row is known by its key, so
+    # that rows of one id, null or repeated, never meet each other's places.
+    docs = docs.select(row_key(docs).alias("key"), "doc_id", "text")
+    hashed = _seed_rows(docs, ["key"], tokens(F.col("text")), short)
+    found = hashed.join(F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds, "seed")
     places = written(
-        found.select("doc_id", "item_id", "item_hash", (F.col("at") - F.col("item_at")).alias("place")).distinct(), "places"
+        found.select("key", "item_id", "item_hash", (F.col("at") - F.col("item_at")).alias("place")).distinct(), "places"
     )
 
     # Second pass: the texts of documents with a hit, once for each of them.
-    hit = places.select("doc_id").distinct()
-    d, h = docs.select("doc_id", "text").alias("d"), hit.alias("h")
-    texts = d.join(h, F.col("d.doc_id").eqNullSafe(F.col("h.doc_id"))).select("d.doc_id", tokens(F.col("d.text")).alias("doc"))
+    hit = places.select("key").distinct()
+    texts = docs.join(hit, "key").select("key", "doc_id", tokens(F.col("text")).alias("doc"))
     whole = items.alias("i")
     laid = places.alias("p").join(
         whole, F.col("p.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("p.item_hash") == F.col("i.item_hash"))
-    ).select("p.doc_id", "p.item_id", "p.place", "i.item")
-    t, p = texts.alias("t"), laid.alias("p")
-    both = t.join(p, F.col("t.doc_id").eqNullSafe(F.col("p.doc_id"))).select("p.*", _facing("t.doc", "p.item", "p.place").alias("equal"))
+    ).select("p.key", "p.item_id", "p.place", "i.item")
+    both = texts.join(laid, "key").select("doc_id", "item_id", "place", _facing("doc", "item", "place").alias("equal"))
     return _verified(both)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A hash of id and text; rows that repeat both are one."""
+    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.coalesce("text", F.lit("")))
+
+
 def _facing(doc: str, item: str, place: str) -> Column:
     """For each token of the item: 1 if the document has it at its place."""
     at = F.col(place)
@@ -133,6 +131,11 @@ def _verified(both: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold an item. Rows with a null doc_id stay: their hits name no document."""
-    leaks = written(overlaps(docs, benchmark).select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti")
+    """``docs`` without the rows that hold an item, each row by its own text.
+
+    Null texts hold nothing; null and repeated ids are rows like others. Very long texts are searched whole. Other columns
+    go through, whatever their names. Empty tables: no rows go.
+    """
+    keyed = docs.select(row_key(docs).alias("doc_id"), "text")
+    leaks = written(overlaps(keyed, benchmark).select(F.col("doc_id").alias("key")).distinct(), "leaks")
+    return docs.join(leaks, row_key(docs) == leaks["key"], "left_anti")
