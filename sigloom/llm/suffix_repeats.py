@@ -31,14 +31,14 @@ from sigloom.shared_storage import written
 
 LENGTH = 200
 #: Residues of which any two positions share one at some common distance below PERIOD.
-PERIOD, COVER = 133, (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
+PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 #: Bytes of text in a block at most, unless one document is longer; bytes of text per bucket, and buckets at least.
 BLOCK_BYTES, BUCKET_BYTES, LEAST_BUCKET_BITS = 4 << 20, 8 << 20, 10
 #: Bytes of a key that travel: fewer for ranks, where a false tie only sends a suffix on to its bucket.
-RANK_BYTES, SUFFIX_BYTES = 5, 8
+RANK_BYTES, SUFFIX_BYTES = 5, 7
 
 _BLOCK = "block long, n_bytes long, lengths array<long>, packed binary"
-_KEYS = "bucket long, block long, keys binary, twice binary"
+_KEYS = "bucket long, block long, steps binary, rest binary, twice binary"
 _BITS = "bucket long, block long, bits binary"
 
 
@@ -84,24 +84,11 @@ def _words(data: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data),), "<u8", padded, strides=(1,)).copy()
 
 
-def _halves(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    if width == 8:
-        return words[at]
-    return _mixed(_halves(words, at, width // 2), _halves(words, at + width // 2, width // 2))
-
-
-def _hashes(words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """Hashes of the ``length`` bytes from the positions ``at``: of two strings as wide as a power of two, the first and
-    the last, which overlap; each from its halves. The same at all positions and then looked up, where many are asked."""
-    width = 1 << (length.bit_length() - 1)
-    if len(at) * width // 4 < len(words) * (width.bit_length() - 4):
-        first, last = _halves(words, at, width), _halves(words, at + length - width, width)
-    else:
-        now = words
-        for half in (8 << k for k in range(width.bit_length() - 4)):
-            now = _mixed(now[:-half], now[half:])
-        first, last = now[at], now[at + length - width]
-    return _mixed(first, last)
+def _wide(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the ``width`` bytes from every position, a power of two: each from its halves."""
+    for half in (8 << k for k in range(width.bit_length() - 4)):
+        words = _mixed(words[:-half], words[half:])
+    return words
 
 
 class _Block:
@@ -112,7 +99,16 @@ class _Block:
         self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed, n_bytes) if n_bytes else b"", np.uint8)
         self.ends = np.cumsum(lengths)
         self.starts = self.ends - lengths
-        self.words = _words(self.data)
+        self.words, self.wide = _words(self.data), {}
+
+    def hashes(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the ``length`` bytes from the positions ``at``: of the first and the last of them, which overlap."""
+        if not len(at):
+            return np.zeros(0, np.uint64)
+        width = 1 << (length.bit_length() - 1)
+        if width not in self.wide:
+            self.wide[width] = _wide(self.words, width)
+        return _mixed(self.wide[width][at], self.wide[width][at + length - width])
 
     def cover(self) -> tuple[np.ndarray, np.ndarray]:
         """Positions on the cover in documents that have room for a suffix, and the starts of their documents."""
@@ -128,7 +124,7 @@ class _Block:
 
     def ranks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Different keys of the cover in order, which key each position has, and how often each occurs."""
-        return np.unique(_hashes(self.words, self.cover()[0], self.length - PERIOD + 1), return_inverse=True, return_counts=True)
+        return np.unique(self.hashes(self.cover()[0], self.length - PERIOD + 1), return_inverse=True, return_counts=True)
 
     def open_suffixes(self, tied: np.ndarray) -> np.ndarray:
         """Suffixes with a cover position in their first PERIOD bytes whose key, by ``tied``, others have too."""
@@ -142,20 +138,23 @@ class _Block:
 
     def suffixes(self, tied: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         at = self.open_suffixes(tied)
-        return at, np.unique(_hashes(self.words, at, self.length), return_inverse=True, return_counts=True)
+        return at, np.unique(self.hashes(at, self.length), return_inverse=True, return_counts=True)
 
 
 def _rows(block: int, keys: np.ndarray, counts: np.ndarray, bits: int, width: int) -> pa.RecordBatch:
-    """Keys in order, cut at the buckets; of each key the ``width`` bytes after the bucket's bits that tell most."""
+    """Keys in order, cut at the buckets; of each key the ``width`` bytes after the bucket's bits. Of the first of these
+    bytes, which are in order, the steps go compressed."""
     buckets = (keys >> np.uint64(64 - bits)).astype(np.int64)
     cuts = np.flatnonzero(np.diff(buckets, prepend=-1))
     ends = np.append(cuts[1:], len(keys))
-    rest = (keys << np.uint64(bits) if width < 8 else keys).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    octets = (keys << np.uint64(bits)).astype(">u8").view(np.uint8).reshape(-1, 8)
+    first, rest, zstd = np.ascontiguousarray(octets[:, 0]), np.ascontiguousarray(octets[:, 1:width]), zstandard.ZstdCompressor(level=1)
     return pa.RecordBatch.from_pydict(
         {
             "bucket": pa.array(buckets[cuts], pa.int64()),
             "block": pa.array(np.full(len(cuts), block), pa.int64()),
-            "keys": pa.array([rest[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+            "steps": pa.array([zstd.compress(np.diff(first[a:b], prepend=np.uint8(0)).tobytes()) for a, b in zip(cuts, ends)], pa.binary()),
+            "rest": pa.array([rest[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
             "twice": pa.array([np.packbits(counts[a:b] > 1).tobytes() for a, b in zip(cuts, ends)], pa.binary()),
         }
     )
@@ -184,10 +183,12 @@ def _ties(rows: DataFrame, width: int, label: str) -> DataFrame:
     """One bucket at a time: sorts its keys and says of each whether it ties. ``block, parts``, a row per block."""
 
     def sort_bucket(table: pa.Table) -> pa.Table:
-        packed = table.column("keys").to_pylist()
-        sizes = [len(p) // width for p in packed]
+        zstd = zstandard.ZstdDecompressor()
+        steps = [np.frombuffer(zstd.decompress(x), np.uint8) for x in table.column("steps").to_pylist()]
+        sizes = [len(x) for x in steps]
         wide = np.zeros((sum(sizes), 8), np.uint8)
-        wide[:, :width] = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, width)
+        wide[:, 0] = np.concatenate([np.cumsum(x, dtype=np.uint8) for x in steps])
+        wide[:, 1:width] = np.frombuffer(b"".join(table.column("rest").to_pylist()), np.uint8).reshape(-1, width - 1)
         keys = wide.view(">u8").ravel().astype(np.uint64)
         twice = [np.unpackbits(np.frombuffer(t, np.uint8), count=n) for t, n in zip(table.column("twice").to_pylist(), sizes)]
         order = np.argsort(keys, kind="stable")

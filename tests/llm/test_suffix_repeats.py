@@ -74,7 +74,7 @@ def test_awkward_and_empty(docs_of, texts):
     assert rows(suffix_repeats.removed_bytes(docs_of(docs))) == expected(docs)
     assert suffix_repeats.removed_bytes(docs_of([])).collect() == []
     with pytest.raises(ValueError):
-        suffix_repeats.repeats(docs_of([]), 100)
+        suffix_repeats.repeats(docs_of([]), 60)
 
 
 def test_very_long_texts(docs_of, texts):
