@@ -353,4 +353,37 @@ SELECT product_instance_id, lead_num, channel, {SCORE_VALUES.format(threshold=0.
 FROM scored JOIN named USING (user_id) WHERE missing = 0
 UNION ALL BY NAME
 SELECT product_instance_id, lead_num, channel, 'INCOMPLETE' AS quality_decision, missing FROM named WHERE missing > 0 AND missing < total""",
+    "drift_cusum": f"""WITH {numbered(EVENTS_BY_USER, "user_id")},
+off AS (SELECT user_id, pos, value - avg(value) OVER (PARTITION BY user_id) AS x FROM numbered),
+sums AS (SELECT user_id, pos, sum(x - 5) OVER w AS up, sum(-x - 5) OVER w AS down FROM off WINDOW w AS (PARTITION BY user_id ORDER BY pos)),
+sides AS (SELECT user_id, pos, up - least(0, min(up) OVER w) AS high, down - least(0, min(down) OVER w) AS fall
+  FROM sums WINDOW w AS (PARTITION BY user_id ORDER BY pos))
+SELECT user_id, round(max(high), 6) AS cusum_high, round(max(fall), 6) AS cusum_low, min(pos) FILTER (high > 400 OR fall > 400) AS first_alarm
+FROM sides GROUP BY user_id""",
+    "drift_ks": f"""WITH {numbered(EVENTS_BY_USER, "user_id")},
+steps AS (SELECT user_id, value, count(*) FILTER (segment_index % 2 = 1) AS a, count(*) FILTER (segment_index % 2 = 0) AS b
+  FROM numbered GROUP BY user_id, value),
+upto AS (SELECT user_id, sum(a) OVER w AS ua, sum(b) OVER w AS ub, sum(a) OVER (PARTITION BY user_id) AS na, sum(b) OVER (PARTITION BY user_id) AS nb
+  FROM steps WINDOW w AS (PARTITION BY user_id ORDER BY value))
+SELECT user_id, CAST(max(na) AS BIGINT) AS n_first, CAST(max(nb) AS BIGINT) AS n_second,
+  round(max(abs(CAST(ua AS DOUBLE) / nullif(na, 0) - CAST(ub AS DOUBLE) / nullif(nb, 0))), 8) AS ks FROM upto GROUP BY user_id""",
+    "baselines": """SELECT event_type, count(*) AS n, round(avg(value), 8) AS mean, round(stddev_pop(value), 6) AS deviation FROM events
+WHERE NOT (event_id % 3 = 0 AND event_type = 'view') AND NOT (event_id % 3 = 2 AND event_type = 'error') GROUP BY event_type""",
+    "stream_presence": f"""WITH {MESSAGES_BY_USER},
+complete AS (SELECT strftime(first_ts, '%Y-%m-%d') AS day, instance, lead_num, channel FROM messages
+  WHERE NOT (user_id % 5 = 0 AND (user_id + chunk_index) % 7 = 0) GROUP BY first_ts, instance, lead_num, channel HAVING count(*) = max(total_chunks))
+SELECT day, instance AS product_instance_id, lead_num, bool_or(channel = 0) AS has_channel_0, bool_or(channel = 1) AS has_channel_1,
+  bool_or(channel = 0) AND bool_or(channel = 1) AS has_both FROM complete GROUP BY day, instance, lead_num""",
+    "stream_topics": f"""WITH {summary_ctes(EVENTS_BY_USER, "user_id")},
+whole AS (SELECT user_id FROM numbered GROUP BY user_id
+  HAVING len([i FOR i IN range((max(n) + 15) // 16) IF (user_id + i) % 7 = 0 AND user_id % 5 = 0]) = 0),
+told AS (SELECT 'product_' || (user_id // 2) || ':' || ((user_id // 2) % 16 + 1) || ':' || (user_id % 2) AS key, total_samples, gap, score
+  FROM scored JOIN whole USING (user_id))
+SELECT 'features' AS topic, key, total_samples, round(gap, 8) AS odd_even_gap, CAST(NULL AS DOUBLE) AS cpd_score, CAST(NULL AS VARCHAR) AS quality_decision FROM told
+UNION ALL
+SELECT 'decisions', key, NULL, NULL, round(score, 6), CASE WHEN score >= 0.35 THEN 'REVIEW' ELSE 'PASS' END FROM told""",
+    "stream_late": """WITH sent AS (
+  SELECT event_id, ts, CASE WHEN event_id % 50 = 0 THEN 3 ELSE event_id * 4 // (max(event_id) OVER () + 1) END AS delivery FROM events),
+bounds AS (SELECT d.delivery, max(ts) - INTERVAL 10 MINUTE AS bound FROM (SELECT DISTINCT delivery FROM sent) d JOIN sent s ON s.delivery < d.delivery GROUP BY d.delivery)
+SELECT event_id, strftime(bound, '%Y-%m-%d %H:%M:%S.%f') AS bound, 'late' AS reason FROM sent JOIN bounds USING (delivery) WHERE ts < bound""",
 }

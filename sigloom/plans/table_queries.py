@@ -14,6 +14,7 @@ from sigloom.functions import messages as msg
 from sigloom.functions import paths, values
 from sigloom.functions import segments as seg
 from sigloom.operators import chunks as ch
+from sigloom.operators import drift
 from sigloom.operators import instances as ops
 from sigloom.operators import messages as mops
 from sigloom.operators import replay
@@ -666,6 +667,69 @@ def stream_route(spark, folder):
     return ok.unionByName(bad).groupBy("route", "first_error").agg(F.count("*").alias("messages"))
 
 
+def _stored_stream(spark, folder):
+    """Path of the valid messages of all users, each twice, and the same as a stream of complete and incomplete signals.
+
+    Every fifth user loses chunks on the way.
+    """
+    raw, valid, dead = (fresh_path(spark, n) for n in ("raw", "valid", "dead"))
+    user = F.regexp_extract("metadata.file_name", "user_([0-9]+)", 1).cast("bigint")
+    arrived = _user_messages(spark, folder).filter(~((user % 5 == 0) & ((user + F.col("chunk_index")) % 7 == 0)))
+    rows = mops.keyed_json(arrived, "raw").drop("chunk_index")
+    rows.unionByName(rows).write.json(raw)
+    source = stream_message_files(spark, raw)
+    _run(message_streams.route_messages(source, valid, dead, fresh_path(spark, "stream"), available_now=True))
+    stored = spark.readStream.schema(spark.read.parquet(valid).schema).parquet(valid)
+    return valid, message_streams.signal_completeness(message_streams.once_each(stored, "1 minute"))
+
+
+def stream_presence(spark, folder):
+    """Whether both channels of a lead came on the same day, by a stream and its closing step."""
+    valid, complete = _stored_stream(spark, folder)
+    out = fresh_path(spark, "presence")
+    leads = message_streams.lead_presence(complete)
+    _run(message_streams.append_to_files(leads, out, fresh_path(spark, "stream"), available_now=True))
+    found = spark.read.schema(leads.schema).parquet(out).unionByName(message_streams.open_leads(spark, valid, out))
+    day = F.date_format("window_start", "yyyy-MM-dd").alias("day")
+    return found.select(day, "product_instance_id", *whole("lead_num"), "has_channel_0", "has_channel_1", "has_both")
+
+
+def stream_topics(spark, folder):
+    """Feature and decision messages of the judged signals, as a stream and its closing step send them."""
+    valid, complete = _stored_stream(spark, folder)
+    out, lost, sent = (fresh_path(spark, n) for n in ("scores", "lost", "sent"))
+    send = message_streams.topic_files(sent, "features", "decisions")
+    checkpoint = fresh_path(spark, "stream")
+    _run(message_streams.score_signals(complete, valid, out, checkpoint, available_now=True, lost_path=lost, send=send))
+    message_streams.close_signals(spark, valid, out, lost, send=send)
+    messages = spark.read.schema("key string, value string, batch_id string, topic string").json(sent)
+    fields = F.from_json("value", "total_samples bigint, odd_even_gap double, cpd_score double, quality_decision string").alias("v")
+    told = messages.select("topic", "key", fields).select("topic", "key", "v.*")
+    return told.select("topic", "key", "total_samples", rounded("odd_even_gap", 8), rounded("cpd_score"), "quality_decision")
+
+
+def stream_late(spark, folder):
+    """Messages of events that come in four deliveries; every fiftieth is held back until the last one.
+
+    What is older than the deliveries before by more than ten minutes is kept as late.
+    """
+    raw, valid, dead, late, bounds = (fresh_path(spark, n) for n in ("raw", "valid", "dead", "late", "bounds"))
+    checkpoint = fresh_path(spark, "stream")
+    event = F.regexp_extract("key", "event_([0-9]+)", 1).cast("bigint")
+    last = table(spark, folder, "events").agg(F.max("event_id")).first()[0] or 0
+    rows = settled(mops.keyed_json(_event_messages(spark, folder), "raw"), event_id=event)
+    regular = seg.whole_division(F.col("event_id") * 4, last + 1)
+    messages = rows.withColumn("delivery", F.when(F.col("event_id") % 50 == 0, 3).otherwise(regular))
+    messages = written(messages, "messages")
+    for number in range(4):
+        messages.filter(F.col("delivery") == number).select("topic", "key", "value").write.mode("append").json(raw)
+        source = stream_message_files(spark, raw)
+        _run(message_streams.route_messages(source, valid, dead, checkpoint, available_now=True, late=(late, bounds)))
+    found = spark.read.parquet(late)
+    event = F.regexp_extract("product_instance_id", "event_([0-9]+)", 1).cast("bigint").alias("event_id")
+    return found.select(event, F.date_format("bound", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("bound"), "reason")
+
+
 def stream_scores(spark, folder):
     """Messages of all users, twice each, through routing, repeat removal, completeness, scoring and closing.
 
@@ -690,6 +754,33 @@ def stream_scores(spark, folder):
     return scored.withColumn("missing", F.lit(0).cast("bigint")).unionByName(incomplete, allowMissingColumns=True)
 
 
+# --- drift
+
+
+def drift_cusum(spark, folder):
+    found = drift.cusum(event_samples(spark, folder, "user_id"), ["user_id"], 5.0, 400.0)
+    return found.select("user_id", rounded("cusum_high"), rounded("cusum_low"), "first_alarm")
+
+
+def drift_ks(spark, folder):
+    """Odd against even segments of every user's signal."""
+    samples = event_samples(spark, folder, "user_id")
+    odd = seg.segment_index(F.col("pos"), F.col("n"), 16) % 2 == 1
+    return drift.ks_distance(samples, ["user_id"], odd).select("user_id", "n_first", "n_second", rounded("ks", 8))
+
+
+def baselines(spark, folder):
+    """Baselines per event type after three runs, of which the last one knows no errors."""
+    keys = ["event_type"]
+    events = table(spark, folder, "events").select("event_id", "event_type", "value")
+    part = F.col("event_id") % 3
+    known = drift.moments(events.filter((part == 0) & (F.col("event_type") != "view")), keys)
+    for run in (1, 2):
+        rows = events.filter((part == run) & ((F.col("event_type") != "error") | (part == 1)))
+        known = written(drift.updated_baselines(known, drift.moments(rows, keys), keys), "baselines")
+    return known.select("event_type", "n", rounded("mean", 8), F.round(F.sqrt(F.col("m2") / F.col("n")), 6).alias("deviation"))
+
+
 # --- the jobs as a whole
 
 
@@ -866,4 +957,10 @@ QUERIES = {
     "stream_hourly": stream_hourly,
     "stream_route": stream_route,
     "stream_scores": stream_scores,
+    "stream_presence": stream_presence,
+    "stream_topics": stream_topics,
+    "stream_late": stream_late,
+    "drift_cusum": drift_cusum,
+    "drift_ks": drift_ks,
+    "baselines": baselines,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,12 +100,29 @@ def _no_leftovers(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, before)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The same rows, read back from a table in the shared folder, so that a lost executor costs no recomputation.
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The same rows, read back from a table at ``path``.
 
     Nothing reads the shuffles of the write again, so their files are deleted when it has ended.
     """
-    path = fresh_path(df.sparkSession, label)
     with _no_leftovers(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, read back from a table in the shared folder, so that a lost executor costs no recomputation."""
+    return stored(df, fresh_path(df.sparkSession, label))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """For an intermediate table whose rows no later plan reads."""
+    system, hadoop_path = _hadoop(spark, path)
+    system.delete(hadoop_path, True)
+
+
+def written_apart(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Stores what ``make`` returns and deletes the intermediate tables that it wrote on the way."""
+    path = fresh_path(spark, label)
+    with scratch(spark):
+        return stored(make(), path)
