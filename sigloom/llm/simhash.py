@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sigloom.llm.components import components
 from sigloom.operators.joins import broadcast_if_small
-from sigloom.shared_storage import written
+from sigloom.shared_storage import delete_path, fresh_path, stored, written, written_apart
 
 #: Fingerprints link at this many differing bits or fewer.
 LINK_BITS = 2
@@ -281,7 +281,7 @@ def _similar(pairs: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
     shared = F.size(F.array_intersect("left", "right"))
     both = close.join(one, "a").join(two, "b")
     similar = both.filter(shared >= SIMILARITY * (F.size("left") + F.size("right") - shared))
-    return written(similar.select("a", "b"), "similar")
+    return similar.select("a", "b")
 
 
 def _ordered(a: str, b: str) -> list[Column]:
@@ -289,7 +289,7 @@ def _ordered(a: str, b: str) -> list[Column]:
 
 
 def _members(docs: DataFrame) -> DataFrame:
-    """``doc_id, content, root`` of every row: see ``similar_documents``."""
+    """``doc_id, content, root`` of every row: see ``similar_documents``. Only what later steps read stays on disk."""
     known = docs.select("doc_id", "text", _content(docs))
     made = known.select("doc_id", "content", _shingle_sets(F.col("text"), *_common(known)).alias("set"))
     sets = written(made.select("doc_id", "content", "set.*", F.monotonically_increasing_id().alias("row")), "sets")
@@ -303,27 +303,31 @@ def _members(docs: DataFrame) -> DataFrame:
     last = F.lag(F.struct("node", "n", "at")).over(group)
     placed = rows.withColumns({"low": F.min("node").over(whole), "high": F.max("node").over(whole), "last": last})
     fresh = F.col("last").isNull() | (F.col("last.node") != F.col("node"))
-    shared = written(placed.filter((F.col("low") < F.col("high")) & fresh).drop("low", "high"), "shared")
+    spark = docs.sparkSession
+    shared_path, held_path = fresh_path(spark, "shared"), fresh_path(spark, "held")
+    shared = stored(placed.filter((F.col("low") < F.col("high")) & fresh).drop("low", "high"), shared_path)
 
     # First these neighbours: large classes come together without all their pairs.
     beside = shared.filter("last IS NOT NULL").select(F.struct("node", "n", "at").alias("this"), "last")
     beside = beside.filter(_may_be_similar("this", "last")).select(*_ordered("this.node", "last.node")).distinct()
-    edges = _similar(written(beside, "beside"), known, sets)
+    edges = written_apart(spark, lambda: _similar(written(beside, "beside"), known, sets), "similar")
 
     # Then every pair whose sets are not in one class yet. Rows outside the commonest class of a shingle meet all others.
     roots = components(edges)
     held = shared.join(roots, "node", "left").select("key", "node", "n", "at", F.coalesce("root", "node").alias("root"))
-    held = written(held, "held")
+    held = stored(held, held_path)
+    delete_path(spark, shared_path)
     main = held.groupBy("key", "root").count().groupBy("key").agg(
         F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")
     )
-    main = written(main.filter("roots > 1").select("key", "main"), "main")
-    both = written(held.join(main, "key"), "open")
+    main = main.filter("roots > 1").select("key", "main")
+    both = written_apart(spark, lambda: held.join(written(main, "main"), "key"), "open")
+    delete_path(spark, held_path)
     l, r = both.filter("root != main").alias("l"), both.alias("r")
     once = (F.col("r.root") == F.col("r.main")) | (F.col("l.node") < F.col("r.node"))
     other = (F.col("l.key") == F.col("r.key")) & (F.col("l.root") != F.col("r.root")) & once
     rest = l.join(r, other & _may_be_similar("l", "r")).select(*_ordered("l.node", "r.node")).distinct()
-    edges = edges.unionByName(_similar(written(rest, "rest"), known, sets))
+    edges = edges.unionByName(written_apart(spark, lambda: _similar(written(rest, "rest"), known, sets), "similar"))
 
     roots = components(edges)
     held = sets.select("doc_id", "content", "node").join(roots, "node", "left")
@@ -346,7 +350,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
     ``component_id`` is the smallest doc_id of the class, null where it has none. Repeated ids give a row each time.
     """
-    held = written(_members(docs), "members")
+    held = written_apart(docs.sparkSession, lambda: _members(docs), "members")
     lowest = held.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return held.join(lowest, "root").select("doc_id", "component_id")
 
@@ -358,7 +362,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     class. Rows that repeat both are one document and come once. Null texts are empty, and empty texts are one class. Very
     long texts are compared whole. Other columns go through, whatever their names. An empty table stays empty.
     """
-    found = written(_members(docs), "members")
+    found = written_apart(docs.sparkSession, lambda: _members(docs), "members")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "content")
     best = found.groupBy("root").agg(F.min(order).alias("best"))
     own = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("content") == F.col("best.content"))
