@@ -43,6 +43,9 @@ SKETCH_BITS = 512
 #: One document in SAMPLE is searched for shingles that COMMON of them hold; the commonest are known to every task.
 SAMPLE, COMMON, MOST_COMMON = 16, 8, 200_000
 
+#: Parts in which pairs are verified one after the other, so that less is on disk at a time.
+PARTS = 4
+
 #: Blocks of a document's shingles whose bits are counted at a time.
 COUNT_ROWS = 65_536
 
@@ -277,11 +280,16 @@ def _similar(pairs: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
     one = known["doc_id"].eqNullSafe(holders["doc_id"]) & (known["content"] == holders["content"])
     lists = known.join(holders, one).select("node", _shingle_lists("text").alias("shingles"))
     lists = written(lists.dropDuplicates(["node"]), "shingles")
-    one, two = lists.toDF("a", "left"), lists.toDF("b", "right")
+    # Pairs carry the shingles of their first set through a shuffle: a part of them at a time, each stored before the next.
     shared = F.size(F.array_intersect("left", "right"))
-    both = close.join(one, "a").join(two, "b")
-    similar = both.filter(shared >= SIMILARITY * (F.size("left") + F.size("right") - shared))
-    return similar.select("a", "b")
+    found = None
+    for part in range(PARTS):
+        own = F.pmod(F.hash("a"), F.lit(PARTS)) == part
+        one, two = lists.toDF("a", "left").filter(own), lists.toDF("b", "right")
+        both = close.filter(own).join(one, "a").join(two, "b")
+        similar = written(both.filter(shared >= SIMILARITY * (F.size("left") + F.size("right") - shared)).select("a", "b"), "similar")
+        found = similar if found is None else found.unionByName(similar)
+    return found
 
 
 def _ordered(a: str, b: str) -> list[Column]:
