@@ -1,6 +1,7 @@
 """How two tokenizers cut the same bytes, with Arrow's own kernels inside the tasks.
 
-A slice of documents is tokenized by both. Token lists are flattened; lengths come from a table by id; cumulative sums
+A slice of documents is cut where a space, not the last character, follows a visible ASCII character: neither tokenizer ever joins bytes across
+such a place. Each different piece is tokenized once by both, and the pieces' tokens are looked up. Token lists are flattened; lengths come from a table by id; cumulative sums
 over the slice give byte ends, which are the same numbers for both tokenizers as their bytes are. Hash joins on ends find
 the places where both end, and, as an outer join, all ends: between two neighbouring ends lies exactly one token of each
 side, a link. ``group_by`` makes the slice's different pairs and counts the documents that hold them.
@@ -16,6 +17,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -32,6 +34,8 @@ TOKENIZERS = "/opt/tokenizers"
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text in a slice at most, unless one document is longer.
 SLICE_BYTES = 2 << 20
+#: Different pieces of text whose tokens a worker keeps.
+REMEMBERED = 100_000
 #: A pair of ids is first * PAIR + second.
 PAIR = 1 << 20
 
@@ -67,13 +71,59 @@ class _Tokenizers:
             [bytes([int(p[3:5], 16)]) if self.second.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)], pa.binary()
         )
 
-    def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
-        a = [e.ids for e in self.first.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        return _lists(a), _lists(self.second.encode(texts, num_threads=1))
+        self.known: dict[str, tuple[list[int], list[int]]] = {}
+        self.second_in_pieces = self._second_in_pieces(pieces)
+
+    def _second_in_pieces(self, pieces: list[str]) -> bool:
+        """No entry holds a space after something else, and spaces come back as they are."""
+        probe = "  a  b c  "
+        spelled = b"".join(self.second_bytes[k].as_py() for k in self.second.encode(probe))
+        return all("▁" not in p.lstrip("▁") for p in pieces) and spelled == b" " + probe.encode()
+
+    def encode(self, spaced: pa.Array) -> tuple[pa.ListArray, pa.ListArray]:
+        """Ids of both for texts with a space before them. The first REMEMBERED pieces of a worker aren't tokenized again."""
+        pieces, per_text = _pieces(spaced)
+        coded = pieces.dictionary_encode()
+        texts = coded.dictionary.cast(pa.string()).to_pylist()
+        fresh = [t for t in texts if t not in self.known]
+        a = [e.ids for e in self.first.encode_batch_fast(fresh, add_special_tokens=False)]
+        # The second tokenizer puts the space before a text itself.
+        b = self.second.encode([t[1:] for t in fresh], num_threads=1) if self.second_in_pieces else [[]] * len(fresh)
+        told = dict(zip(fresh, zip(a, b)))
+        ids = [self.known.get(t) or told[t] for t in texts]
+        self.known.update(list(told.items())[: max(0, REMEMBERED - len(self.known))])
+        first = _of_texts(_lists([x for x, _ in ids]), coded.indices, per_text)
+        if not self.second_in_pieces:
+            return first, _lists(self.second.encode([t[1:] for t in spaced.cast(pa.string()).to_pylist()], num_threads=1))
+        return first, _of_texts(_lists([y for _, y in ids]), coded.indices, per_text)
+
+
+def _pieces(spaced: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The texts cut before each space that follows a visible ASCII character, and how many pieces each text has."""
+    ends = np.cumsum(pc.binary_length(spaced).to_numpy().astype(np.int64))
+    data = b"".join(spaced.to_pylist())
+    octets = np.frombuffer(data, np.uint8)
+    visible = (octets > 0x20) & (octets < 0x7F)
+    first = np.zeros(len(octets), bool)
+    first[1:] = (octets[1:] == 0x20) & visible[:-1]
+    first[ends - 1] = False  # a last space stays with its word
+    first[np.append(0, ends[:-1]) if len(ends) else ends] = True
+    starts = np.flatnonzero(first)
+    offsets = np.append(starts, len(data)).astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+    return pieces, np.bincount(np.searchsorted(ends, starts, "right"), minlength=len(spaced))
+
+
+def _of_texts(ids: pa.ListArray, pieces: pa.Array, per_text: np.ndarray) -> pa.ListArray:
+    """The ids of whole texts from those of their pieces."""
+    taken = ids.take(pieces)
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends[np.concatenate([[0], np.cumsum(per_text)])], pa.int32()), taken.flatten())
 
 
 def _lists(ids: list[list[int]]) -> pa.ListArray:
-    return pa.array([np.array(x, np.int32) for x in ids], pa.list_(pa.int32()))
+    flat = np.fromiter(chain.from_iterable(ids), np.int32)
+    return pa.ListArray.from_arrays(_offsets(np.fromiter(map(len, ids), np.int64, count=len(ids))), pa.array(flat))
 
 
 @cache
@@ -111,8 +161,8 @@ def _group_texts(tokens: pa.Table, common: pa.Array) -> pa.Array:
 
 def _align(number: int, doc_ids: pa.Array, texts: pa.Array, both: _Tokenizers) -> Iterator[pa.RecordBatch]:
     n = len(texts)
-    a, b = both.encode(texts.to_pylist())
     spaced = pc.binary_join_element_wise(pa.scalar(b" "), texts.cast(pa.binary()), b"")
+    a, b = both.encode(spaced)
     fits = pc.and_(pc.equal(_joined(a, both.first_bytes), spaced), pc.equal(_joined(b, both.second_bytes), spaced))
     fits = pc.and_(fits, pc.greater(pc.binary_length(texts), 0))
     none = pa.scalar([], a.type)

@@ -88,6 +88,17 @@ def test_slices_change_nothing(docs_of, monkeypatch):
     assert rows(token_alignment.alignment(docs.coalesce(1))) == whole
 
 
+def test_pieces_change_nothing(both, texts):
+    import pyarrow as pa
+
+    loaded = token_alignment._loaded(str(FOLDER / token_alignment.FIRST), str(FOLDER / token_alignment.SECOND))
+    assert loaded.second_in_pieces
+    some = [t or "" for t in texts] + AWKWARD + [" a  b\u00a0 c \u2003 d\x1c e's  's don't  !'s ", "\u0301 a \u0301b  ", "x \x85 y"]
+    first, second = loaded.encode(pa.array([(" " + t).encode() for t in some], pa.binary()))
+    assert first.to_pylist() == [both[0].encode(" " + t, add_special_tokens=False).ids for t in some]
+    assert second.to_pylist() == both[1].encode(some)
+
+
 def test_long_and_empty(docs_of, texts):
     got = rows(token_alignment.alignment(docs_of(list(enumerate(texts)))))
     assert len(got) == len(texts) and token_alignment.alignment(docs_of([])).collect() == []
