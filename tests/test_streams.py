@@ -226,3 +226,20 @@ def test_hourly_roll_up_equals_batch(spark, tmp_path):
 
 def test_signal_key():
     assert SIGNAL_KEY == ["product_instance_id", "lead_num", "channel"]
+
+
+@pytest.mark.parametrize("files", [1, 100])
+def test_presence_does_not_depend_on_batches(spark, tmp_path, files):
+    schema = "event_time timestamp, product_instance_id string, lead_num int, channel int, is_complete boolean"
+    start = dt.datetime(2024, 1, 1, 8)
+    rows = [(start, "a", 1, 0, True), (start + dt.timedelta(hours=3), "a", 1, 1, True), (start, "b", 1, 1, True)]
+    rows += [(start, "c", 2, 0, True), (start, "c", 2, 1, False), (start + dt.timedelta(days=3), "z", 1, 0, True)]
+    for row in rows:
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).json(f"{tmp_path}/in")
+    leads = message_streams.lead_presence(stream.withWatermark("event_time", "1 day"))
+    query = message_streams.append_to_files(leads, f"{tmp_path}/out", f"{tmp_path}/checkpoint", available_now=True)
+    query.awaitTermination()
+    found = spark.read.schema(leads.schema).parquet(f"{tmp_path}/out").collect()
+    got = {(r.product_instance_id, r.has_channel_0, r.has_channel_1, r.has_both) for r in found}
+    assert got == {("a", True, True, True), ("b", False, True, False), ("c", True, False, False)} and len(found) == 3
