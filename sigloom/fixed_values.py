@@ -108,6 +108,11 @@ KAFKA_WRITE_OPTIONS = {
     "kafka.max.request.size": "5242880",
 }
 
+# The hash by which a broker's own clients choose a partition for a key.
+KEY_HASH_SEED = 0x9747B28C
+KEY_HASH_FACTOR = 0x5BD1E995
+KEY_HASH_SHIFTS = (24, 13, 15)
+
 # Output columns and their order.
 SEGMENT_COLUMNS = {
     "run_id": "string",

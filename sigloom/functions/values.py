@@ -1,7 +1,9 @@
-"""Text to samples."""
+"""Text to samples, and values that are computed once."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ NUMBER = rf"^[+-]?(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})(?:[eE][+-]?{DIGITS
 LETTERS_OF_OTHER_NUMBERS = "dDfFxX"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def parse_number(line: Column) -> Column:
     """The last comma-separated field as a double, which may be infinite or NaN; NULL for headers and blanks.
 

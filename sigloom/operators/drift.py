@@ -1,4 +1,4 @@
-"""Drift of ordered signals: cumulative sums, distances of distributions, and baselines that can be merged.
+"""Drift of ordered signals: cumulative sums, weighted means, distances of distributions, and baselines that can be merged.
 
 The methods are only named where signals like these are described; the formulas below are ours, and the checks' SQL says
 the same. Scans go in two steps, inside blocks of BLOCK positions and over one row per block, so that no task needs a
@@ -7,6 +7,7 @@ whole signal.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +19,8 @@ from sigloom.operators.upsert import upsert_by_key
 from sigloom.shared_storage import written
 
 BLOCK = 65_536
+#: Natural logarithm of the largest growth inside a block.
+_LARGEST_POWER = 600
 
 
 def _blocked(rows: DataFrame, keys: Sequence[str], pos: str, block: int) -> tuple[DataFrame, list[str]]:
@@ -73,6 +76,46 @@ def cusum(samples: DataFrame, keys: Sequence[str], slack: float, threshold: floa
     )
 
 
+def ewma(samples: DataFrame, keys: Sequence[str], weight: float, limit: float, block: int = BLOCK) -> DataFrame:
+    """Exponentially weighted means of every signal (``keys, pos, value``, positions without gaps) about its own mean.
+
+    e(t) = (1 - weight) e(t - 1) + weight (value - mean), e before the first sample being 0. ``ewma_high`` and ``ewma_low``
+    are the largest and smallest e, ``ewma_last`` the last one, ``first_alarm`` the first position where |e| exceeds
+    ``limit`` times its own deviation, sigma sqrt(weight / (2 - weight) (1 - (1 - weight)^(2t + 2))) with the signal's
+    population deviation sigma; null where none does. Null values count as the mean. Null keys are a signal like others.
+
+    Inside a block e is a sum of values that grow by 1 / (1 - weight) each; blocks are cut short enough for that to stay
+    a number. What enters a block is made of as many blocks before it as weigh more than 2^-120 of it.
+    """
+    if not 0 < weight < 1:
+        raise ValueError("weight must be between 0 and 1")
+    keys, keep = list(keys), 1 - weight
+    block = max(1, min(block, int(_LARGEST_POWER / -math.log(keep))))
+    reach = max(1, math.ceil(120 * math.log(2) / (block * -math.log(keep))))
+    whole = samples.groupBy(*keys).agg(F.avg("value").alias("__mean"), F.stddev_pop("value").alias("__sigma"))
+    off = F.coalesce(F.col("value") - F.col("__mean"), F.lit(0.0))
+    rows, group = _blocked(attach(samples.select(*keys, "pos", "value"), whole, keys).select(*keys, "pos", "__sigma", off.alias("off")), keys, "pos", block)
+    place = F.pmod(F.col("pos"), F.lit(block))
+    scaled = F.col("off") * F.lit(weight) * F.pow(F.lit(keep), -place)
+    inside = Window.partitionBy(*group).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = written(rows.withColumn("own", F.sum(scaled).over(inside) * F.pow(F.lit(keep), place)), "ewma")
+
+    # One row per block; all but the last one of a signal have the same length, so their weight is one number.
+    ends = rows.groupBy(*group).agg(F.max_by("own", "pos").alias("__end"))
+    near = Window.partitionBy(*keys).orderBy("__block").rowsBetween(-reach, -1)
+    carried = F.aggregate(F.collect_list("__end").over(near), F.lit(0.0), lambda e, end: e * F.lit(keep**block) + end)
+    joined = attach(rows, ends.select(*group, carried.alias("__before")), group)
+    e = F.col("own") + F.col("__before") * F.pow(F.lit(keep), place + 1)
+    spread = F.lit(weight / (2 - weight)) * (1 - F.pow(F.lit(keep), 2 * F.col("pos") + 2))
+    alarm = F.abs("e") > limit * F.col("__sigma") * F.sqrt(spread)
+    return joined.withColumn("e", e).groupBy(*keys).agg(
+        F.max("e").alias("ewma_high"),
+        F.min("e").alias("ewma_low"),
+        F.max_by("e", "pos").alias("ewma_last"),
+        F.min(F.when(alarm, F.col("pos"))).alias("first_alarm"),
+    )
+
+
 def ks_distance(samples: DataFrame, keys: Sequence[str], first: Column, block: int = BLOCK) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per signal: values where ``first`` holds against the others.
 

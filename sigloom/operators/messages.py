@@ -13,10 +13,14 @@ from sigloom.functions import messages as msg
 from sigloom.operators.columns import settled
 
 MESSAGE_COLUMNS = list(fixed.MESSAGE_FIELDS)
-MESSAGE_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in fixed.MESSAGE_FIELDS.items())
+# Text fields are parsed as VARIANT, which keeps the type that the JSON value had.
+JSON_SCHEMA = ", ".join(f"{name} {kind.replace('STRING', 'VARIANT')}" for name, kind in fixed.MESSAGE_FIELDS.items())
+METADATA_SCHEMA = fixed.MESSAGE_FIELDS["metadata"]
 SIGNAL_KEY = ["product_instance_id", "lead_num", "channel"]
 # Takes any text that does not fit the types.
 CORRUPT = "_corrupt"
+# Names of text fields that hold something else.
+MISTYPED = "_mistyped"
 
 
 def build_messages(chunks: DataFrame) -> DataFrame:
@@ -63,10 +67,20 @@ def by_key_in_order(rows: DataFrame) -> DataFrame:
 
 
 def parse_messages(raw: DataFrame, column: str = "value") -> DataFrame:
-    """Message columns next to the raw text, which is needed for dead letters."""
+    """Message columns next to the raw text, which is needed for dead letters.
+
+    A text field whose JSON value is no text has that value's text, and its name is in the column ``_mistyped``.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_json(column, f"{MESSAGE_SCHEMA}, {CORRUPT} STRING", options)
-    return settled(raw, __m=parsed).select(*raw.columns, "__m.*")
+    rows = settled(raw, __m=F.from_json(column, f"{JSON_SCHEMA}, {CORRUPT} STRING", options))
+    plain = [name for name, kind in fixed.MESSAGE_FIELDS.items() if kind == "STRING"]
+    nested = [f"metadata.{f.split(':')[0].strip()}" for f in METADATA_SCHEMA.removeprefix("STRUCT<").split(",") if "STRING" in f]
+    kind = lambda name: F.schema_of_variant(F.col(f"__m.{name}"))
+    wrong = [F.when(~kind(name).isin("STRING", "VOID"), F.lit(name)) for name in [*plain, *nested]]
+    text = {name: F.col(f"__m.{name}").cast("string") for name in plain}
+    metadata = F.col("__m.metadata").cast(METADATA_SCHEMA)
+    columns = [text.get(name, metadata if name == "metadata" else F.col(f"__m.{name}")).alias(name) for name in MESSAGE_COLUMNS]
+    return rows.select(*raw.columns, *columns, f"__m.{CORRUPT}", F.array_compact(F.array(*wrong)).alias(MISTYPED))
 
 
 def contract_errors() -> Column:
@@ -91,7 +105,8 @@ def contract_errors() -> Column:
     ]
     rules = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in broken]))
     unreadable = F.col(CORRUPT).isNotNull()
-    return F.when(unreadable, F.array(F.lit("unreadable"))).otherwise(rules)
+    types = F.transform(MISTYPED, lambda name: F.concat(F.lit("type:"), name))
+    return F.when(unreadable, F.array(F.lit("unreadable"))).otherwise(F.concat(types, rules))
 
 
 def check_messages(raw: DataFrame, column: str = "value") -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom import fixed_values as fixed
@@ -75,9 +75,11 @@ def run_batch(
     with scratch(spark):
         try:
             # Both outputs come from these rows; kept as a table, they outlive a lost executor.
-            segments_df = written(segment_rows(source, run_id, started_at, segments), "segments")
+            made = Observation("segments")
+            rows = segment_rows(source, run_id, started_at, segments).observe(made, F.count(F.lit(1)).alias("rows"))
+            segments_df = written(rows, "segments")
             summary_df = summary_rows(segments_df, threshold)
-            segment_count = segments_df.count()
+            segment_count = made.get.get("rows", 0)  # counted by the write itself
             if segment_count == 0:
                 logger.error("no valid signals in %s", input_dir)
                 log_run("FAILED")

@@ -386,4 +386,51 @@ SELECT 'decisions', key, NULL, NULL, round(score, 6), CASE WHEN score >= 0.35 TH
   SELECT event_id, ts, CASE WHEN event_id % 50 = 0 THEN 3 ELSE event_id * 4 // (max(event_id) OVER () + 1) END AS delivery FROM events),
 bounds AS (SELECT d.delivery, max(ts) - INTERVAL 10 MINUTE AS bound FROM (SELECT DISTINCT delivery FROM sent) d JOIN sent s ON s.delivery < d.delivery GROUP BY d.delivery)
 SELECT event_id, strftime(bound, '%Y-%m-%d %H:%M:%S.%f') AS bound, 'late' AS reason FROM sent JOIN bounds USING (delivery) WHERE ts < bound""",
+    "drift_ewma": f"""WITH {numbered(EVENTS_BY_USER, "user_id")},
+off AS (SELECT user_id, pos, value - avg(value) OVER (PARTITION BY user_id) AS x, stddev_pop(value) OVER (PARTITION BY user_id) AS sigma FROM numbered),
+means AS (SELECT user_id, pos, sigma, 0.2 * pow(0.8, pos) * sum(x * pow(0.8, -pos)) OVER (PARTITION BY user_id ORDER BY pos) AS e FROM off)
+SELECT user_id, round(max(e), 6) AS ewma_high, round(min(e), 6) AS ewma_low, round(arg_max(e, pos), 6) AS ewma_last,
+  min(pos) FILTER (abs(e) > 2.7 * sigma * sqrt(0.2 / 1.8 * (1 - pow(0.8, 2 * pos + 2)))) AS first_alarm FROM means GROUP BY user_id""",
+    "change_points": f"""WITH RECURSIVE {numbered(EVENTS_BY_USER, "user_id")},
+off AS (SELECT user_id, pos, n, avg(value) OVER w AS mean, var_pop(value) OVER w AS var, value - avg(value) OVER w AS x FROM numbered WINDOW w AS (PARTITION BY user_id)),
+cells AS (SELECT user_id, pos // ((n + 31) // 32) AS cell, min(pos) AS first, count(*) AS c, sum(x) AS s, sum(x * x) AS q, max(mean) AS mean, max(var) AS var
+  FROM off GROUP BY ALL),
+sums AS (SELECT user_id, cell, first, mean, var, sum(c) OVER w AS c, sum(s) OVER w AS s, sum(q) OVER w AS q FROM cells WINDOW w AS (PARTITION BY user_id ORDER BY cell)),
+lists AS (SELECT user_id, count(*) AS m, max(mean) AS mean, 1e-9 + 1.0 * max(var) * ln(count(*)) AS fine, list(first ORDER BY cell) AS first,
+  list_prepend(0, list(c ORDER BY cell)) AS c, list_prepend(0, list(s ORDER BY cell)) AS s, list_prepend(0, list(q ORDER BY cell)) AS q FROM sums GROUP BY user_id),
+search AS (
+  SELECT user_id, 0 AS t, [-fine] AS best, [CAST(0 AS BIGINT)] AS last FROM lists
+  UNION ALL
+  SELECT user_id, t + 1, list_append(best, least[1]), list_append(last, CAST(least[2] AS BIGINT)) FROM (
+    SELECT user_id, t, best, last, list_min([
+      [best[i] + greatest(0, q[t + 2] - q[i] - (s[t + 2] - s[i]) * (s[t + 2] - s[i]) / (c[t + 2] - c[i])) + fine, CAST(i - 1 AS DOUBLE)]
+      FOR i IN range(1, t + 2)]) AS least
+    FROM search JOIN lists USING (user_id) WHERE t < m)),
+walk AS (
+  SELECT user_id, m AS upto, last[m + 1] AS start FROM search JOIN lists USING (user_id) WHERE t = m
+  UNION ALL
+  SELECT w.user_id, w.start, last[w.start + 1] FROM walk w JOIN search USING (user_id) JOIN lists USING (user_id) WHERE t = m AND w.start > 0)
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY start) - 1 AS piece, first[start + 1] AS start_pos,
+  CAST(c[upto + 1] - c[start + 1] AS BIGINT) AS n, round(mean + (s[upto + 1] - s[start + 1]) / (c[upto + 1] - c[start + 1]), 6) AS mean
+FROM walk JOIN lists USING (user_id)""",
+    "daily_summary": f"""WITH {summary_ctes(EVENTS_BY_USER_DAY, "user_id, day")},
+judged AS (
+  SELECT day, CASE WHEN user_id % 10 = 0 THEN 4 ELSE user_id % 4 END AS line, CASE WHEN user_id % 5 = 0 THEN score / 2 ELSE score END AS score,
+    CASE WHEN user_id % 5 = 0 THEN score / 2 >= 0.2 ELSE score >= 0.35 END AS review FROM scored)
+SELECT day AS event_date, CAST(line AS BIGINT) AS line_number, count(*) AS files, count(*) FILTER (review) AS reviews,
+  round(count(*) FILTER (review) / count(*), 6) AS review_share, round(avg(score), 6) AS mean_score, round(max(score), 6) AS max_score
+FROM judged GROUP BY day, line""",
+    "broker_partitions": """WITH keys AS (
+  SELECT event_id, printf('LINE_%02d_user_%d_L%02d_%s', user_id % 120, user_id, event_id % 16 + 1, CASE WHEN (event_id // 16) % 2 = 0 THEN 'LB' ELSE 'LA' END) AS partition_key
+  FROM events),
+bytes AS (SELECT *, [CAST(ord(substr(partition_key, i, 1)) AS BIGINT) FOR i IN range(1, length(partition_key) + 1)] AS b, length(partition_key) AS size FROM keys),
+words AS (SELECT *, [((b[i] + (b[i + 1] << 8) + (b[i + 2] << 16) + (b[i + 3] << 24)) * 1540483477) & 4294967295 FOR i IN range(1, size - 2, 4)] AS w FROM bytes),
+mixed AS (SELECT *, list_reduce([(xor(k, k >> 24) * 1540483477) & 4294967295 FOR k IN w], LAMBDA h, k: xor((h * 1540483477) & 4294967295, k),
+  xor(2538058380, CAST(size AS BIGINT))) AS h FROM words),
+ended AS (SELECT *, CASE WHEN size % 4 = 0 THEN h ELSE (xor(xor(xor(h, CASE WHEN size % 4 = 3 THEN b[size] << 16 ELSE 0 END),
+  CASE WHEN size % 4 = 3 THEN b[size - 1] << 8 WHEN size % 4 = 2 THEN b[size] << 8 ELSE 0 END), b[size - size % 4 + 1]) * 1540483477) & 4294967295 END AS t FROM mixed),
+last AS (SELECT *, (xor(t, t >> 13) * 1540483477) & 4294967295 AS u FROM ended)
+SELECT event_id, partition_key, xor(u, u >> 15) AS hash, (xor(u, u >> 15) & 2147483647) % 12 AS partition FROM last""",
+    "message_types": """SELECT event_id, CASE event_id % 6 WHEN 1 THEN 'type:message_id' WHEN 2 THEN 'type:line_id' WHEN 3 THEN 'type:metadata.file_name'
+  WHEN 4 THEN 'missing:product_id' WHEN 5 THEN 'type:batch_id' ELSE '' END AS errors FROM events""",
 }

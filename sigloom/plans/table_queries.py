@@ -13,7 +13,9 @@ from sigloom.functions import instances as inst
 from sigloom.functions import messages as msg
 from sigloom.functions import paths, values
 from sigloom.functions import segments as seg
+from sigloom.operators import change_points as cp
 from sigloom.operators import chunks as ch
+from sigloom.operators import daily
 from sigloom.operators import drift
 from sigloom.operators import instances as ops
 from sigloom.operators import messages as mops
@@ -781,6 +783,76 @@ def baselines(spark, folder):
     return known.select("event_type", "n", rounded("mean", 8), F.round(F.sqrt(F.col("m2") / F.col("n")), 6).alias("deviation"))
 
 
+def drift_ewma(spark, folder):
+    found = drift.ewma(event_samples(spark, folder, "user_id"), ["user_id"], 0.2, 2.7)
+    return found.select("user_id", rounded("ewma_high"), rounded("ewma_low"), rounded("ewma_last"), "first_alarm")
+
+
+def change_points(spark, folder):
+    """Pieces of every user's signal, cut at borders of 32 cells."""
+    found = cp.pieces(event_samples(spark, folder, "user_id"), ["user_id"], penalty=1.0, cells=32)
+    return found.select("user_id", "piece", "start_pos", "n", rounded("mean"))
+
+
+def daily_summary(spark, folder):
+    """Daily figures after two runs that append and one that judges every fifth user again, some of them on another line."""
+    scored = signal_summary(segment_stats(event_samples(spark, folder, "user_id", "day"), ["user_id", "day"]), ["user_id", "day"])
+    user = F.col("user_id")
+    rows = scored.select(
+        "user_id",
+        pick(user, [F.lit("a"), F.lit("b"), F.lit("b")]).alias("run_id"),
+        F.concat_ws("/", "day", user.cast("string")).alias("source_file"),
+        F.lit(0).alias("channel"),
+        F.col("day").alias("event_date"),
+        (user % 4).alias("line_number"),
+        F.timestamp_seconds(F.lit(0)).alias("processed_at"),
+        "cpd_score",
+        "quality_decision",
+    )
+    rows = written(rows, "judged")
+    first, second = rows.filter("run_id = 'a'"), rows.filter("run_id = 'b'")
+    known = written(daily.daily_summary(first), "daily")
+    summary = first.unionByName(second)
+    known = written(daily.updated_daily(known, summary, daily.touched_days(second)), "daily")
+    half = F.col("cpd_score") / 2
+    again = summary.filter("user_id % 5 = 0").withColumns(
+        {
+            "cpd_score": half,
+            "quality_decision": seg.quality_decision(half, 0.2),
+            "line_number": F.when(user % 10 == 0, 4).otherwise(F.col("line_number")),
+            "processed_at": F.timestamp_seconds(F.lit(60)),
+        }
+    )
+    after = written(upsert_by_key(summary, again, ["run_id", "source_file", "channel"]), "summary")
+    known = daily.updated_daily(known, after, daily.touched_days(again, summary))
+    scores_of_day = [rounded(c) for c in ("review_share", "mean_score", "max_score")]
+    return known.select("event_date", *whole("line_number", "files", "reviews"), *scores_of_day)
+
+
+def broker_partitions(spark, folder):
+    """Key, hash and partition, of 12, in which a broker's own client puts the message of an event."""
+    keyed = settled(partition_keys(spark, folder), hash=msg.key_hash(F.col("partition_key")))
+    partition = msg.broker_partition(F.col("partition_key"), 12).cast("bigint")
+    return keyed.select("event_id", "partition_key", "hash", partition.alias("partition"))
+
+
+def message_types(spark, folder):
+    """Event messages whose text fields hold other JSON values, by event id: none, a number, a truth value, an object."""
+    rows = mops.keyed_json(_event_messages(spark, folder), "raw")
+    rows = settled(rows, event_id=F.regexp_extract("key", "event_([0-9]+)", 1).cast("bigint"))
+    text = F.col("value")
+    faults = [
+        text,
+        F.regexp_replace(text, '"message_id":"[^"]*"', '"message_id":5'),
+        F.regexp_replace(text, '"line_id":"[^"]*"', '"line_id":true'),
+        F.regexp_replace(text, '"file_name":"[^"]*"', '"file_name":{"name":"x"}'),
+        F.regexp_replace(text, '"product_id":"[^"]*"', '"product_id":null'),
+        F.regexp_replace(text, '"batch_id":"([^"]*)"', '"batch_id":$1'),
+    ]
+    checked = mops.check_messages(rows.select("event_id", pick(F.col("event_id"), faults).alias("value")))
+    return checked.select("event_id", F.array_join("errors", ",").alias("errors"))
+
+
 # --- the jobs as a whole
 
 
@@ -963,4 +1035,9 @@ QUERIES = {
     "drift_cusum": drift_cusum,
     "drift_ks": drift_ks,
     "baselines": baselines,
+    "drift_ewma": drift_ewma,
+    "change_points": change_points,
+    "daily_summary": daily_summary,
+    "broker_partitions": broker_partitions,
+    "message_types": message_types,
 }

@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sigloom import fixed_values as fixed
+from sigloom.functions.messages import broker_partition
 from sigloom.operators.messages import by_key_in_order, in_key_order, keyed_json
 
 KAFKA_OPTIONS = fixed.KAFKA_WRITE_OPTIONS
@@ -103,10 +105,15 @@ def upsert_database(df: DataFrame, url: str, name: str, table: str, user: str =
         run_sql(df.sparkSession, url, [f"DROP TABLE {staging}"], user, password)
 
 
-def write_kafka(messages: DataFrame, servers: str, topic: str, **options) -> None:
-    """Publish a batch of messages, keyed per signal, each key's in order."""
+def write_kafka(messages: DataFrame, servers: str, topic: str, partitions: int | None = None, **options) -> None:
+    """Publish a batch of messages, keyed per signal, each key's in order.
+
+    With the topic's number of ``partitions``, each row names its own: the one that producers in any language choose.
+    """
     settings = KAFKA_OPTIONS | {"kafka.bootstrap.servers": servers} | options
     rows = by_key_in_order(keyed_json(messages, topic)).drop("chunk_index")
+    if partitions is not None:
+        rows = rows.withColumn("partition", broker_partition(F.col("key"), partitions))
     rows.write.format("kafka").options(**settings).save()
 
 

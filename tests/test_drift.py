@@ -85,3 +85,21 @@ def test_empty(samples):
     none = samples.limit(0)
     assert drift.cusum(none, ["k"], 1.0, 1.0).collect() == [] and drift.ks_distance(none, ["k"], F.lit(True)).collect() == []
     assert drift.merged_moments(drift.moments(none, ["k"]), ["k"]).collect() == []
+
+
+@pytest.mark.parametrize("block, weight", [(1, 0.2), (7, 0.05), (64, 0.97), (65_536, 0.2)])
+def test_ewma(samples, signals, block, weight):
+    got = {r.k: r for r in drift.ewma(samples, ["k"], weight, 2.7, block).collect()}
+    assert set(got) == set(signals)
+    for k, values in signals.items():
+        known = [v for v in values if v is not None]
+        mean, sigma = statistics.fmean(known), statistics.pstdev(known)
+        e, seen, alarm = 0.0, [], None
+        for p, v in enumerate(values):
+            e = (1 - weight) * e + weight * (0.0 if v is None else v - mean)
+            seen.append(e)
+            if alarm is None and abs(e) > 2.7 * sigma * (weight / (2 - weight) * (1 - (1 - weight) ** (2 * p + 2))) ** 0.5:
+                alarm = p
+        assert (got[k].ewma_high, got[k].ewma_low, got[k].ewma_last) == pytest.approx((max(seen), min(seen), e), abs=1e-12)
+        assert got[k].first_alarm == alarm
+    assert got["flat"].first_alarm is None
