@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.functions.values import once
+from sigloom.operators.columns import settled
 from sigloom.operators.joins import attach
 
 CELLS = 256
@@ -21,8 +22,8 @@ CELLS = 256
 LEAST_PENALTY = 1e-9
 
 
-def _cells(samples: DataFrame, keys: list[str], cells: int) -> DataFrame:
-    """One row per signal: ``first``, ``count``, ``total``, ``square``, the last three summed up to each border."""
+def _cells(samples: DataFrame, keys: list[str], penalty: float, cells: int) -> DataFrame:
+    """One row per signal: ``m`` cells, ``first`` positions, ``count``, ``total`` and ``square`` up to each border, ``fine`` of a cut."""
     whole = samples.groupBy(*keys).agg(F.avg("value").alias("__mean"), (F.max("pos") + 1).alias("__n"), F.var_pop("value").alias("__var"))
     off = F.coalesce(F.col("value") - F.col("__mean"), F.lit(0.0))
     rows = attach(samples.select(*keys, "pos", "value"), whole, keys).withColumn("__off", off)
@@ -38,10 +39,12 @@ def _cells(samples: DataFrame, keys: list[str], cells: int) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("first", "count", "total", "square"))).alias("cell"), F.max("mean").alias("mean"), F.max("var").alias("var")
     )
     border = lambda name, zero: F.concat(F.array(F.lit(zero)), F.col(f"cell.{name}"))
-    return ordered.select(
-        *keys, "mean", "var", F.col("cell.first").alias("first"),
-        border("count", 0).alias("count"), border("total", 0.0).alias("total"), border("square", 0.0).alias("square"),
-    )
+    # The search reads these many times for each cell, so they must not be made anew each time.
+    return settled(
+        ordered.withColumn("m", F.size("cell")),
+        first=F.col("cell.first"), count=border("count", 0), total=border("total", 0.0), square=border("square", 0.0),
+        fine=F.coalesce(F.lit(penalty) * F.col("var") * F.ln("m"), F.lit(0.0)) + LEAST_PENALTY,
+    ).drop("cell", "var")
 
 
 def _cost(start: Column, end: Column) -> Column:
@@ -62,8 +65,7 @@ def pieces(samples: DataFrame, keys: Sequence[str], penalty: float = 3.0, cells:
     if cells < 1:
         raise ValueError("cells must be >= 1")
     keys = list(keys)
-    fine = F.coalesce(F.lit(penalty) * F.col("var") * F.ln(F.size("first")), F.lit(0.0)) + LEAST_PENALTY
-    known = _cells(samples, keys, cells).withColumn("fine", fine)
+    known = _cells(samples, keys, penalty, cells)
     start = F.struct(
         F.array(-F.col("fine")).alias("best"), F.array(F.lit(0)).alias("last"), F.array(F.lit(0)).alias("open")
     )
@@ -85,17 +87,17 @@ def pieces(samples: DataFrame, keys: Sequence[str], penalty: float = 3.0, cells:
             F.concat(still, F.array(end)).alias("open"),
         )
 
-    borders = F.sequence(F.lit(1), F.size("first"))
-    searched = known.withColumn("last", F.aggregate(borders, start, step)["last"])
+    borders = F.sequence(F.lit(1), F.col("m"))
+    searched = settled(known, last=F.aggregate(borders, start, step)["last"])
 
     # From the last border back to the first one, at most one step per cell.
-    back = F.struct(F.size("first").alias("at"), F.array().cast("array<int>").alias("cuts"))
+    back = F.struct(F.col("m").alias("at"), F.array().cast("array<int>").alias("cuts"))
     backward = lambda s, _: F.when(s["at"] <= 0, s).otherwise(
         F.struct(F.get(F.col("last"), s["at"]).alias("at"), F.concat(F.array(F.get(F.col("last"), s["at"])), s["cuts"]).alias("cuts"))
     )
     cuts = F.aggregate(borders, back, backward)["cuts"]
-    found = searched.withColumn("cuts", cuts).select("*", F.posexplode("cuts").alias("piece", "from"))
-    to = F.coalesce(F.get(F.col("cuts"), F.col("piece") + 1), F.size("first"))
+    found = settled(searched, cuts=cuts).select("*", F.posexplode("cuts").alias("piece", "from"))
+    to = F.coalesce(F.get(F.col("cuts"), F.col("piece") + 1), F.col("m"))
     between = lambda name: F.get(F.col(name), to) - F.get(F.col(name), F.col("from"))
     return found.select(
         *keys,
