@@ -23,7 +23,11 @@ LEDGER_SCHEMA = f"blob string, rule string, version int, spans {SPANS}"
 
 @dataclass(frozen=True)
 class Rule:
-    """What a rule finds: leftmost matches without overlap; those with ``group`` shorter than ``least`` are dropped."""
+    """What a rule finds: leftmost matches without overlap; those with ``group`` shorter than ``least`` are dropped.
+
+    With ``closing``, ``pattern`` opens and ``closing`` closes a span with any text between, however long. Of several openings
+    before a closing the last one counts; one pass over the text pairs them.
+    """
 
     name: str
     pattern: str
@@ -31,6 +35,7 @@ class Rule:
     group: int = 0
     least: int = 1
     base: bool = False
+    closing: str = ""
 
 
 # The base rules, in the order in which equal starts are listed.
@@ -41,10 +46,10 @@ BASE_RULES = (
 )
 #: What the base rules don't know: keys in blocks, signed tokens, tokens of known services, passwords in addresses.
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]{0,20000}-----END [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 2, closing=r"-----END [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("signed_token", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("service_token", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})"),
-    Rule("address_password", r"\b[a-z][a-z0-9+]{1,15}://[^\s/:@]{1,100}:[^\s/@]{3,100}@"),
+    Rule("address_password", r"\b[a-z][a-z0-9+]{1,15}://[^\s/:@]++:[^\s/@]{3,}+@", 2),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -54,7 +59,21 @@ PICKED_BLOBS = 100_000
 _RUN = re.compile(r"[0-9a-f]{24,}")
 
 
+def _paired(compiled: re.Pattern, closing: re.Pattern, text: str) -> list[tuple[int, int]]:
+    """From each closing mark back to the last opening one before it that no other closing mark has."""
+    marks = [(m.start(), m.end(), False) for m in compiled.finditer(text)]
+    marks += [(m.start(), m.end(), True) for m in closing.finditer(text)] if marks else []
+    out, opened = [], None
+    for start, end, closes in sorted(marks):
+        if closes and opened is not None:
+            out.append((opened, end))
+        opened = None if closes else start
+    return out
+
+
 def _matches(rule: Rule, compiled: re.Pattern, text: str) -> list[tuple[int, int]]:
+    if rule.closing:
+        return _paired(compiled, re.compile(rule.closing, re.ASCII), text)
     if rule.pattern == r"[0-9a-f]+" and rule.least == 24:
         compiled = _RUN  # the same runs, without visiting the short ones
     return [m.span() for m in compiled.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]

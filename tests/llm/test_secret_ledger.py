@@ -28,6 +28,20 @@ def test_base_rules_against_patterns(pieces):
     assert [(n, a, b) for a, _, n, b in sorted(found)] == plain_base(text)
 
 
+def test_keys_and_passwords_of_any_length():
+    rules = {r.name: r for r in s.MORE_RULES}
+    find = lambda name, text: s._matches(rules[name], re.compile(rules[name].pattern, re.ASCII), text)
+    opens, closes = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = f"{opens}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n{'ab+/' * 9000}\n{closes}"
+    assert find("private_key", f"x{headers}y") == [(1, 1 + len(headers))]
+    assert find("private_key", f"{opens} {headers}{closes} {headers}") == [(len(opens) + 1, len(opens) + 1 + len(headers)), (len(opens) + len(headers) + len(closes) + 2, len(opens) + 2 * len(headers) + len(closes) + 2)]
+    assert find("private_key", closes + opens) == [] and find("private_key", opens * 20_000 + closes) == [(19_999 * len(opens), 20_000 * len(opens) + len(closes))]
+    address = f"ftp://{'u' * 300}:{'p' * 400}@"
+    assert find("address_password", f"see {address}host") == [(4, 4 + len(address))]
+    assert find("address_password", "http://a:b@ http://a/b:c@ http://:abc@ http://u:p a@") == []
+    assert find("address_password", "http://" + "a:" * 200_000) == []
+
+
 def rows(frame):
     return sorted((str(r.path), str(r.revision), [(x.kind, x.start, x.end) for x in r.spans]) for r in frame.collect())
 
