@@ -35,13 +35,15 @@ WITH said AS (
   SELECT DISTINCT conv_id, turn, coalesce(nullif(replace(role, '<|', '< |'), ''), 'unknown') AS speaker,
     replace(coalesce(text, ''), '<|', '< |') AS text
   FROM conversations),
+numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, text) - 1) // 512 AS part FROM said),
 sides AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
 blocks AS (
-  SELECT m.*, s.perspective, CAST(floor(coalesce(m.turn, 0) / 512) AS BIGINT) AS part, m.speaker = s.perspective AS own,
+  SELECT m.*, s.perspective, m.speaker = s.perspective AS own,
     '<|im_start|>' || CASE WHEN m.speaker = 'system' THEN 'system' WHEN m.speaker = s.perspective THEN 'assistant'
       ELSE 'user name=' || m.speaker END || chr(10) AS head,
     m.text || '<|im_end|>' AS body
-  FROM said m JOIN sides s ON m.conv_id IS NOT DISTINCT FROM s.conv_id),
+  FROM numbered m JOIN sides s ON m.conv_id IS NOT DISTINCT FROM s.conv_id),
 placed AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
       PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, speaker, text

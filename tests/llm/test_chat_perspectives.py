@@ -8,9 +8,9 @@ def plain(rows):
     clean = lambda t: (t or "").replace("<|", "< |")
     said = {(conv, turn, clean(role) if (role or "").strip() else "unknown", clean(text)) for conv, turn, role, text in rows}
     for conv in {r[0] for r in said}:
-        own = [r for r in said if r[0] == conv]
-        for part in {(t or 0) // c.PART_TURNS for _, t, _, _ in own}:
-            here = sorted((r for r in own if (r[1] or 0) // c.PART_TURNS == part), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        own = sorted((r for r in said if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+        for part in range(-(-len(own) // c.PART_MESSAGES)):
+            here = own[part * c.PART_MESSAGES : (part + 1) * c.PART_MESSAGES]
             for speaker in {r[2] for r in own} - {"system"}:
                 text, learn = "", []
                 for _, _, who, words in here:
@@ -38,6 +38,17 @@ def test_against_plain_rendering(spark, texts, monkeypatch):
         assert all(text[s:e].endswith("<|im_end|>") for s, e in learn)
 
 
+def test_parts_are_bounded_by_messages(spark, monkeypatch):
+    monkeypatch.setattr(c, "PART_MESSAGES", 4)
+    data = [(None, None if k % 3 else k % 5, f"s{k % 3}", f"text {k}") for k in range(70)] + [(1, 600 * k, "ann", "x") for k in range(9)]
+    frame = spark.createDataFrame(data, "conv_id bigint, turn bigint, role string, text string")
+    expected = plain(data)
+    assert rows(c.perspectives(frame)) == expected and max(r[0] for r in expected.values()) == 4
+    # Dialogues too long for one task are numbered across tasks.
+    monkeypatch.setattr(c, "TASK_MESSAGES", 5)
+    assert rows(c.perspectives(frame)) == expected
+
+
 def test_whole_table(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     assert rows(c.perspectives(table)) == plain([(r.conv_id, r.turn, r.role, r.text) for r in table.collect()])
