@@ -2,8 +2,8 @@
 
 In a rendering the speaker's own messages are the assistant's, those of all others are messages of named users, system
 messages stay what they are. Spans mark what the assistant says, with its closing mark, as the part to learn from.
-Long dialogues come in parts of ``PART_TURNS`` turn numbers. Messages whose turns are null or repeat share a part however many
-they are, so such a row grows with its dialogue. All of it is column expressions.
+Long dialogues come in parts of ``PART_MESSAGES`` messages, so no row grows with its dialogue. Messages of dialogues too
+long for one task are numbered across tasks. All of it is column expressions.
 """
 
 from __future__ import annotations
@@ -11,10 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sigloom.operators.numbering import number_rows
+
 # The marks of the format.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 SYSTEM, UNKNOWN = "system", "unknown"
-PART_TURNS = 512
+PART_MESSAGES = 512
+#: Dialogues of more messages are sorted across tasks.
+TASK_MESSAGES = 500_000
 
 
 def _plain(text: Column) -> Column:
@@ -30,8 +34,9 @@ def perspectives(conversations: DataFrame) -> DataFrame:
 
     Messages stand by turn (null first), then speaker, then text; repeated rows are one message. A null or blank role is
     the speaker "unknown". A null text is empty. System messages take part in no one's name: a dialogue of only these
-    gives no rows. All messages with a null conv_id are one dialogue. Parts count whole runs of PART_TURNS turn numbers
-    from 0, and a participant gets a row for every part, also one without own messages.
+    gives no rows, and neither does an empty table. All messages with a null conv_id are one dialogue. Parts count runs of
+    PART_MESSAGES messages from 0, and a participant gets a row for every part, also one without own messages. A very long
+    text stays whole in its part.
     """
     said = conversations.select(
         "conv_id",
@@ -40,8 +45,10 @@ def perspectives(conversations: DataFrame) -> DataFrame:
         _plain(F.col("text")).alias("text"),
     )
     said = said.withColumn("speaker", F.when(F.col("speaker") == "", UNKNOWN).otherwise(F.col("speaker"))).distinct()
-    part = F.floor(F.coalesce("turn", F.lit(0)) / PART_TURNS).cast("long")
-    parts = said.groupBy("conv_id", part.alias("part")).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-(1 << 63))).alias("turn"), "speaker", "text"))).alias("messages"))
+    numbered = number_rows(said, ["conv_id"], ["turn", "speaker", "text"], TASK_MESSAGES)
+    part = F.floor(F.col("pos") / PART_MESSAGES).cast("long").alias("part")
+    message = F.struct("pos", "speaker", "text")
+    parts = numbered.groupBy("conv_id", part).agg(F.array_sort(F.collect_list(message)).alias("messages"))
     speakers = said.filter(F.col("speaker") != SYSTEM).select("conv_id", F.col("speaker").alias("perspective")).distinct()
     p, s = parts.alias("p"), speakers.alias("s")
     each = p.join(s, F.col("p.conv_id").eqNullSafe(F.col("s.conv_id"))).select("p.conv_id", "s.perspective", "p.part", "p.messages")
