@@ -98,24 +98,14 @@ def tree_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Root of every document and of its edited text, and what their trees share: see ``merkle``."""
     rows = merkle.with_next(_table(spark, folder, "documents"))
     rows = rows.withColumn("edited", merkle.edited(F.col("text"), F.col("next_text")))
-    rows = rows.select(
+    return merkle.compared(rows).select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        merkle.tree(F.col("text"))["root"].alias("fingerprint"),
-        merkle.tree(F.col("edited"))["root"].alias("edited_fingerprint"),
-        merkle.pieces(F.col("text")).alias("own"),
-        merkle.pieces(F.col("edited")).alias("changed"),
-        merkle.pieces(F.col("next_text")).alias("following"),
-    )
-    return rows.select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
-        merkle.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        merkle.likeness(F.col("own"), F.col("following")).alias("near_next"),
+        "near_edited",
+        "near_next",
     )
 
 

@@ -1,7 +1,10 @@
 """Merkle fingerprints: neighbours and edits against plain Python, and where edits are found."""
 
+import re
 from hashlib import sha256
 
+import xxhash
+
 from pyspark.sql import functions as F
 
 from sigloom.llm import merkle, queries
@@ -60,3 +63,67 @@ def test_null_and_empty_are_alike(docs_of):
 def test_no_python(spark, sf_dir):
     plan = queries.tree_fingerprints(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def plain_tree(text):
+    """Root and different leaves."""
+    hashed = lambda parts: sha256("".join(parts).encode()).hexdigest()
+    lines = (text or "").split("\n")
+    leaves = [[sha256(p.encode()).hexdigest() for p in re.findall(merkle._PIECE, line, re.ASCII)] for line in lines]
+    sections, own = [], []
+    for k, paragraph in enumerate(map(hashed, leaves)):
+        own.append(paragraph)
+        if k == len(lines) - 1 or xxhash.xxh64_intdigest(paragraph, 42) % merkle.SECTION_PARAGRAPHS == 0 or not lines[k]:
+            sections.append(hashed(own))
+            own = []
+    return hashed(sections), {x for line in leaves for x in line}
+
+
+def plain_likeness(a, b):
+    (one, left), (two, right) = plain_tree(a), plain_tree(b)
+    return 1.0 if one == two or not left and not right else 2 * len(left & right) / (len(left) + len(right))
+
+
+def test_trees_and_likeness_against_plain_ones(spark, sf_dir, texts):
+    docs = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    long_run = "".join(chr(0x4E00 + k * k % 900) + "、。x"[k % 7 : k % 7 + 1] for k in range(400))
+    some = [*texts, *docs, "a\n\nb", "wide　text、" * 30, long_run, "é" + long_run, "  lead", "trail \t", "odd " * 50 + "even"]
+    rows = [(a or "", b or "", c or "") for a, b, c in zip(some, some[1:] + some[:1], some[2:] + some[:2])]
+    frame = spark.createDataFrame(rows, "text string, edited string, next_text string")
+    got = {(r.text, r.edited, r.next_text): (r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in merkle.compared(frame).collect()}
+    assert got == {(a, b, c): (plain_tree(a)[0], plain_tree(b)[0], plain_likeness(a, b), plain_likeness(a, c)) for a, b, c in rows}
+    for text in some:
+        assert all("".join(re.findall(merkle._PIECE, line, re.ASCII)) == line for line in (text or "").split("\n"))
+    assert plain_likeness(long_run, "é" + long_run) > 0.5
+
+
+def test_a_word_in_front_keeps_the_likeness(spark):
+    text = "one line that holds eight words and ends"
+    frame = spark.createDataFrame([(text, "New " + text, text + " again")], "text string, edited string, next_text string")
+    got = merkle.compared(frame).first()
+    assert 0.5 < got.near_edited < 1 and 0.5 < got.near_next < 1
+
+
+def test_edits_tell_what_is_added_gone_and_moved(spark):
+    lines = [f"line {k} of the text" for k in range(40)]
+    cases = {
+        "same": (lines, ([], [], [])),
+        "edit": ([*lines[:20], "another line", *lines[21:]], ([20], [20], [])),
+        "gone": (lines[1:], ([], [0], [])),
+        "swap": ([lines[1], lines[0], *lines[2:]], ([], [], [0, 1])),
+        "both": ([lines[1], "put in", lines[0], *lines[2:39]], ([1], [39], [0, 2])),
+        "empty": ([], ([0], list(range(40)), [])),
+    }
+    frame = spark.createDataFrame([(k, "\n".join(lines), "\n".join(new)) for k, (new, _) in cases.items()], "case string, old string, new string")
+    trees = frame.select("case", merkle.tree(F.col("old")).alias("o"), merkle.tree(F.col("new")).alias("n"))
+    got = {r.case: (r.e.added, r.e.gone, r.e.moved) for r in trees.select("case", merkle.edits(F.col("o"), F.col("n")).alias("e")).collect()}
+    assert got == {k: expected for k, (_, expected) in cases.items()}
+
+
+def test_outlying_ids_leave_even_groups(spark):
+    for ids in ([*range(20_000), 10**18], [-(10**18), *range(5_000), *range(10**15, 10**15 + 5_000), 10**18], [3] * 700 + list(range(3000))):
+        docs = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+        groups, own = merkle._groups(docs)
+        sizes = docs.select(own.alias("range")).join(groups, "range").groupBy("group").count().collect()
+        assert sum(r["count"] for r in sizes) == len(ids) and len(sizes) >= len(ids) // merkle.GROUP_DOCS // 2
+        assert max(r["count"] for r in sizes) <= max(2 * merkle.GROUP_DOCS, ids.count(3) + merkle.GROUP_DOCS)
