@@ -2,9 +2,8 @@
 
 A slice of documents is cut where a space, not the last character, follows a visible ASCII character: neither tokenizer ever joins bytes across
 such a place. Each different piece is tokenized once by both, and the pieces' tokens are looked up. Token lists are flattened; lengths come from a table by id; cumulative sums
-over the slice give byte ends, which are the same numbers for both tokenizers as their bytes are. Hash joins on ends find
-the places where both end, and, as an outer join, all ends: between two neighbouring ends lies exactly one token of each
-side, a link. ``group_by`` makes the slice's different pairs and counts the documents that hold them.
+over the slice give byte ends, which are the same numbers for both tokenizers as their bytes are. A full outer hash join on
+ends finds the places where both end and all others: between two neighbouring ends lies exactly one token of each side, a link. ``group_by`` makes the slice's different pairs and counts the documents that hold them.
 
 Spark merges these counts per pair. A slice keeps its links as places in its own list of pairs, so that only lists of
 different pairs are joined with the counts, never links; then every slice meets its list again and adds up. Pairs are
@@ -34,8 +33,8 @@ TOKENIZERS = "/opt/tokenizers"
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text in a slice at most, unless one document is longer.
 SLICE_BYTES = 2 << 20
-#: Different pieces of text whose tokens a worker keeps.
-REMEMBERED = 100_000
+#: Different pieces of text whose tokens a worker keeps, as Arrow arrays of some 50 bytes a piece.
+REMEMBERED = 500_000
 #: A pair of ids is first * PAIR + second.
 PAIR = 1 << 20
 
@@ -71,7 +70,8 @@ class _Tokenizers:
             [bytes([int(p[3:5], 16)]) if self.second.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)], pa.binary()
         )
 
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
+        self.known = pa.array([], pa.binary())
+        self.known_ids = tuple(pa.array([], pa.list_(pa.int32())) for _ in range(2))
         self.second_in_pieces = self._second_in_pieces(pieces)
 
     def _second_in_pieces(self, pieces: list[str]) -> bool:
@@ -84,18 +84,26 @@ class _Tokenizers:
         """Ids of both for texts with a space before them. The first REMEMBERED pieces of a worker aren't tokenized again."""
         pieces, per_text = _pieces(spaced)
         coded = pieces.dictionary_encode()
-        texts = coded.dictionary.cast(pa.string()).to_pylist()
-        fresh = [t for t in texts if t not in self.known]
-        a = [e.ids for e in self.first.encode_batch_fast(fresh, add_special_tokens=False)]
+        places = pc.index_in(coded.dictionary, value_set=self.known).fill_null(-1).to_numpy().copy()
+        unknown = places < 0
+        fresh = coded.dictionary.filter(pa.array(unknown))
+        places[unknown] = len(self.known) + np.arange(len(fresh), dtype=places.dtype)
+        texts = fresh.cast(pa.string()).to_pylist()
         # The second tokenizer puts the space before a text itself.
-        b = self.second.encode([t[1:] for t in fresh], num_threads=1) if self.second_in_pieces else [[]] * len(fresh)
-        told = dict(zip(fresh, zip(a, b)))
-        ids = [self.known.get(t) or told[t] for t in texts]
-        self.known.update(list(told.items())[: max(0, REMEMBERED - len(self.known))])
-        first = _of_texts(_lists([x for x, _ in ids]), coded.indices, per_text)
+        ids = (
+            _lists([e.ids for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]),
+            _lists(self.second.encode([t[1:] for t in texts], num_threads=1) if self.second_in_pieces else [[]] * len(texts)),
+        )
+        told = [pa.concat_arrays([old, new]) for old, new in zip(self.known_ids, ids)]
+        where = pa.array(places[coded.indices.to_numpy()])
+        first, second = (_of_texts(lists, where, per_text) for lists in told)
+        kept = min(len(self.known) + len(fresh), REMEMBERED)
+        if kept > len(self.known):
+            self.known = pa.concat_arrays([self.known, fresh])[:kept]
+            self.known_ids = tuple(lists[:kept] for lists in told)
         if not self.second_in_pieces:
-            return first, _lists(self.second.encode([t[1:] for t in spaced.cast(pa.string()).to_pylist()], num_threads=1))
-        return first, _of_texts(_lists([y for _, y in ids]), coded.indices, per_text)
+            second = _lists(self.second.encode([t[1:] for t in spaced.cast(pa.string()).to_pylist()], num_threads=1))
+        return first, second
 
 
 def _pieces(spaced: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -168,21 +176,23 @@ def _align(number: int, doc_ids: pa.Array, texts: pa.Array, both: _Tokenizers) -
     none = pa.scalar([], a.type)
     ta, tb = (_tokens(pc.if_else(fits, x, none), s) for x, s in ((a, both.first_bytes), (b, both.second_bytes)))
 
-    groups = ta.join(tb.select(["end"]), "end", join_type="inner").sort_by("end")
+    links = ta.rename_columns(["a", "doc", "end"]).join(
+        tb.rename_columns(["b", "doc", "end"]).drop(["doc"]), "end", join_type="full outer", use_threads=False
+    )
+    links = links.sort_by("end").combine_chunks()
+    groups = links.filter(pc.and_(pc.is_valid(links["a"]), pc.is_valid(links["b"])))
     per_group = pc.binary_join_element_wise(*(_group_texts(t, groups["end"].combine_chunks()) for t in (ta, tb)), "|")
     n_groups = _per_document(groups["doc"].combine_chunks(), n)
     texts_of = pc.binary_join(pa.ListArray.from_arrays(_offsets(n_groups.to_numpy()), per_group), ";")
 
-    links = ta.rename_columns(["a", "doc", "end"]).join(tb.rename_columns(["b", "doc", "end"]).drop(["doc"]), "end", join_type="full outer")
-    links = links.sort_by("end").combine_chunks()
     filled = {c: pc.fill_null_backward(links[c]) for c in ("a", "b", "doc")}
     pair = pc.add(pc.multiply(pc.cast(filled["a"], pa.int64()), PAIR), pc.cast(filled["b"], pa.int64())).combine_chunks()
     pair = pa.concat_arrays(pair.chunks) if isinstance(pair, pa.ChunkedArray) else pair
     doc = filled["doc"].combine_chunks()
     coded = pair.dictionary_encode()
     n_links = _per_document(doc, n)
-    held = pa.table({"doc": doc, "k": coded.indices}).group_by(["doc", "k"]).aggregate([])
-    counts = held.group_by("k").aggregate([([], "count_all")]).sort_by("k")
+    held = pa.table({"doc": doc, "k": coded.indices}).group_by(["doc", "k"], use_threads=False).aggregate([])
+    counts = held.group_by("k", use_threads=False).aggregate([([], "count_all")]).sort_by("k")
 
     hashes = pa.array([hashlib.sha256(g).hexdigest() if g else "" for g in texts_of.cast(pa.binary()).to_pylist()], pa.string())
     empty = pa.nulls(n, pa.list_(pa.int64()))
