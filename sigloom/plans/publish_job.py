@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,8 @@ from sigloom.operators.chunks import chunk_samples
 from sigloom.operators.joins import broadcast_if_small
 from sigloom.operators.dates import on_oldest_date
 from sigloom.operators.messages import build_messages
-from sigloom.operators.replay import replay_items
-from sigloom.shared_storage import qualified_path, written
+from sigloom.operators.replay import dry_run_summary, replay_items
+from sigloom.shared_storage import qualified_path, scratch, written
 from sigloom.sources.files import FileChoice, SignalFiles, list_files
 
 
@@ -104,3 +105,35 @@ def plan_messages(scan: InstanceScan, items: DataFrame, chunk_size: int = fixed.
         chunks = chunks.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     joined = chunks.join(broadcast_if_small(published, facts["rows"], 1024), key).drop("__part")
     return build_messages(joined.withColumn("file_name", paths.file_name(F.col("path"))))
+
+
+@dataclass(frozen=True)
+class PublishResult:
+    """What a run publishes, or would publish."""
+
+    product_instances: int
+    originals: int
+    duplicates: int
+    lines: str
+
+    def report(self) -> list[str]:
+        return [f"{name}: {value}" for name, value in vars(self).items()]
+
+
+def run_publish(
+    spark: SparkSession,
+    root: str,
+    send: Callable[[DataFrame], None] | None = None,
+    chunk_size: int = fixed.CHUNK_SIZE,
+    **plan,
+) -> PublishResult:
+    """Plan the items of a tree (``plan``: see ``plan_items``) and hand all their messages to ``send``, once and as a
+    DataFrame. Without ``send`` it is a dry run; without items nothing is sent. Intermediate tables are deleted.
+    """
+    with scratch(spark):
+        scan = InstanceScan(spark, root)
+        items = written(plan_items(scan, **plan), "items")
+        result = PublishResult(**dry_run_summary(items).first().asDict())
+        if send is not None and result.product_instances:
+            send(plan_messages(scan, items, chunk_size))
+        return result

@@ -357,3 +357,14 @@ def test_build_messages_needs_only_chunk_and_item_columns(spark):
     )
     message = json.loads(keyed_json(build_messages(row), "raw").first().value)
     assert message["batch_id"] is None and message["samples"] == [1e-05] and message["lead_type"] == "CU_CU"
+
+
+def test_run_publish_hands_over_all_messages_once(spark, tmp_path, write_signal):
+    laser_pair(tmp_path, write_signal)
+    sent = []
+    result = publish_job.run_publish(spark, str(tmp_path), lambda m: sent.append(m.collect()), chunk_size=1, lines=2)
+    assert (result.product_instances, result.originals, result.duplicates, result.lines) == (2, 1, 1, "LINE_01, LINE_02")
+    assert len(sent) == 1 and len(sent[0]) == 2 * 2 * 2
+    assert publish_job.run_publish(spark, str(tmp_path), lines=2) == result
+    (tmp_path / "none").mkdir()
+    assert publish_job.run_publish(spark, str(tmp_path / "none"), sent.append).product_instances == 0 and len(sent) == 1
