@@ -27,10 +27,10 @@ from sigloom.operators.segments import segment_stats, signal_summary
 from sigloom.operators.upsert import upsert_by_key
 from sigloom.plans.batch_job import run_batch
 from sigloom.plans.publish_job import InstanceScan, plan_items, plan_messages
-from sigloom.shared_storage import fresh_path, rename, write_bytes, written
-from sigloom.sinks.external import write_message_files
+from sigloom.shared_storage import fresh_path, write_bytes, written
+from sigloom.sinks.external import write_line_files, write_message_files
 from sigloom.sinks.tables import append_partitioned, upsert_table
-from sigloom.sources.files import SignalFiles, list_files
+from sigloom.sources.files import SignalFiles
 from sigloom.sources.messages import stream_message_files
 from sigloom.sources.tables import samples_from_arrays, samples_from_rows
 from sigloom.streaming import message_streams
@@ -886,27 +886,14 @@ def key_order(spark, folder):
 
 def _product_tree(spark, folder) -> str:
     """Signal files of products in event order: two users are the two channels of one, products are of three days."""
-    path, target = fresh_path(spark, "products"), fresh_path(spark, "tree")
+    target = fresh_path(spark, "tree")
     user, battery = F.col("user_id"), seg.whole_division(F.col("user_id"), 2)
-    (
-        table(spark, folder, "events")
-        .select(
-            F.format_string("2024010%d", battery % 3 + 1).alias("day"),
-            F.when(user % 2 == 0, "reflect").otherwise("out").alias("side"),
-            battery.alias("battery"),
-            "event_id",
-            "value",
-        )
-        .repartition("day", "side", "battery")
-        .sortWithinPartitions("day", "side", "battery", "event_id")
-        .write.option("header", True)
-        .partitionBy("day", "side", "battery")
-        .csv(path)
+    day, side = F.format_string("2024010%d", battery % 3 + 1), F.when(user % 2 == 0, "reflect").otherwise("out")
+    name = F.concat(F.lit("battery_"), F.coalesce(battery.cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")), F.lit(".csv"))
+    rows = table(spark, folder, "events").select(
+        F.concat_ws("/", day, side, name).alias("file"), "event_id", F.to_csv(F.struct("event_id", "value")).alias("line")
     )
-    # One file per signal; only names are handled here.
-    for row in list_files(spark, path).select("source_file").toLocalIterator():
-        day, side, battery_id = (row.source_file.split(f"/{n}=")[1].split("/")[0] for n in ("day", "side", "battery"))
-        rename(spark, row.source_file, f"{target}/{day}/{side}/battery_{battery_id}.csv")
+    write_line_files(rows, target, ["event_id"], "event_id,value")
     return target
 
 

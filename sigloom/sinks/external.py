@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sigloom import fixed_values as fixed
 from sigloom.functions.messages import broker_partition
 from sigloom.operators.messages import by_key_in_order, in_key_order, keyed_json
+from sigloom.shared_storage import qualified_path
 
 KAFKA_OPTIONS = fixed.KAFKA_WRITE_OPTIONS
 SEGMENT_BATCH_ROWS = 2000
@@ -126,3 +129,48 @@ def stream_to_kafka(rows: DataFrame, servers: str, checkpoint: str, **options) -
 def write_message_files(messages: DataFrame, path: str, topic: str) -> None:
     """The same rows as JSON files, ordered within each key."""
     in_key_order(keyed_json(messages, topic)).select("topic", "key", "value").write.mode("append").json(path)
+
+
+def write_line_files(rows: DataFrame, root: str, order: Sequence[str], header: str) -> None:
+    """Text files below ``root``, one for each ``file`` of ``rows``, of its ``line`` values in ``order``.
+
+    Spark's own writer gives files no names, and a folder for each that someone must list and rename them out of. Here
+    the task that holds a file's rows writes it under its name, row by row, and shows it once it is whole.
+    """
+    base = qualified_path(rows.sparkSession, root)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import posixpath
+        import uuid
+
+        from pyarrow import fs
+
+        # Hadoop names a local folder file:/, Arrow by its path.
+        system, folder = (fs.LocalFileSystem(), base[5:]) if base.startswith("file:/") else fs.FileSystem.from_uri(base)
+        name = stream = hidden = None
+        files = 0
+
+        def close() -> None:
+            if stream is not None:
+                stream.close()
+                system.move(hidden, posixpath.join(folder, name))
+
+        made = set()
+        for batch in batches:
+            for file, line in zip(batch["file"].to_pylist(), batch["line"].to_pylist()):
+                if file != name:
+                    close()
+                    name, files = file, files + 1
+                    parent = posixpath.dirname(posixpath.join(folder, name))
+                    if parent not in made:
+                        system.create_dir(parent, recursive=True)
+                        made.add(parent)
+                    hidden = posixpath.join(parent, f"_{uuid.uuid4()}")
+                    stream = system.open_output_stream(hidden)
+                    stream.write(header.encode() + b"\n")
+                stream.write(line.encode() + b"\n")
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], names=["files"])
+
+    ordered = rows.repartition("file").sortWithinPartitions("file", *order).select("file", "line")
+    ordered.mapInArrow(write, "files long").write.format("noop").mode("overwrite").save()
