@@ -14,8 +14,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest doc_id stays."""
-    return simhash.keep_one(docs)
+    """Of each class of near duplicates by SimHash fingerprints the document with the smallest doc_id stays."""
+    return simhash.keep_one_fingerprint(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

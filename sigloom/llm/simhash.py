@@ -10,8 +10,9 @@ stays in Spark's own operators:
 * Where more than ``GROUP_LIMIT`` fingerprints agree so, the open bits are split into four blocks again, up to three
   times; then at most 256 fingerprints can agree. So no group is unbounded and no link is lost.
 
-``similar_documents`` is for documents that are similar in their words, which may be many bits apart: it works on the
-shingles themselves, see there.
+``keep_one_fingerprint`` keeps one document of each class; it is the step of the pipeline. ``similar_documents`` and
+``keep_one`` are for documents that are similar in their words, which may be many bits apart: they work on the shingles
+themselves, see there.
 """
 
 from __future__ import annotations
@@ -161,6 +162,14 @@ def linked(prints: DataFrame) -> DataFrame:
     return pairs
 
 
+def _classes(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``prints`` (``doc_id, fp, ...``) as a table, and one row per fingerprint: ``fp, first`` (smallest doc_id), ``root``."""
+    prints = written(prints, "fingerprints")
+    roots = components(linked(prints)).select(F.col("node").alias("fp"), "root")
+    named = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    return prints, written(named.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "classes")
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
@@ -168,10 +177,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     Equal fingerprints are always one class. A repeated doc_id gives a row each time; a null doc_id keeps its row and
     never names a class unless the class has no other. An empty table gives no rows.
     """
-    prints = written(docs.select("doc_id", fingerprint(F.col("text"), words).alias("fp")), "fingerprints")
-    roots = components(linked(prints)).select(F.col("node").alias("fp"), "root")
-    named = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    named = written(named.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "classes")
+    prints, named = _classes(docs.select("doc_id", fingerprint(F.col("text"), words).alias("fp")))
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = named.join(lowest, "root").select("fp", "component_id")
     return prints.join(classes, "fp", "left").select(
@@ -370,7 +376,21 @@ def keep_one(docs: DataFrame) -> DataFrame:
     class. Rows that repeat both are one document and come once. Null texts are empty, and empty texts are one class. Very
     long texts are compared whole. Other columns go through, whatever their names. An empty table stays empty.
     """
-    found = written_apart(docs.sparkSession, lambda: _members(docs), "members")
+    return _one_of_each(docs, written_apart(docs.sparkSession, lambda: _members(docs), "members"))
+
+
+def keep_one_fingerprint(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """``docs`` with one row of each class of ``near_duplicates``, chosen as in ``keep_one``."""
+
+    def members() -> DataFrame:
+        prints, named = _classes(docs.select("doc_id", _content(docs), fingerprint(docs["text"], words).alias("fp")))
+        return prints.join(named.select("fp", "root"), "fp").select("doc_id", "content", "root")
+
+    return _one_of_each(docs, written_apart(docs.sparkSession, members, "members"))
+
+
+def _one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` without the rows that are not the first of their class in ``found`` (``doc_id, content, root``)."""
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "content")
     best = found.groupBy("root").agg(F.min(order).alias("best"))
     own = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("content") == F.col("best.content"))
