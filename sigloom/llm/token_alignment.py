@@ -220,6 +220,8 @@ def aligned(docs: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
                 to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1)
                 yield from _align(number, batch.column("doc_id")[at:to], texts[at:to], both)
                 number, at = number + 1, to
+        # What slices took goes back now, not when this worker happens to end: later stages need it.
+        pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
