@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,7 +107,9 @@ def contract_errors() -> Column:
     rules = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in broken]))
     unreadable = F.col(CORRUPT).isNotNull()
     types = F.transform(MISTYPED, lambda name: F.concat(F.lit("type:"), name))
-    return F.when(unreadable, F.array(F.lit("unreadable"))).otherwise(F.concat(types, rules))
+    # Most messages break none, and for these no list is made.
+    any_broken = F.coalesce(reduce(Column.__or__, [condition for _, condition in broken]), F.lit(False)) | (F.size(MISTYPED) > 0)
+    return F.when(unreadable, F.array(F.lit("unreadable"))).when(any_broken, F.concat(types, rules)).otherwise(F.array().cast("array<string>"))
 
 
 def check_messages(raw: DataFrame, column: str = "value") -> DataFrame:
@@ -120,6 +123,12 @@ def valid_messages(checked: DataFrame) -> DataFrame:
     return valid.select(*[c for c in MESSAGE_COLUMNS if c != "event_time"], F.to_timestamp("event_time").alias("event_time"))
 
 
+def without_read_texts(checked: DataFrame, column: str = "value") -> DataFrame:
+    """What ``valid_messages`` and ``dead_letters`` need: the raw text only of messages that break a rule."""
+    text = F.when(F.size("errors") > 0, F.col(column)).alias(column)
+    return checked.select(text, *MESSAGE_COLUMNS, "errors")
+
+
 def dead_letters(checked: DataFrame, column: str = "value") -> DataFrame:
     """Raw text and reasons of the others."""
     return checked.filter(F.size("errors") > 0).select(F.col(column).alias("value"), "errors")

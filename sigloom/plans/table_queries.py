@@ -434,10 +434,14 @@ def message_json(spark, folder):
 
 
 def _event_messages(spark, folder) -> DataFrame:
+    return _messages_of_events(table(spark, folder, "events"))
+
+
+def _messages_of_events(events: DataFrame) -> DataFrame:
     """One message per event; those of type 'error' count as replays."""
     event, user = F.col("event_id"), F.col("user_id")
     instance = F.concat(F.lit("event_"), event.cast("string"))
-    rows = table(spark, folder, "events").select(
+    rows = events.select(
         "event_id",
         instance.alias("product_instance_id"),
         instance.alias("original_product_instance_id"),
@@ -717,14 +721,16 @@ def stream_late(spark, folder):
     """
     raw, valid, dead, late, bounds = (fresh_path(spark, n) for n in ("raw", "valid", "dead", "late", "bounds"))
     checkpoint = fresh_path(spark, "stream")
-    event = F.regexp_extract("key", "event_([0-9]+)", 1).cast("bigint")
-    last = table(spark, folder, "events").agg(F.max("event_id")).first()[0] or 0
-    rows = settled(mops.keyed_json(_event_messages(spark, folder), "raw"), event_id=event)
+    events = table(spark, folder, "events")
+    last = events.agg(F.max("event_id")).first()[0] or 0
     regular = seg.whole_division(F.col("event_id") * 4, last + 1)
-    messages = rows.withColumn("delivery", F.when(F.col("event_id") % 50 == 0, 3).otherwise(regular))
-    messages = written(messages, "messages")
+    delivery = F.when(F.col("event_id") % 50 == 0, 3).otherwise(regular)
+    # A delivery lies in few pieces of the table, so its events are dealt out while they are still short.
+    tasks = 2 * spark.sparkContext.defaultParallelism
     for number in range(4):
-        messages.filter(F.col("delivery") == number).select("topic", "key", "value").write.mode("append").json(raw)
+        delivered = events.filter(delivery == number).repartition(tasks, "event_id")
+        rows = mops.keyed_json(_messages_of_events(delivered), "raw")
+        rows.select("topic", "key", "value").write.mode("append").json(raw)
         source = stream_message_files(spark, raw)
         _run(message_streams.route_messages(source, valid, dead, checkpoint, available_now=True, late=(late, bounds)))
     found = spark.read.parquet(late)
